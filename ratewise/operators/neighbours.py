@@ -36,14 +36,15 @@ def knn_candidates(pairs: DataFrame, train: DataFrame, include_self: bool = True
 
 def knn_top_k(candidates: DataFrame, sims: DataFrame, k: int = 3) -> DataFrame:
     """(user_id, business_id, rank, neighbour_id, similarity, neighbour_stars) for the k most
-    similar neighbours with positive similarity.
+    similar neighbours with positive similarity. ``sims`` is keyed by the unordered pair (lo, hi)
+    (see :func:`similarity.pair_similarity`).
 
     ``row_number() <= k`` is planned as a WindowGroupLimit: every map task keeps only its local
     top-k per group before the shuffle, so a pair with a huge candidate list never sends the list
     to one task.
     """
-    pos = sims.filter(F.col("similarity") > 0).select("business_id", "neighbour_id", "similarity")
-    scored = candidates.join(pos, ["business_id", "neighbour_id"])
+    pos = sims.filter(F.col("similarity") > 0).select("lo", "hi", "similarity")
+    scored = sim_ops.canonical(candidates).join(pos, ["lo", "hi"])
     w = Window.partitionBy("user_id", "business_id").orderBy(
         F.col("similarity").desc(), F.col("neighbour_id").asc())
     return (scored.withColumn("rank", F.row_number().over(w))
@@ -78,8 +79,8 @@ def knn_predict(train: DataFrame, pairs: DataFrame, min_overlap: int = 75, k: in
     ustats = _user_stats(train)
     cand = knn_candidates(pairs, train, include_self)
     needed = sim_ops.needed_pairs(cand)
-    sims = sim_ops.item_similarity(train, needed, min_overlap, denominator, heavy_user_degree,
-                                   istats=istats, ustats=ustats, keep_zero=False)
+    sims = sim_ops.pair_similarity(train, needed, min_overlap, denominator, heavy_user_degree,
+                                   istats=istats, ustats=ustats)
     top = knn_top_k(cand, sims, k)
     pred = predict_ladder(pairs, weighted_average(top), ustats, default)
     if decimals is not None:

@@ -15,12 +15,13 @@ The co-rater sums are a sparse product over users. Pairing every two ratings of
 deg(user)^2, which explodes for a user holding a large share of all ratings. Users are therefore
 split by degree (``heavy_user_degree``):
 
-* light users (degree <= D): self-join of their ratings on user_id; each user emits at most D
-  rows per rating, so the total is bounded by D * |ratings|. The pairs are semi-joined with the
-  needed pairs before the partial aggregate.
+* light users (degree <= D): self-join of their ratings on user_id, one row per unordered item
+  pair (lo <= hi); each user emits at most D rows per rating, so the total is bounded by
+  D * |ratings|. The terms are summed with map-side partial aggregation, then semi-joined with the
+  needed pairs (AQE broadcasts that side when its runtime size is under the threshold).
 * heavy users (degree > D, at most |ratings| / D of them): no per-user pairing. Each needed pair
-  (i, j) is joined with the heavy raters of i, and then with the heavy ratings on (user, j), an
-  equi-join whose build side has unique keys.
+  (lo, hi) is joined with the heavy raters of lo, and then with the heavy ratings on (user, hi),
+  an equi-join whose build side has unique keys.
 
 Both halves produce per-user terms that are summed by a hash aggregate with map-side combine.
 Needed pairs whose items cannot reach ``min_overlap`` (min degree below it) are pruned before
@@ -52,76 +53,105 @@ def needed_pairs(candidates: DataFrame) -> DataFrame:
     return candidates.select("business_id", "neighbour_id").distinct()
 
 
-def prune_by_degree(needed: DataFrame, istats: DataFrame, min_overlap: int) -> DataFrame:
+def canonical(df: DataFrame, a: str = "business_id", b: str = "neighbour_id") -> DataFrame:
+    """Add the unordered pair key (lo, hi). Similarity is symmetric, so it is computed once per
+    unordered pair and joined back in either orientation."""
+    return df.withColumn("lo", F.least(a, b)).withColumn("hi", F.greatest(a, b))
+
+
+def prune_by_degree(needed: DataFrame, istats: DataFrame, min_overlap: int,
+                    a: str = "business_id", b: str = "neighbour_id") -> DataFrame:
     """Drop pairs whose co-rater count cannot reach ``min_overlap`` (it is at most the smaller
     item degree). Exact: such pairs have similarity 0 anyway."""
     if min_overlap <= 1:
         return needed
     deg = istats.filter(F.col("item_degree") >= min_overlap).select("business_id")
-    return (needed.join(deg, "business_id", "left_semi")
-            .join(deg.withColumnRenamed("business_id", "neighbour_id"), "neighbour_id", "left_semi"))
+    return (needed.join(deg.withColumnRenamed("business_id", a), a, "left_semi")
+            .join(deg.withColumnRenamed("business_id", b), b, "left_semi"))
+
 
+def _partitions(df: DataFrame, num_partitions: int | None) -> int:
+    return num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-def co_rating_stats(centred: DataFrame, needed: DataFrame, ustats: DataFrame,
-                    heavy_user_degree: int = DEFAULT_HEAVY_USER_DEGREE) -> DataFrame:
-    """(business_id, neighbour_id, n_common, num, den_a, den_b) for needed pairs with at least
-    one common rater."""
-    rated = centred.join(ustats.select("user_id", "user_degree"), "user_id")
+
+def co_rating_stats(centred: DataFrame, needed_lohi: DataFrame, ustats: DataFrame,
+                    heavy_user_degree: int = DEFAULT_HEAVY_USER_DEGREE,
+                    num_partitions: int | None = None) -> DataFrame:
+    """(lo, hi, n_common, num, den_lo, den_hi) for needed unordered pairs (lo <= hi) with at
+    least one common rater.
+
+    The light-user self-join multiplies rows by up to D, so its input is hash-partitioned by
+    user into ``num_partitions`` (default spark.sql.shuffle.partitions) explicitly: sized for the
+    output, where AQE would size it for the much smaller input.
+    """
+    n = _partitions(centred, num_partitions)
+    rated = (centred.select("user_id", "business_id", "centred").repartition(n, "user_id")
+             .join(ustats.select("user_id", "user_degree"), "user_id"))
     light = rated.filter(F.col("user_degree") <= heavy_user_degree)
     heavy = rated.filter(F.col("user_degree") > heavy_user_degree)
 
-    a = light.select("user_id", "business_id", F.col("centred").alias("c_a"))
-    b = light.select("user_id", F.col("business_id").alias("neighbour_id"), F.col("centred").alias("c_b"))
-    light_terms = (a.join(b, "user_id")
-                   .join(needed, ["business_id", "neighbour_id"], "left_semi")
-                   .select("business_id", "neighbour_id", "c_a", "c_b"))
+    a = light.select("user_id", F.col("business_id").alias("lo"), F.col("centred").alias("c_lo"))
+    b = light.select("user_id", F.col("business_id").alias("hi"), F.col("centred").alias("c_hi"))
+    light_terms = (a.join(b, "user_id").filter(F.col("lo") <= F.col("hi"))
+                   .select("lo", "hi", "c_lo", "c_hi"))
+
+    ha = heavy.select("user_id", F.col("business_id").alias("lo"), F.col("centred").alias("c_lo"))
+    hb = heavy.select("user_id", F.col("business_id").alias("hi"), F.col("centred").alias("c_hi"))
+    heavy_terms = (needed_lohi.select("lo", "hi").join(ha, "lo")
+                   .join(hb, ["user_id", "hi"])
+                   .select("lo", "hi", "c_lo", "c_hi"))
+
+    # one aggregate over both halves (map-side partial sums), then keep the needed pairs
+    return (_sums(light_terms.unionByName(heavy_terms))
+            .join(needed_lohi.select("lo", "hi"), ["lo", "hi"], "left_semi"))
 
-    ha = heavy.select("user_id", "business_id", F.col("centred").alias("c_a"))
-    hb = heavy.select("user_id", F.col("business_id").alias("neighbour_id"), F.col("centred").alias("c_b"))
-    heavy_terms = (needed.join(ha, "business_id")
-                   .join(hb, ["user_id", "neighbour_id"])
-                   .select("business_id", "neighbour_id", "c_a", "c_b"))
 
-    terms = light_terms.unionByName(heavy_terms)
-    return terms.groupBy("business_id", "neighbour_id").agg(
+def _sums(terms: DataFrame) -> DataFrame:
+    return terms.groupBy("lo", "hi").agg(
         F.count(F.lit(1)).alias("n_common"),
-        F.sum(F.col("c_a") * F.col("c_b")).alias("num"),
-        F.sum(F.col("c_a") * F.col("c_a")).alias("den_a"),
-        F.sum(F.col("c_b") * F.col("c_b")).alias("den_b"))
+        F.sum(F.col("c_lo") * F.col("c_hi")).alias("num"),
+        F.sum(F.col("c_lo") * F.col("c_lo")).alias("den_lo"),
+        F.sum(F.col("c_hi") * F.col("c_hi")).alias("den_hi"))
 
 
 def similarity_expr(min_overlap: int, denominator: str = "sum") -> F.Column:
     """Similarity from the co-rating sums; 0 below the overlap or with a zero denominator."""
     if denominator == "sum":
-        den = F.sqrt("den_a") + F.sqrt("den_b")
+        den = F.sqrt("den_lo") + F.sqrt("den_hi")
     elif denominator == "product":
-        den = F.sqrt("den_a") * F.sqrt("den_b")
+        den = F.sqrt("den_lo") * F.sqrt("den_hi")
     else:
         raise ValueError(f"denominator must be 'sum' or 'product', got {denominator!r}")
     return (F.when(F.coalesce(F.col("n_common"), F.lit(0)) < min_overlap, F.lit(0.0))
-            .when((F.col("den_a") == 0) | (F.col("den_b") == 0), F.lit(0.0))
+            .when((F.col("den_lo") == 0) | (F.col("den_hi") == 0), F.lit(0.0))
             .otherwise(F.round(F.col("num") / den, SIM_DECIMALS)))
 
 
-def item_similarity(train: DataFrame, needed: DataFrame, min_overlap: int = 75,
+def pair_similarity(train: DataFrame, needed: DataFrame, min_overlap: int = 75,
                     denominator: str = "sum",
                     heavy_user_degree: int = DEFAULT_HEAVY_USER_DEGREE,
                     istats: DataFrame | None = None, ustats: DataFrame | None = None,
-                    keep_zero: bool = True) -> DataFrame:
-    """(business_id, neighbour_id, n_common, similarity) for the needed pairs.
-
-    ``keep_zero=False`` returns only pairs whose similarity is non-zero (what prediction needs).
-    """
+                    num_partitions: int | None = None) -> DataFrame:
+    """(lo, hi, n_common, similarity) for the unordered versions of the needed pairs that
+    reach the overlap threshold (all other needed pairs have similarity 0)."""
     istats = istats if istats is not None else _item_stats(train)
     ustats = ustats if ustats is not None else _user_stats(train)
     centred = centred_ratings(train, istats)
-    live = prune_by_degree(needed, istats, min_overlap)
-    stats = co_rating_stats(centred, live, ustats, heavy_user_degree)
-    sims = stats.select("business_id", "neighbour_id",
-                        F.col("n_common"), similarity_expr(min_overlap, denominator).alias("similarity"))
-    if not keep_zero:
-        return sims.filter(F.col("similarity") != 0)
-    return (needed.join(sims, ["business_id", "neighbour_id"], "left")
+    lohi = canonical(needed).select("lo", "hi").distinct()
+    live = prune_by_degree(lohi, istats, min_overlap, "lo", "hi")
+    stats = co_rating_stats(centred, live, ustats, heavy_user_degree, num_partitions)
+    return stats.select("lo", "hi", "n_common",
+                        similarity_expr(min_overlap, denominator).alias("similarity"))
+
+
+def item_similarity(train: DataFrame, needed: DataFrame, min_overlap: int = 75,
+                    denominator: str = "sum",
+                    heavy_user_degree: int = DEFAULT_HEAVY_USER_DEGREE,
+                    istats: DataFrame | None = None, ustats: DataFrame | None = None) -> DataFrame:
+    """(business_id, neighbour_id, n_common, similarity) for every needed pair; pairs with no
+    common rater get n_common 0 and similarity 0."""
+    sims = pair_similarity(train, needed, min_overlap, denominator, heavy_user_degree, istats, ustats)
+    return (canonical(needed).join(sims, ["lo", "hi"], "left")
             .select("business_id", "neighbour_id",
                     F.coalesce("n_common", F.lit(0)).alias("n_common"),
                     F.coalesce("similarity", F.lit(0.0)).alias("similarity")))
@@ -132,5 +162,7 @@ def co_rating_counts(train: DataFrame, needed: DataFrame,
     """(business_id, neighbour_id, n_common) for needed pairs sharing at least one rater."""
     istats = _item_stats(train)
     ustats = _user_stats(train)
-    stats = co_rating_stats(centred_ratings(train, istats), needed, ustats, heavy_user_degree)
-    return stats.select("business_id", "neighbour_id", "n_common")
+    lohi = canonical(needed).select("lo", "hi").distinct()
+    stats = co_rating_stats(centred_ratings(train, istats), lohi, ustats, heavy_user_degree)
+    return (canonical(needed).join(stats.select("lo", "hi", "n_common"), ["lo", "hi"])
+            .select("business_id", "neighbour_id", "n_common"))

@@ -71,5 +71,5 @@ def _q_item_similarity_strict(s: StandIn) -> DataFrame:
 def _q_knn_top_k(s: StandIn) -> DataFrame:
     """K3: the 3 most similar positive neighbours per pair."""
     cand = neighbours.knn_candidates(s.pairs, s.train)
-    sims = similarity.item_similarity(s.train, similarity.needed_pairs(cand), MIN_OVERLAP, keep_zero=False)
+    sims = similarity.pair_similarity(s.train, similarity.needed_pairs(cand), MIN_OVERLAP)
     return neighbours.knn_top_k(cand, sims, 3)

@@ -92,12 +92,12 @@ class StandIn:
         """categories / attributes / hours derived from one part row."""
         kind = F.concat(F.lit("{'type': "), F.col("p_type"), F.lit(", 'big': "),
                         F.when(F.col("p_size") > 25, F.lit("1")).otherwise(F.lit("0")), F.lit("}"))
-        attributes = F.when(F.col("p_size") % 10 == 0, F.lit(None)).otherwise(
+        attributes = F.when(F.col("p_size").isNull() | (F.col("p_size") % 10 == 0), F.lit(None)).otherwise(
             F.create_map(F.lit("brand"), F.col("p_brand"),
                          F.lit("size"), F.col("p_size").cast("string"),
                          F.lit("kind"), kind))
         n_hours = (F.col("p_size") % 3 + 1).cast("int")
-        hours = F.when(F.col("p_partkey") % 4 == 0, F.lit(None)).otherwise(
+        hours = F.when(F.col("p_partkey").isNull() | (F.col("p_partkey") % 4 == 0), F.lit(None)).otherwise(
             F.map_from_arrays(F.slice(F.array(*[F.lit(h) for h in HOUR_KEYS]), 1, n_hours),
                               F.array_repeat(F.lit("9:0-17:0"), n_hours)))
         return part.select(

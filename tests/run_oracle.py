@@ -16,12 +16,25 @@ con = duck(sf_dir)
 bad = 0
 for k in keys:
     t = time.time()
-    df = QUERIES[k](spark, sf_dir)
+    try:
+        df = QUERIES[k](spark, sf_dir)
+    except Exception as e:
+        bad += 1
+        print(f"{k:32s} FAIL building: {type(e).__name__}: {str(e)[:400]}")
+        continue
     if k not in ORACLE:
-        n = df.count()
+        try:
+            n = df.count()
+        except Exception as e:
+            bad += 1
+            print(f"{k:32s} FAIL running: {type(e).__name__}: {str(e)[:400]}")
+            continue
         print(f"{k:32s} rows-only {n} rows {time.time()-t:.1f}s")
         continue
-    p = compare(df, con, ORACLE[k])
+    try:
+        p = compare(df, con, ORACLE[k])
+    except Exception as e:  # keep going through the list
+        p = [f"{type(e).__name__}: {str(e)[:300]}"]
     bad += bool(p)
     print(f"{k:32s} {'OK' if not p else 'FAIL'} {time.time()-t:.1f}s {p}")
 print("failures:", bad)

@@ -10,6 +10,7 @@ ORACLE: dict[str, str] = {
     "knn_predict": sql.knn_predict(20),
     "knn_predict_strict": sql.knn_predict(125),
     "knn_end_to_end": sql.knn_predict(20),
+    "stream_knn_predict": sql.knn_predict(20),
     "item_similarity": sql.item_similarity(20),
     "item_similarity_strict": sql.item_similarity(125),
     "knn_top_k": sql.knn_top_k(20, 3),

@@ -29,10 +29,23 @@ def assemble(df: DataFrame, feature_cols: list[str], out: str = "features") -> D
     return VectorAssembler(inputCols=feature_cols, outputCol=out, handleInvalid="error").transform(df)
 
 
-def fit_gbt(train_rows: DataFrame, feature_cols: list[str], label_col: str = "label", **params):
+# Each boosting level is one distributed pass over the training rows; per-pass task overhead
+# dominates when partitions are tiny, so training partitions are sized by row count.
+ROWS_PER_PARTITION = 100_000
+
+
+def fit_gbt(train_rows: DataFrame, feature_cols: list[str], label_col: str = "label",
+            rows_per_partition: int = ROWS_PER_PARTITION, **params):
     """Fit a GBTRegressor on the assembled rows; returns the model."""
     checkpoint_dir(train_rows.sparkSession)
     data = persist(assemble(train_rows, feature_cols).select("features", label_col))
+    n_rows = data.count()
+    want = max(1, -(-n_rows // rows_per_partition))
+    if want != data.rdd.getNumPartitions():
+        sized = persist(data.repartition(want))
+        sized.count()
+        data.unpersist()
+        data = sized
     gbt = GBTRegressor(featuresCol="features", labelCol=label_col, predictionCol="prediction",
                        lossType="squared", cacheNodeIds=True, checkpointInterval=10, **params)
     model = gbt.fit(data)

@@ -448,3 +448,16 @@ def _q_hybrid_predict(s: StandIn) -> DataFrame:
 def _q_feature_model_predict(s: StandIn) -> DataFrame:
     """Q3 (M1/M2 inside): clipped feature-model predictions."""
     return feature_model.feature_model_predict(s.train, s.pairs, s.business, s.user, s.checkin, s.tip)
+
+
+# ---- streaming -----------------------------------------------------------------------------
+@query("stream_knn_predict")
+def _q_stream_knn_predict(s: StandIn) -> DataFrame:
+    """Q1 through Structured Streaming: pair CSV files -> foreachBatch kNN -> parquet sink."""
+    from ratewise.streaming import score_pair_stream
+
+    src, sink = scratch_path(s.spark, "stream-src"), scratch_path(s.spark, "stream-sink")
+    s.test.write.option("header", True).csv(src)
+    q = score_pair_stream(s.spark, s.train, src, sink, min_overlap=MIN_OVERLAP)
+    q.awaitTermination()
+    return s.spark.read.parquet(sink).select("user_id", "business_id", "prediction")

@@ -141,18 +141,31 @@ def state_one_hot(rows: DataFrame, col: str = "business_state") -> tuple[DataFra
 
 
 def impute_with_flags(df: DataFrame, cols: list[str], stats_from: DataFrame | None = None,
-                      flag_suffix: str = "_missing") -> DataFrame:
+                      flag_suffix: str = "_missing", drop_constant_flags: bool = False) -> DataFrame:
     """Replace NULL/NaN in ``cols`` by the column mean (of ``stats_from``, default ``df``) and add
-    a 0/1 ``<col>_missing`` flag. Tree learners in Spark ML do not accept NaN features."""
+    a 0/1 ``<col>_missing`` flag. Tree learners in Spark ML do not accept NaN features.
+
+    Means and missing counts come from one aggregate (one row to the driver). With
+    ``drop_constant_flags`` a flag is only added for columns that have a missing value somewhere
+    in ``df`` (an all-zero column carries no information for a model).
+    """
     src = stats_from if stats_from is not None else df
-    means = src.select(*[F.avg(F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))).alias(c)
-                         for c in cols]).first()
+
+    def clean(c):
+        return F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
+
+    means = src.select(*[F.avg(clean(c)).alias(c) for c in cols]).first()
+    has_missing = None
+    if drop_constant_flags:
+        row = df.select(*[F.max(clean(c).isNull().cast("int")).alias(c) for c in cols]).first()
+        has_missing = {c: bool(row[c]) for c in cols}
     out = []
     for c in cols:
         x = F.col(c).cast("double")
         missing = x.isNull() | F.isnan(x)
         fill = means[c] if means[c] is not None else 0.0
-        out += [F.when(missing, F.lit(fill)).otherwise(x).alias(c),
-                missing.cast("int").alias(f"{c}{flag_suffix}")]
+        out.append(F.when(missing, F.lit(fill)).otherwise(x).alias(c))
+        if has_missing is None or has_missing[c]:
+            out.append(missing.cast("int").alias(f"{c}{flag_suffix}"))
     keep = [c for c in df.columns if c not in cols]
     return df.select(*keep, *out)

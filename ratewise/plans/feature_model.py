@@ -68,12 +68,15 @@ def feature_model_predict(train: DataFrame, pairs: DataFrame, business: DataFram
     """(user_id, business_id, prediction) for every pair, clipped to [1, 5]."""
     params = dict(models.FEATURE_MODEL_PARAMS, **(params or {}))
     train = train.select("user_id", "business_id", "stars")
-    ufeat = user_features(user, tip, train, pairs)
-    bfeat = business_features(business, checkin, tip, train, pairs, pca_attr, pca_cat)
-    wide = wide_rows(train, pairs, ufeat, bfeat)
+    train = persist(train)
+    # feature tables are small (one row per user / business) and read several times
+    ufeat = persist(user_features(user, tip, train, pairs))
+    bfeat = persist(business_features(business, checkin, tip, train, pairs, pca_attr, pca_cat))
+    wide = persist(wide_rows(train, pairs, ufeat, bfeat))
     wide, state_cols = FE.state_one_hot(wide)
     num_cols = [c for c in feature_columns(wide) if c not in state_cols]
-    wide = persist(FE.impute_with_flags(wide, num_cols, stats_from=wide.filter("is_train = 1")))
+    wide = persist(FE.impute_with_flags(wide, num_cols, stats_from=wide.filter("is_train = 1"),
+                                        drop_constant_flags=True))
     feats = feature_columns(wide)
     model = models.fit_gbt(wide.filter("is_train = 1"), feats, "label", **params)
     pred = models.predict(model, wide.filter("is_train = 0"), feats, ["user_id", "business_id"])

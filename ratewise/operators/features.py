@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratewise.functions import scalars as S
+from ratewise.session import persist
 
 
 # ---- attributes --------------------------------------------------------------------------
@@ -106,6 +107,8 @@ def pca_columns(df: DataFrame, vec_col: str, k: int, prefix: str, id_col: str =
     The covariance is d x d on the driver, so d is the vocabulary size, not the row count.
     """
     scaled_col, pca_col = f"{vec_col}__c", f"{vec_col}__p"
+    # one small row per id, read by the scaler fit, the PCA fit and the projection
+    df = persist(df.select(id_col, vec_col))
     scaler = StandardScaler(withMean=True, withStd=False, inputCol=vec_col, outputCol=scaled_col).fit(df)
     centred = scaler.transform(df)
     d = len(scaler.mean)
@@ -140,32 +143,33 @@ def state_one_hot(rows: DataFrame, col: str = "business_state") -> tuple[DataFra
     return out, [f"state_{v}" for v in kept]
 
 
-def impute_with_flags(df: DataFrame, cols: list[str], stats_from: DataFrame | None = None,
+def impute_with_flags(df: DataFrame, cols: list[str], stats_where: str | None = None,
                       flag_suffix: str = "_missing", drop_constant_flags: bool = False) -> DataFrame:
-    """Replace NULL/NaN in ``cols`` by the column mean (of ``stats_from``, default ``df``) and add
-    a 0/1 ``<col>_missing`` flag. Tree learners in Spark ML do not accept NaN features.
+    """Replace NULL/NaN in ``cols`` by the column mean (over the rows matching ``stats_where``,
+    default all rows) and add a 0/1 ``<col>_missing`` flag. Tree learners in Spark ML do not
+    accept NaN features.
 
-    Means and missing counts come from one aggregate (one row to the driver). With
+    Means and missing indicators come from ONE aggregate pass (one row to the driver). With
     ``drop_constant_flags`` a flag is only added for columns that have a missing value somewhere
     in ``df`` (an all-zero column carries no information for a model).
     """
-    src = stats_from if stats_from is not None else df
-
     def clean(c):
         return F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
 
-    means = src.select(*[F.avg(clean(c)).alias(c) for c in cols]).first()
-    has_missing = None
+    def for_stats(c):
+        return clean(c) if stats_where is None else F.when(F.expr(stats_where), clean(c))
+
+    aggs = [F.avg(for_stats(c)).alias(f"m{j}") for j, c in enumerate(cols)]
     if drop_constant_flags:
-        row = df.select(*[F.max(clean(c).isNull().cast("int")).alias(c) for c in cols]).first()
-        has_missing = {c: bool(row[c]) for c in cols}
+        aggs += [F.max(clean(c).isNull().cast("int")).alias(f"h{j}") for j, c in enumerate(cols)]
+    row = df.select(*aggs).first()
     out = []
-    for c in cols:
+    for j, c in enumerate(cols):
         x = F.col(c).cast("double")
         missing = x.isNull() | F.isnan(x)
-        fill = means[c] if means[c] is not None else 0.0
-        out.append(F.when(missing, F.lit(fill)).otherwise(x).alias(c))
-        if has_missing is None or has_missing[c]:
+        mean = row[f"m{j}"]
+        out.append(F.when(missing, F.lit(mean if mean is not None else 0.0)).otherwise(x).alias(c))
+        if not drop_constant_flags or row[f"h{j}"]:
             out.append(missing.cast("int").alias(f"{c}{flag_suffix}"))
     keep = [c for c in df.columns if c not in cols]
     return df.select(*keep, *out)

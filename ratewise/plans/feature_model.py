@@ -75,7 +75,7 @@ def feature_model_predict(train: DataFrame, pairs: DataFrame, business: DataFram
     wide = persist(wide_rows(train, pairs, ufeat, bfeat))
     wide, state_cols = FE.state_one_hot(wide)
     num_cols = [c for c in feature_columns(wide) if c not in state_cols]
-    wide = persist(FE.impute_with_flags(wide, num_cols, stats_from=wide.filter("is_train = 1"),
+    wide = persist(FE.impute_with_flags(wide, num_cols, stats_where="is_train = 1",
                                         drop_constant_flags=True))
     feats = feature_columns(wide)
     model = models.fit_gbt(wide.filter("is_train = 1"), feats, "label", **params)

@@ -41,7 +41,7 @@ def model_predictions(train: DataFrame, pairs: DataFrame, user: DataFrame, busin
             .unionByName(pairs.select("user_id", "business_id", F.lit(None).cast("double").alias("label"),
                                       F.lit(0).alias("is_train"))))
     wide = profile_rows(rows, user, business, strict)
-    wide = persist(FE.impute_with_flags(wide, FEATURES, stats_from=wide.filter("is_train = 1"),
+    wide = persist(FE.impute_with_flags(wide, FEATURES, stats_where="is_train = 1",
                                         drop_constant_flags=True))
     feats = [c for c in wide.columns if c in FEATURES or c.endswith("_missing")]
     model = models.fit_gbt(wide.filter("is_train = 1"), feats, "label", **params)

@@ -427,7 +427,7 @@ def _q_union_one_hot(s: StandIn) -> DataFrame:
 def _q_impute_flags(s: StandIn) -> DataFrame:
     """Mean imputation (means over training rows) with missing flags."""
     w = _wide(s).select("user_id", "business_id", "is_train", "user_avg_stars", "business_stars")
-    out = FE.impute_with_flags(w, ["user_avg_stars", "business_stars"], stats_from=w.filter("is_train = 1"))
+    out = FE.impute_with_flags(w, ["user_avg_stars", "business_stars"], stats_where="is_train = 1")
     return _round(out, ["user_avg_stars", "business_stars"])
 
 

@@ -62,25 +62,28 @@ class StandIn:
         li = self.table("lineitem").select("l_orderkey", "l_suppkey", "l_linenumber", "l_quantity")
         o = self.table("orders").select("o_orderkey", "o_custkey")
         return (li.join(o, li.l_orderkey == o.o_orderkey)
-                .select(F.col("o_custkey").cast("string").alias("user_id"),
-                        F.col("l_suppkey").cast("string").alias("business_id"),
+                .select("o_custkey", "l_suppkey",
                         (F.floor((F.col("l_quantity") - 1) / 10) + 1).cast("double").alias("stars"),
-                        "l_orderkey", "l_linenumber", "o_custkey"))
+                        "l_orderkey", "l_linenumber"))
+
+    @staticmethod
+    def _dedup(rows: DataFrame, out: str) -> DataFrame:
+        """One row per (user, item). Grouped on the numeric keys (sorting two longs is cheaper
+        than two strings); the ids become strings, as in the rating files, afterwards."""
+        return (rows.groupBy("o_custkey", "l_suppkey").agg(_latest("stars").alias(out))
+                .select(F.col("o_custkey").cast("string").alias("user_id"),
+                        F.col("l_suppkey").cast("string").alias("business_id"), out))
 
     @cached_property
     def train(self) -> DataFrame:
         """(user_id, business_id, stars), one row per pair."""
-        return (self.rated
-                .filter((F.col("l_orderkey") % HOLDOUT_MOD != 0) & (F.col("o_custkey") % COLD_USER_MOD != 0))
-                .groupBy("user_id", "business_id")
-                .agg(_latest("stars").alias("stars")))
+        return self._dedup(self.rated.filter((F.col("l_orderkey") % HOLDOUT_MOD != 0)
+                                             & (F.col("o_custkey") % COLD_USER_MOD != 0)), "stars")
 
     @cached_property
     def test(self) -> DataFrame:
         """(user_id, business_id, label), one row per held-out pair."""
-        return (self.rated.filter(F.col("l_orderkey") % HOLDOUT_MOD == 0)
-                .groupBy("user_id", "business_id")
-                .agg(_latest("stars").alias("label")))
+        return self._dedup(self.rated.filter(F.col("l_orderkey") % HOLDOUT_MOD == 0), "label")
 
     @property
     def pairs(self) -> DataFrame:

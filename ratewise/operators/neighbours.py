@@ -78,8 +78,9 @@ def knn_predict(train: DataFrame, pairs: DataFrame, min_overlap: int = 75, k: in
     istats = _item_stats(train)
     ustats = _user_stats(train)
     cand = knn_candidates(pairs, train, include_self)
-    needed = sim_ops.needed_pairs(cand)
-    sims = sim_ops.pair_similarity(train, needed, min_overlap, denominator, heavy_user_degree,
+    # pair_similarity reduces its input to distinct unordered pairs itself, so the candidates go
+    # in directly (one aggregate instead of a distinct over ordered pairs first)
+    sims = sim_ops.pair_similarity(train, cand, min_overlap, denominator, heavy_user_degree,
                                    istats=istats, ustats=ustats)
     top = knn_top_k(cand, sims, k)
     pred = predict_ladder(pairs, weighted_average(top), ustats, default)

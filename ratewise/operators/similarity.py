@@ -133,7 +133,9 @@ def pair_similarity(train: DataFrame, needed: DataFrame, min_overlap: int = 75,
                     istats: DataFrame | None = None, ustats: DataFrame | None = None,
                     num_partitions: int | None = None) -> DataFrame:
     """(lo, hi, n_common, similarity) for the unordered versions of the needed pairs that
-    reach the overlap threshold (all other needed pairs have similarity 0)."""
+    reach the overlap threshold (all other needed pairs have similarity 0). ``needed`` may hold
+    duplicates (e.g. the candidate table itself); only its (business_id, neighbour_id) columns
+    are read."""
     istats = istats if istats is not None else _item_stats(train)
     ustats = ustats if ustats is not None else _user_stats(train)
     centred = centred_ratings(train, istats)

@@ -62,10 +62,10 @@ def feature_columns(wide: DataFrame) -> list[str]:
     return [c for c in wide.columns if c not in skip]
 
 
-def feature_model_predict(train: DataFrame, pairs: DataFrame, business: DataFrame, user: DataFrame,
-                          checkin: DataFrame, tip: DataFrame, params: dict | None = None,
-                          pca_attr: int = 5, pca_cat: int = 10) -> DataFrame:
-    """(user_id, business_id, prediction) for every pair, clipped to [1, 5]."""
+def model_predictions(train: DataFrame, pairs: DataFrame, business: DataFrame, user: DataFrame,
+                      checkin: DataFrame, tip: DataFrame, params: dict | None = None,
+                      pca_attr: int = 5, pca_cat: int = 10) -> DataFrame:
+    """M1 + M2: (user_id, business_id, prediction) of the boosted trees, not yet clipped."""
     params = dict(models.FEATURE_MODEL_PARAMS, **(params or {}))
     train = train.select("user_id", "business_id", "stars")
     train = persist(train)
@@ -79,5 +79,12 @@ def feature_model_predict(train: DataFrame, pairs: DataFrame, business: DataFram
                                         drop_constant_flags=True))
     feats = feature_columns(wide)
     model = models.fit_gbt(wide.filter("is_train = 1"), feats, "label", **params)
-    pred = models.predict(model, wide.filter("is_train = 0"), feats, ["user_id", "business_id"])
+    return models.predict(model, wide.filter("is_train = 0"), feats, ["user_id", "business_id"])
+
+
+def feature_model_predict(train: DataFrame, pairs: DataFrame, business: DataFrame, user: DataFrame,
+                          checkin: DataFrame, tip: DataFrame, params: dict | None = None,
+                          pca_attr: int = 5, pca_cat: int = 10) -> DataFrame:
+    """(user_id, business_id, prediction) for every pair, clipped to [1, 5]."""
+    pred = model_predictions(train, pairs, business, user, checkin, tip, params, pca_attr, pca_cat)
     return pred.select("user_id", "business_id", S.clip_prediction("prediction").alias("prediction"))

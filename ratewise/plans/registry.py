@@ -444,6 +444,12 @@ def _q_hybrid_predict(s: StandIn) -> DataFrame:
     return hybrid.hybrid_predict(s.train, s.pairs, s.user, s.business, min_overlap=MIN_OVERLAP)
 
 
+@query("gbt_feature_model")
+def _q_gbt_feature_model(s: StandIn) -> DataFrame:
+    """M1/M2: boosted-tree predictions of the feature model before clipping."""
+    return feature_model.model_predictions(s.train, s.pairs, s.business, s.user, s.checkin, s.tip)
+
+
 @query("feature_model_predict")
 def _q_feature_model_predict(s: StandIn) -> DataFrame:
     """Q3 (M1/M2 inside): clipped feature-model predictions."""

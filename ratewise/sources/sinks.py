@@ -16,20 +16,15 @@ def _prepare(df: DataFrame) -> DataFrame:
                      F.col("prediction").cast("double"))
 
 
-def write_predictions_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
-    """Header ``user_id,business_id,prediction``. ``single_file`` coalesces to one part file;
-    use it only for small outputs."""
+def write_predictions_csv(df: DataFrame, path: str) -> None:
+    """Header ``user_id,business_id,prediction``; one part file per partition."""
     out = _prepare(df)
-    if single_file:
-        out = out.coalesce(1)
     out.write.mode("overwrite").option("header", True).csv(path)
 
 
-def write_predictions_csv_loose(df: DataFrame, path: str, single_file: bool = False) -> None:
+def write_predictions_csv_loose(df: DataFrame, path: str) -> None:
     """Header ``user_id, business_id, prediction`` (spaces after commas in the header only)."""
     out = _prepare(df).toDF("user_id", " business_id", " prediction")
-    if single_file:
-        out = out.coalesce(1)
     (out.write.mode("overwrite").option("header", True)
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
      .csv(path))

@@ -124,7 +124,7 @@ class StandIn:
         p = self.part_fields(self.table("part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size"))
         item_stats = (self.train.groupBy("business_id")
                       .agg(F.avg("stars").alias("stars"), F.count(F.lit(1)).cast("int").alias("review_count")))
-        base = (s.join(F.broadcast(n), s.s_nationkey == n.n_nationkey, "left")
+        base = (s.join(n, s.s_nationkey == n.n_nationkey, "left")
                 .join(p, s.s_suppkey == p.p_partkey, "left")
                 .select(F.col("s_suppkey").cast("string").alias("business_id"),
                         F.col("s_nationkey").cast("double").alias("latitude"),

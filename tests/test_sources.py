@@ -28,10 +28,12 @@ def test_business_json_nested_fields(spark):
 
 
 def test_loose_and_standard_headers(spark):
-    df = spark.createDataFrame([("u1", "b1", 3.25)], "user_id string, business_id string, prediction double")
+    # a one-row fixture in one partition, so each sink writes exactly one part file
+    df = spark.createDataFrame([("u1", "b1", 3.25)], "user_id string, business_id string, "
+                               "prediction double").coalesce(1)
     d = tempfile.mkdtemp(prefix="rw-sink-")
-    sinks.write_predictions_csv_loose(df, os.path.join(d, "loose"), single_file=True)
-    sinks.write_predictions_csv(df, os.path.join(d, "std"), single_file=True)
+    sinks.write_predictions_csv_loose(df, os.path.join(d, "loose"))
+    sinks.write_predictions_csv(df, os.path.join(d, "std"))
 
     def header(sub):
         part = [f for f in os.listdir(os.path.join(d, sub)) if f.startswith("part-")][0]

@@ -47,8 +47,14 @@ def main() -> None:
     spark = get_session(f"local[{cpus}]", int(cpus) if cpus.isdigit() else 8, app_name="ratewise-bench")
     spark.sparkContext.setLogLevel("ERROR")
 
-    # warm the JVM (class loading, codegen caches) on the smallest query
-    QUERIES["item_mean"](spark, sf_dir).write.format("noop").mode("overwrite").save()
+    # Warm the JVM (class loading, JIT, codegen caches) with the flagship plan on the smallest
+    # sibling scale when present, so no measured table is pre-read; else the lightest query.
+    tiny = os.path.join(os.path.dirname(sf_dir), "sf0.001")
+    if os.path.isdir(tiny) and os.path.abspath(tiny) != os.path.abspath(sf_dir):
+        QUERIES["knn_predict"](spark, tiny).write.format("noop").mode("overwrite").save()
+    else:
+        QUERIES["item_mean"](spark, sf_dir).write.format("noop").mode("overwrite").save()
+    spark.catalog.clearCache()
 
     times: dict[str, float] = {}
     errors: dict[str, str] = {}

@@ -63,3 +63,26 @@ def test_impute_with_flags(spark):
     out = FE.impute_with_flags(df, ["a"]).collect()
     assert [r.a for r in out] == [1.0, 2.0, 3.0, 2.0]
     assert [r.a_missing for r in out] == [0, 1, 0, 1]
+
+
+def test_impute_stats_from_training_rows_only(spark):
+    df = spark.createDataFrame([(1, 1.0, 5.0), (1, 3.0, 5.0), (1, None, 5.0), (0, 100.0, 5.0), (0, None, 5.0)],
+                               "is_train int, a double, b double")
+    out = FE.impute_with_flags(df, ["a", "b"], stats_where="is_train = 1", drop_constant_flags=True)
+    assert "b_missing" not in out.columns          # b is never missing: no constant flag column
+    rows = out.collect()
+    assert [r.a for r in rows] == [1.0, 3.0, 2.0, 100.0, 2.0]   # mean over training rows only
+    assert [r.a_missing for r in rows] == [0, 0, 1, 0, 1]
+
+
+@pytest.mark.parametrize("key", ["pca_attributes", "pca_categories"])
+def test_rows_only_pca_keys_are_deterministic(spark, key):
+    from ratewise.plans.registry import QUERIES
+    from tests.conftest import SF_SMALL
+
+    def rows():
+        df = QUERIES[key](spark, SF_SMALL)
+        return sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in df.collect())
+
+    first, second = rows(), rows()
+    assert first and first == second

@@ -46,14 +46,20 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     apply_conf(spark)
-    if master and master.startswith("local"):
-        # Local runs only: give the session a checkpoint folder when none is configured.
-        if not spark.conf.get("spark.checkpoint.dir", None):
-            spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="ratewise-ckpt-"))
+    ensure_local_checkpoint_dir(spark)
     checkpoint_dir(spark)
     return spark
 
 
+def ensure_local_checkpoint_dir(spark: SparkSession) -> None:
+    """Local runs only (tests, bench, a driver's local session): give the session a checkpoint
+    folder when none is configured. A cluster session must name a shared one itself."""
+    if spark.sparkContext.master.startswith("local") and not (
+            spark.conf.get("spark.checkpoint.dir", None)
+            or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)):
+        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="ratewise-ckpt-"))
+
+
 def apply_conf(spark: SparkSession) -> None:
     """Set the runtime SQL settings the plans depend on (idempotent)."""
     for k, v in REQUIRED_CONF.items():

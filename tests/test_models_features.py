@@ -86,3 +86,12 @@ def test_rows_only_pca_keys_are_deterministic(spark, key):
 
     first, second = rows(), rows()
     assert first and first == second
+
+
+def test_training_partitions_follow_rows_and_features():
+    tp = models.training_partitions
+    assert tp(500, 2, 8) == 1                  # tiny: one task per pass
+    assert tp(49_000, 10, 8) == 2              # few features: a couple of partitions
+    assert tp(49_000, 81, 8) == 8              # wide rows: every core
+    assert tp(518_000, 81, 8) == 8
+    assert tp(10**9, 81, 8_000) == 10_000      # beyond the cores: bounded rows per partition

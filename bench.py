@@ -11,6 +11,7 @@ import json
 import os
 import re
 import sys
+import tempfile
 import time
 
 ROOT = os.path.dirname(os.path.abspath(__file__))
@@ -41,9 +42,12 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     names = [q for q in os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",") if q]
 
+    from pyspark.sql import SparkSession
+
     from ratewise.plans.registry import QUERIES
-    from ratewise.session import get_session
+    from ratewise.session import clear_scratch, get_session
 
+    SparkSession.builder.config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="ratewise-bench-"))
     spark = get_session(f"local[{cpus}]", int(cpus) if cpus.isdigit() else 8, app_name="ratewise-bench")
     spark.sparkContext.setLogLevel("ERROR")
 
@@ -66,6 +70,7 @@ def main() -> None:
         except Exception as e:  # report, keep going
             errors[name] = f"{type(e).__name__}: {str(e)[:200]}"
         spark.catalog.clearCache()
+        clear_scratch(spark)
 
     m = re.search(r"sf([0-9.]+)", sf_dir)
     out = {

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratewise.operators import neighbours, similarity
-from ratewise.session import apply_conf, ensure_local_checkpoint_dir
+from ratewise.session import apply_conf, checkpoint_dir
 from ratewise.sources.standin import StandIn
 
 MIN_OVERLAP = 20
@@ -27,7 +27,7 @@ def query(name: str):
     def deco(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             apply_conf(spark)
-            ensure_local_checkpoint_dir(spark)
+            checkpoint_dir(spark)
             return fn(StandIn(spark, sf_dir))
         run.__name__ = name
         run.__doc__ = fn.__doc__

@@ -1,18 +1,15 @@
 """Session construction and cluster-safe helpers.
 
 Library code never invents storage locations: scratch output and lineage cuts go to the shared
-folder named by ``spark.checkpoint.dir``. Only local sessions (tests, bench) set one, and only
-when it is unset.
+folder that the session's own settings name.
 """
 
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 # Settings every plan in this package relies on.
@@ -46,20 +43,10 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     apply_conf(spark)
-    ensure_local_checkpoint_dir(spark)
     checkpoint_dir(spark)
     return spark
 
 
-def ensure_local_checkpoint_dir(spark: SparkSession) -> None:
-    """Local runs only (tests, bench, a driver's local session): give the session a checkpoint
-    folder when none is configured. A cluster session must name a shared one itself."""
-    if spark.sparkContext.master.startswith("local") and not (
-            spark.conf.get("spark.checkpoint.dir", None)
-            or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)):
-        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="ratewise-ckpt-"))
-
-
 def apply_conf(spark: SparkSession) -> None:
     """Set the runtime SQL settings the plans depend on (idempotent)."""
     for k, v in REQUIRED_CONF.items():
@@ -69,20 +56,40 @@ def apply_conf(spark: SparkSession) -> None:
             pass
 
 
+def _setting(spark: SparkSession, key: str) -> str | None:
+    return spark.conf.get(key, None) or spark.sparkContext.getConf().get(key, None)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder from the session and register it with the context."""
-    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir", None)
-    if not path:
-        raise RuntimeError("spark.checkpoint.dir is not set; the cluster must name a shared folder")
+    """The shared scratch root, from session settings only, registered with the context.
+
+    ``spark.checkpoint.dir`` where it is set; otherwise a folder of ``spark.sql.warehouse.dir``,
+    which every executor of a session shares as well.
+    """
+    path = _setting(spark, "spark.checkpoint.dir") or (
+        f"{_setting(spark, 'spark.sql.warehouse.dir').rstrip('/')}/_scratch")
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
         spark.sparkContext.setCheckpointDir(path)
     return path
 
 
+_SCRATCH: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared checkpoint folder (never a machine-local temp dir)."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/ratewise-{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh path under the shared scratch root; :func:`clear_scratch` removes it."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/ratewise-{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete every scratch path this process made. Call it when no frame reads them any more."""
+    jvm, conf, n = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration(), 0
+    while _SCRATCH:
+        path = jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        n += bool(path.getFileSystem(conf).delete(path, True))
+    return n
 
 
 def persist(df: DataFrame) -> DataFrame:
@@ -94,13 +101,3 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into spark.checkpoint.dir (survives executor loss)."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-def sized_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only when its row count is proven to be at most ``max_rows``.
-
-    The count runs as a distributed aggregate; beyond the bound the frame is returned unhinted
-    and the join stays a shuffle join (AQE may still convert it from runtime sizes).
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df

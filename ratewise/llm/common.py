@@ -29,6 +29,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` evaluated once.
+
+    A column used inside a lambda may be put there as its whole expression by the optimizer (a filter
+    pushed below a projection, projections merged), and then runs for every element."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def numbered(df: DataFrame, group: list[str], order: list[str], value: str | None = None,
              partitions: int | None = None) -> DataFrame:
     """``df`` with ``rank`` (0-based row number within ``group`` by ``order``) and, if ``value`` is

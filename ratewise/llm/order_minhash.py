@@ -7,8 +7,8 @@ and their k-mer hashes hashed as a tuple: reordering changes the tuple, so liken
 distance and not only the shared k-mers. One hash pass serves all registers.
 
 Defined results: a null text is the empty string; a text of 1 to k - 1 words has one k-mer of all its
-words; a text without words has every register empty. Fingerprint: ``bins`` fields of 8 hex digits, an
-empty register ``--------``. Equal texts have equal fingerprints.
+words; a text without words has every register empty. Fingerprint: ``bins`` fields of 8 hex digits,
+joined by colons, an empty register with none. Equal texts have equal fingerprints.
 """
 
 from __future__ import annotations
@@ -16,61 +16,64 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ratewise.llm.common import NOT_SPACE, position_in, range_bounds, shuffle_partitions
+from ratewise.llm.common import SPACE, let, position_in, range_bounds, shuffle_partitions
 
-EMPTY = "-" * 8
 RUN = 31  # an occurrence number is found in this many halvings: any array length
 
 
 def with_fingerprint(df: DataFrame, text: str, name: str, k: int = 5, bins: int = 64, pick: int = 2) -> DataFrame:
     """``df`` with the Order MinHash of column ``text`` as ``name``; ``bins`` is a power of two."""
     shift = 64 - (bins.bit_length() - 1)
-    d = df.withColumn("_w", F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(NOT_SPACE), F.lit(0)))
-    last = F.greatest(F.size("_w") - k + 1, F.least(F.size("_w"), F.lit(1)))
-    d = d.withColumn("_h", F.when(F.size("_w") == 0, F.array().cast("array<bigint>")).otherwise(
-        F.transform(F.sequence(F.lit(1), F.greatest(last, F.lit(1))),
-                    lambda i: F.xxhash64(F.slice("_w", i, F.lit(k)))))).drop("_w")
-    # (hash, position) sorted: the occurrences of a k-mer stand side by side, in text order
-    d = d.withColumn("_s", F.when(F.size(F.array_distinct("_h")) < F.size("_h"), F.array_sort(
+    none = F.array().cast("array<bigint>")
+    words = F.split(F.btrim(F.coalesce(F.col(text), F.lit("")), F.lit(" \t\n\x0b\f\r")), SPACE)
+    d = df.withColumn("_w", F.transform(F.filter(words, lambda w: w != ""), lambda w: F.xxhash64(w)))
+    last = F.greatest(F.size("_w") - k, F.lit(0))
+    d = d.withColumn("_h", F.when(F.size("_w") == 0, none).otherwise(F.transform(
+        F.sequence(F.lit(0), last), lambda i: F.xxhash64(*[F.get("_w", i + j) for j in range(k)])))).drop("_w")
+    # only where a k-mer repeats: (hash, position) sorted, so that its occurrences stand side by side in text order
+    d = d.withColumn("_s", F.when(F.size(F.array_distinct("_h")) < F.size("_h"), F.sort_array(
         F.transform("_h", lambda h, i: F.struct(h.alias("h"), i.alias("at"))))))
     halvings = F.array(*[F.lit(1 << j) for j in reversed(range(RUN - 1))])
 
+    high = F.lit(-1 << 32)
+    pack = lambda v, at: v.bitwiseAND(high).bitwiseOR(at.cast("long"))  # noqa: E731  32 bits of hash, then the position
+
     def nth(x, i):
         s = F.col("_s")
         run = F.aggregate(halvings, F.lit(0), lambda acc, step: F.when(
             (i - acc >= step) & (F.get(s, i - acc - step)["h"] == x["h"]), acc + step).otherwise(acc))
-        return F.struct(F.xxhash64(x["h"], F.when((i > 0) & (F.get(s, i - 1)["h"] == x["h"]), run).otherwise(0)).alias("v"),
-                        x["at"].alias("at"), x["h"].alias("h"))
-
-    once = F.transform("_h", lambda h, i: F.struct(F.xxhash64(h, F.lit(0)).alias("v"), i.alias("at"), h.alias("h")))
-    d = d.withColumn("_e", F.array_sort(F.when(F.col("_s").isNull(), once).otherwise(F.transform("_s", nth))))
-    d = d.drop("_h", "_s")
-    bin_of = lambda x: F.shiftrightunsigned(x["v"], shift)
+        return pack(F.xxhash64(x["h"], F.when((i > 0) & (F.get(s, i - 1)["h"] == x["h"]), run).otherwise(0)), x["at"])
 
+    # the occurrence-numbered k-mers by hash; sorting longs is several times faster than sorting structs
+    d = d.withColumn("_e", F.sort_array(F.when(F.col("_s").isNull(), F.transform(
+        "_h", lambda h, i: pack(F.xxhash64(h, F.lit(0)), i))).otherwise(F.transform("_s", nth)))).drop("_h", "_s")
     e = F.col("_e")
+    bin_of = lambda x: F.shiftrightunsigned(x, shift)
     starts = F.filter(F.transform(e, lambda x, i: F.when((i == 0) | (bin_of(F.get(e, i - 1)) != bin_of(x)), i)),
                       lambda i: i.isNotNull())
-    d = d.withColumn("_b", starts)
 
     def register(i):
-        near = F.filter(F.slice(e, i + 1, F.lit(pick)), lambda x: bin_of(x) == bin_of(F.get(e, i)))
-        ordered = F.array_sort(F.transform(near, lambda x: F.struct(x["at"].alias("at"), x["h"].alias("h"))))
-        word = F.xxhash64(F.transform(ordered, lambda x: x["h"])).bitwiseAND(F.lit(0xFFFFFFFF))
+        near = F.filter(F.array(*[F.get(e, i + j) for j in range(pick)]), lambda x: bin_of(x) == bin_of(F.get(e, i)))
+        ordered = F.sort_array(F.transform(near, lambda x: F.struct(
+            x.bitwiseAND(F.lit(0xFFFFFFFF)).alias("at"), F.shiftrightunsigned(x, 32).alias("v"))))
+        word = F.xxhash64(F.transform(ordered, lambda x: x["v"])).bitwiseAND(F.lit(0xFFFFFFFF))
         return F.struct(bin_of(F.get(e, i)).alias("key"), F.lpad(F.hex(word), 8, "0").alias("value"))
 
-    d = d.withColumn("_m", F.map_from_entries(F.transform("_b", register)))
-    fields = F.transform(F.sequence(F.lit(0).cast("long"), F.lit(bins - 1).cast("long")),
-                         lambda b: F.coalesce(F.element_at("_m", b), F.lit(EMPTY)))
-    return d.withColumn(name, F.array_join(fields, "")).drop("_e", "_b", "_m")
+    every = F.sequence(F.lit(0).cast("long"), F.lit(bins - 1).cast("long"))
+    fields = let(F.map_from_entries(F.transform(starts, register)), lambda m: F.array_join(
+        F.transform(every, lambda b: F.coalesce(F.element_at(m, b), F.lit(""))), ":"))
+    return d.withColumn(name, fields).drop("_e")
 
 
 def likeness(a: Column, b: Column, bins: int = 64) -> Column:
     """Share of the registers filled in either fingerprint that agree; 1 for equal fingerprints."""
-    pairs = F.transform(F.sequence(F.lit(0), F.lit(bins - 1)),
-                        lambda i: F.struct(F.substr(a, i * 8 + 1, F.lit(8)).alias("a"), F.substr(b, i * 8 + 1, F.lit(8)).alias("b")))
-    filled = F.filter(pairs, lambda p: (p["a"] != EMPTY) | (p["b"] != EMPTY))
-    same = F.size(F.filter(pairs, lambda p: (p["a"] == p["b"]) & (p["a"] != EMPTY)))
-    return F.when(a == b, F.lit(1.0)).otherwise(same / F.greatest(F.size(filled), F.lit(1)))
+    def compare(x, y):
+        filled = F.size(F.filter(F.sequence(F.lit(0), F.lit(bins - 1)), lambda i: (F.get(x, i) != "") | (F.get(y, i) != "")))
+        same = F.size(F.filter(F.sequence(F.lit(0), F.lit(bins - 1)), lambda i: (F.get(x, i) != "") & (F.get(x, i) == F.get(y, i))))
+        return same / F.greatest(filled, F.lit(1))
+
+    parts = let(F.struct(F.split(a, ":").alias("a"), F.split(b, ":").alias("b")), lambda p: compare(p["a"], p["b"]))
+    return F.when(a == b, F.lit(1.0)).otherwise(parts)
 
 
 def with_next(docs: DataFrame, cols: list[str], make) -> DataFrame:

@@ -5,7 +5,7 @@ for those that SQL can express."""
 
 from __future__ import annotations
 
-from ratewise.llm import chat, mixing, order_minhash
+from ratewise.llm import chat, license_scan, line_dedup, mixing, order_minhash, quality
 from ratewise.llm.common import table
 from ratewise.session import apply_conf, checkpoint_dir
 from pyspark.sql import functions as F
@@ -24,6 +24,18 @@ def query(fn):
     return fn
 
 
+@query
+def op4_line_dedup(spark, sf_dir):
+    """Every document without the lines that repeated three-line windows cover."""
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op5_license_scan(spark, sf_dir):
+    """Lines and whole texts that match a licence template."""
+    return license_scan.scan_licenses(table(spark, sf_dir, "documents"))
+
+
 @query
 def op6_chat_format(spark, sf_dir):
     """All conversations and one that holds control strings, formatted, and read back."""
@@ -41,12 +53,20 @@ def op7_order_minhash(spark, sf_dir):
     return order_minhash.fingerprint_digest(table(spark, sf_dir, "documents"))
 
 
+@query
+def op8_quality(spark, sf_dir):
+    """Quality score of every document, learned from the labelled rows that are not held out."""
+    return quality.quality_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op10_mix_sources(spark, sf_dir):
     """What the mix takes of each document."""
     return mixing.mix_digest(table(spark, sf_dir, "documents"))
 
 
+LLM_ORACLE["op4_line_dedup"] = line_dedup.ORACLE
+LLM_ORACLE["op5_license_scan"] = license_scan.oracle()
 LLM_ORACLE["op6_chat_format"] = r"""
 WITH r AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations

@@ -5,7 +5,7 @@ for those that SQL can express."""
 
 from __future__ import annotations
 
-from ratewise.llm import chat, license_scan, line_dedup, mixing, order_minhash, quality
+from ratewise.llm import bag_minhash, chat, license_scan, line_dedup, mixing, order_minhash, quality, sharding
 from ratewise.llm.common import table
 from ratewise.session import apply_conf, checkpoint_dir
 from pyspark.sql import functions as F
@@ -24,6 +24,12 @@ def query(fn):
     return fn
 
 
+@query
+def op3_bag_minhash(spark, sf_dir):
+    """The near-duplicate class of every document."""
+    return bag_minhash.near_classes(table(spark, sf_dir, "documents"))
+
+
 @query
 def op4_line_dedup(spark, sf_dir):
     """Every document without the lines that repeated three-line windows cover."""
@@ -59,6 +65,12 @@ def op8_quality(spark, sf_dir):
     return quality.quality_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op9_label_shards(spark, sf_dir):
+    """The shard and slot of every document, equal texts together where the sizes allow."""
+    return sharding.shard_digest(table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_mix_sources(spark, sf_dir):
     """What the mix takes of each document."""

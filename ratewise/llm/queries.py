@@ -5,7 +5,7 @@ for those that SQL can express."""
 
 from __future__ import annotations
 
-from ratewise.llm import bag_minhash, chat, license_scan, line_dedup, mixing, order_minhash, quality, sharding
+from ratewise.llm import bag_minhash, chat, decontaminate, license_scan, line_dedup, mixing, order_minhash, quality, sharding
 from ratewise.llm.common import table
 from ratewise.session import apply_conf, checkpoint_dir
 from pyspark.sql import functions as F
@@ -24,6 +24,12 @@ def query(fn):
     return fn
 
 
+@query
+def op2_decontaminate(spark, sf_dir):
+    """The benchmark items that each document leaks."""
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op3_bag_minhash(spark, sf_dir):
     """The near-duplicate class of every document."""

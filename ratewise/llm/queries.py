@@ -5,7 +5,7 @@ for those that SQL can express."""
 
 from __future__ import annotations
 
-from ratewise.llm import bag_minhash, chat, decontaminate, license_scan, line_dedup, mixing, order_minhash, quality, sharding
+from ratewise.llm import bag_minhash, chat, decontaminate, license_scan, line_dedup, mixing, order_minhash, quality, repair, sharding
 from ratewise.llm.common import table
 from ratewise.session import apply_conf, checkpoint_dir
 from pyspark.sql import functions as F
@@ -24,6 +24,15 @@ def query(fn):
     return fn
 
 
+@query
+def op1_repair_tokens(spark, sf_dir):
+    """Place, length and CRC of every document's ids, read back from Re-Pair shard files."""
+    import public_tokenizers
+
+    files = repair.write_shards(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), by_word=True)
+    return repair.read_documents(files)
+
+
 @query
 def op2_decontaminate(spark, sf_dir):
     """The benchmark items that each document leaks."""

@@ -55,7 +55,7 @@ def scan_licenses(docs: DataFrame, known: list[tuple[str, str]] | None = None, t
     Templates of equal bigrams are one; its row has each licence's best template only."""
     known = [(k, bigrams(t)) for k, t in (known if known is not None else templates())]
     known = [(k, list(b)) for k, b in sorted({(k, tuple(b)) for k, b in known if b})]
-    low, high = threshold / (2 - threshold), (2 - threshold) / threshold
+    low, high = threshold / (2 - threshold) - 1e-9, (2 - threshold) / threshold + 1e-9
     sizes = [len(b) for _, b in known]
     every = F.array(*[F.lit(x) for x in sorted({x for _, b in known for x in b})])
     lines = F.split(F.coalesce("text", F.lit("")), "\n")

@@ -256,13 +256,19 @@ def write_shards(docs: DataFrame, tokenizer_path: str, by_word: bool = False, sh
             doc_ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for lo, hi in text_batches(texts):
                 ids, n = encoder(texts[lo:hi])
-                if size and size + len(ids) > shard_tokens:
-                    yield file()
-                    seq, held_ids, held, per, size = seq + 1, [], [], [], 0
-                held_ids += doc_ids[lo:hi]
-                held.append(ids)
-                per.append(n)
-                size += len(ids)
+                ends, a = np.concatenate(([0], np.cumsum(n))), 0
+                while a < len(n):
+                    b = int(np.searchsorted(ends, ends[a] + shard_tokens - size, side="right")) - 1
+                    if b > a or not size:
+                        b = max(b, a + 1)
+                        held_ids += doc_ids[lo + a:lo + b]
+                        held.append(ids[ends[a]:ends[b]])
+                        per.append(n[a:b])
+                        size += int(ends[b] - ends[a])
+                        a = b
+                    if a < len(n):
+                        yield file()
+                        seq, held_ids, held, per, size = seq + 1, [], [], [], 0
         if held_ids:
             yield file()
 

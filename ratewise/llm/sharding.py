@@ -3,7 +3,8 @@
 Linked documents move towards their neighbours' shards, round by round, under a quota: no shard of linked
 documents may exceed the mean shard size. Each round joins the links with the neighbours' shards, counts
 votes per document and shard, lets a hashed half of the documents with something to gain ask to move, and
-admits them in order of gain up to the free quota of the shard they want. Documents start at the shard
+admits them in order of gain: as much as two shards hand each other, and up to the free quota of the shard
+they want (to within a document a pair of shards). Documents start at the shard
 hashed from the least document among themselves and their neighbours, also under the quota; what does not
 fit fills free space in that order, so that a group larger than a shard stays on few shards. Documents
 without links then level the sizes: from the large to the small, each size class raises the smallest
@@ -56,6 +57,20 @@ def _loads(df: DataFrame, shards: int) -> list[float]:
     return [found.get(i, 0.0) for i in range(shards)]
 
 
+def _limits(asked: DataFrame, free: list[float], shards: int):
+    """How much may move from each shard to each other, as an array by from * shards + to.
+
+    What two shards want to hand each other changes places; free quota goes to the rest in proportion.
+    One row per pair of shards is collected."""
+    wish = [[0.0] * shards for _ in range(shards)]
+    for r in asked.groupBy("now", "want").agg(F.sum("size").alias("s")).collect():
+        wish[r["now"]][r["want"]] = float(r["s"])
+    swap = [[min(wish[i][j], wish[j][i]) for j in range(shards)] for i in range(shards)]
+    rest = [sum(wish[i][j] - swap[i][j] for i in range(shards)) for j in range(shards)]
+    return F.array(*[F.lit(swap[i][j] + (free[j] * (wish[i][j] - swap[i][j]) / rest[j] if rest[j] else 0.0))
+                     for i in range(shards) for j in range(shards)])
+
+
 def propagate(nodes: DataFrame, links: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS, seed: int = 29) -> DataFrame:
     """``nodes`` (id, size) with ``shard``; ``links`` (a, b) join ids."""
     total = nodes.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("s")).first()["s"]
@@ -83,14 +98,15 @@ def propagate(nodes: DataFrame, links: DataFrame, shards: int = SHARDS, rounds:
         own = F.max(F.when(F.col("shard") == F.col("now"), F.col("v")))
         best = F.max(F.struct("v", (F.col("shard") == F.col("now")).alias("stay"), F.xxhash64("id", "shard").alias("tie"), "shard"))
         want = votes.groupBy("id", "size", "now").agg(best.alias("best"), F.coalesce(own, F.lit(0)).alias("own"))
-        want = want.select("id", "size", F.col("best.shard").alias("want"), (F.col("own") - F.col("best.v")).alias("loss"))
+        want = want.select("id", "size", "now", F.col("best.shard").alias("want"), (F.col("own") - F.col("best.v")).alias("loss"))
         want = cut_lineage(want.where("loss < 0"))
         if want.isEmpty():
             break
         want = want.where(F.pmod(F.xxhash64(F.lit(r), "id"), F.lit(2)) == 0).withColumn("order", F.xxhash64(F.lit(seed + r), "id"))
-        asked = numbered(want, ["want"], ["loss", "order", "id"], "size")
-        free = F.array(*[F.lit(quota - x) for x in _loads(state, shards)])
-        moves = cut_lineage(asked.where(F.col("before") + F.col("size") <= F.get(free, F.col("want"))).select("id", "want"))
+        asked = cut_lineage(numbered(want, ["now", "want"], ["loss", "order", "id"], "size"))
+        limits = _limits(asked, [max(quota - x, 0.0) for x in _loads(state, shards)], shards)
+        pair = F.col("now") * shards + F.col("want")
+        moves = cut_lineage(asked.where(F.col("before") + F.col("size") <= F.get(limits, pair)).select("id", "want"))
         state = cut_lineage(state.join(moves, "id", "left").select("id", "size", F.coalesce("want", "shard").alias("shard")))
 
     alone = nodes.select("id", "size").join(state.select("id"), "id", "left_anti")

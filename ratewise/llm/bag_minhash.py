@@ -9,9 +9,9 @@ at which all registers are filled, so that a text costs its shingles plus the re
 
 Equal texts are one node. Signatures are banded; the members of a band's bucket are compared with the
 bucket's least document, exactly, over the whole multisets. Buckets that then still hold several
-components are compared in full: in pairs of blocks of bounded size, by signature, across components;
-what reaches the threshold less three standard errors is compared exactly. Components of the exact links
-are the classes. No bucket is gathered in one task and no pair is dropped for size.
+components are compared in full: in pairs of blocks of bounded size, across components; pairs whose
+signatures reach the threshold less three standard errors are compared exactly. Components of the exact
+links are the classes. No bucket is gathered in one task and no pair is dropped for size.
 
 Two texts at the threshold share a band with probability 0.99995 at 25 bands of 5 registers.
 
@@ -163,30 +163,58 @@ def verified(pairs: DataFrame, docs: DataFrame, threshold: float = THRESHOLD, k:
     return j.mapInArrow(run, "a long, b long")
 
 
-def across_components(members: DataFrame, margin: float) -> DataFrame:
-    """(a, b) of different components in one bucket whose signatures agree in at least ``margin``.
+def across_components(members: DataFrame, threshold: float = THRESHOLD, k: int = SHINGLE) -> DataFrame:
+    """Links (a, b) that join the components which a bucket's members are in, compared in full.
 
-    ``members``: (bucket, n, id, component, signature). A bucket of n goes to n / BLOCK blocks, and each
-    pair of blocks to a group of its own, so a group holds about 2 BLOCK rows whatever the bucket's size."""
+    ``members``: (bucket, n, id, component, signature, text). A bucket of n goes to n / BLOCK blocks and
+    each pair of blocks to a group of its own, so a group holds about 2 BLOCK rows whatever the bucket's
+    size. Pairs of different components whose signatures agree in the threshold less three standard errors
+    are compared exactly, in the first bucket that they share, until their components are joined; no pair
+    is ever a row."""
+    margin = threshold - 3 * (threshold * (1 - threshold) / REGISTERS) ** 0.5
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("id"), blocks).cast("int")
-    m = members.withColumn("blocks", blocks).withColumn("own", own)
+    m = members.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("id"), blocks).cast("int"))
     m = m.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    m = m.select("bucket", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"),
-                 "id", "component", "signature", "own")
+    m = m.select("bucket", "band", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"),
+                 "id", "component", "signature", "text", "own")
 
     def compare(pdf):
+        ids, comp, own, band = (pdf[c].to_numpy() for c in ("id", "component", "own", "band"))
+        x, y, band = pdf["x"].iloc[0], pdf["y"].iloc[0], int(band[0])
         sig = np.stack([np.frombuffer(s, np.uint32) for s in pdf["signature"]])
-        ids, comp, own = pdf["id"].to_numpy(), pdf["component"].to_numpy(), pdf["own"].to_numpy()
-        x, y = pdf["x"].iloc[0], pdf["y"].iloc[0]
-        a, b = [], []
+        text, h, c = shingles(*hash_words(pdf["text"].tolist()), k)
+        at = np.searchsorted(text, np.arange(len(pdf) + 1))
+        total = np.bincount(text, c, len(pdf))
+        parent = {v: v for v in comp.tolist()}
+
+        def root(v):
+            while parent[v] != v:
+                parent[v] = parent[parent[v]]
+                v = parent[v]
+            return v
+
+        links = []
         for i in np.flatnonzero(own == x):
             j = np.flatnonzero((own == y) & (comp != comp[i]) & ((ids > ids[i]) if x == y else True))
-            j = j[(sig[j] == sig[i]).mean(axis=1) >= margin]
-            a.append(np.full(j.size, ids[i]))
-            b.append(ids[j])
-        a, b = np.concatenate(a or [np.zeros(0, np.int64)]), np.concatenate(b or [np.zeros(0, np.int64)])
-        return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+            same = sig[j] == sig[i]
+            near = same.mean(axis=1)
+            shared = same.reshape(len(j), BANDS, ROWS).all(axis=2)
+            fair = np.minimum(total[j], total[i]) >= threshold * np.maximum(total[j], total[i])
+            first = shared.argmax(axis=1) == band if len(j) else np.zeros(0, bool)
+            on = np.flatnonzero((near >= margin) & fair & first)
+            hi, ci = h[at[i]:at[i + 1]], c[at[i]:at[i + 1]]
+            for o in on[np.argsort(-near[on], kind="stable")].tolist():
+                b = int(j[o])
+                r, t = root(int(comp[i])), root(int(comp[b]))
+                if r == t:
+                    continue
+                hb, cb = h[at[b]:at[b + 1]], c[at[b]:at[b + 1]]
+                p = np.minimum(np.searchsorted(hb, hi), len(hb) - 1)
+                both = np.minimum(ci, cb[p])[hb[p] == hi].sum()
+                if both >= threshold * (total[i] + total[b] - both) - 1e-9:
+                    parent[max(r, t)] = min(r, t)
+                    links.append((int(min(ids[i], ids[b])), int(max(ids[i], ids[b]))))
+        return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
 
     return m.groupBy("bucket", "x", "y").applyInPandas(compare, "a long, b long").distinct()
 
@@ -201,7 +229,7 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD, k: int = SHINGLE
     size = 4 * ROWS
     keys = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)),
                        lambda i: F.xxhash64(i, F.substring(F.col("signature"), i * size + 1, F.lit(size))))
-    bands = nodes.select("id", F.explode(keys).alias("bucket"))
+    bands = nodes.select("id", F.posexplode(keys).alias("band", "bucket"))
     least = bands.groupBy("bucket").agg(F.min("id").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1")
     filled = stored(bands.join(least, "bucket"), "buckets")
     star = cut_lineage(filled.where("id <> a").select("a", F.col("id").alias("b")).distinct())
@@ -210,13 +238,12 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD, k: int = SHINGLE
     comp = components(links)
     rest = filled.where("n > 2").join(comp, "id", "left").withColumn("component", F.coalesce("component", "id"))
     mixed = rest.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-    rest = rest.join(mixed, "bucket", "left_semi").join(nodes, "id").select("bucket", "n", "id", "component", "signature")
-    margin = threshold - 3 * (threshold * (1 - threshold) / REGISTERS) ** 0.5
-    more = cut_lineage(across_components(rest, margin).join(star, ["a", "b"], "left_anti"))
-    if more.isEmpty():
-        final = comp
-    else:
-        final = components(links.union(verified(more, docs, threshold, k)))
+    rest = cut_lineage(rest.join(mixed, "bucket", "left_semi").select("bucket", "band", "n", "id", "component"))
+    ids = rest.select(F.col("id").alias("doc_id")).distinct()
+    texts = among(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")), cut_lineage(ids))
+    texts = texts.withColumnRenamed("doc_id", "id").join(nodes, "id")
+    more = cut_lineage(across_components(rest.join(texts, "id"), threshold, k))
+    final = comp if more.isEmpty() else components(links.union(more))
     out = s.select("doc_id", "mark").join(same, "mark", "left").join(final, "id", "left")
     return out.select("doc_id", F.when(F.col("doc_id").isNotNull(), F.col("id")).alias("copy_of"),
                       F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "id")).alias("class_id"))

@@ -7,7 +7,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from ratewise.llm.bag_minhash import REGISTERS, across_components, keep_one, near_classes, shingles, signatures, similarity
+from ratewise.llm.bag_minhash import across_components, keep_one, near_classes, shingles, signatures, similarity
 from ratewise.llm.common import components
 from ratewise.llm.wordhash import hash_words
 
@@ -69,19 +69,32 @@ def test_large_family_of_near_copies(make_docs):
     assert sum(got[d] == want[d] for d in got) >= 0.995 * len(rows)
 
 
-def test_blocks_find_every_pair_across_components(spark):
-    rng = np.random.default_rng(1)
-    base = rng.integers(0, 2 ** 32, REGISTERS, np.uint32)
+def test_small_blocks_join_the_same_classes(make_docs, monkeypatch):
+    from ratewise.llm import bag_minhash
+
+    rng = random.Random(12)
+    rows = list(enumerate(family(rng, 120, 60, 8)))
+    want = brute_classes(rows)
+    monkeypatch.setattr(bag_minhash, "BLOCK", 16)
+    got = {r["doc_id"]: r["class_id"] for r in near_classes(make_docs(rows)).collect()}
+    assert sum(got[d] == want[d] for d in got) >= 119
+
+
+def test_blocks_join_components_that_the_star_left_apart(spark):
+    """A chain in one bucket: each text is near the next only, and all start as their own component."""
+    words = [f"w{i}" for i in range(100)]
     rows = []
-    for i in range(700):  # three blocks
-        s = base.copy()
-        s[rng.integers(0, REGISTERS, 20)] += np.uint32(1)
-        rows.append((1, 700, i, i % 50, s.tobytes()))
-    m = spark.createDataFrame(rows, "bucket long, n long, id long, component long, signature binary")
-    got = {(r["a"], r["b"]) for r in across_components(m, 0.7).collect()}
-    sig = np.stack([np.frombuffer(r[4], np.uint32) for r in rows])
-    want = {(i, j) for i in range(700) for j in range(i + 1, 700) if i % 50 != j % 50 and (sig[i] == sig[j]).mean() >= 0.7}
-    assert got == want and want
+    for i in range(30):
+        t = " ".join([*words[:5], *(f"c{i // 2}x{j}" if j == 50 + (i + 1) // 2 else w for j, w in enumerate(words[5:]))])
+        sig = signatures(*shingles(*hash_words([t])), 1)[0]
+        sig[:5] = 7
+        rows.append((1, 0, 30, i, i, sig.tobytes(), t))
+    m = spark.createDataFrame(rows, "bucket long, band int, n long, id long, component long, signature binary, text string")
+    links = [tuple(r) for r in across_components(m).collect()]
+    brute = {(i, j) for i in range(30) for j in range(i + 1, 30) if jaccard(rows[i][6], rows[j][6]) >= 0.8}
+    assert links and set(links) <= brute
+    got = {r["id"]: r["component"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert {i: got.get(i, i) for i in range(30)} == brute_classes([(r[3], r[6]) for r in rows])
 
 
 def test_one_of_each_class_stays(make_docs, spark):

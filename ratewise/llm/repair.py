@@ -20,6 +20,7 @@ an empty table gives an empty file table; other columns are ignored.
 
 from __future__ import annotations
 
+import functools
 import re
 import struct
 import zlib
@@ -111,6 +112,12 @@ class Encoder:
         return np.frombuffer(b"".join(raw), self.type), np.array([len(r) // size for r in raw])
 
 
+@functools.lru_cache(maxsize=1)
+def encoder_of(path: str, by_word: bool) -> Encoder:
+    """One encoder a Python worker: later tasks of the worker find the words that earlier ones met."""
+    return Encoder(path, by_word)
+
+
 def compress(ids: np.ndarray, per_doc: np.ndarray, terminals: int, least: int = LEAST_COUNT, rounds: int = ROUNDS):
     """(left, right, symbols, first symbol of each document and the end)."""
     seq = ids.astype(np.uint32)
@@ -241,7 +248,7 @@ def write_shards(docs: DataFrame, tokenizer_path: str, by_word: bool = False, sh
     schema = "part int, seq int, n_docs long, n_tokens long, payload binary"
 
     def run(batches):
-        encoder = Encoder(tokenizer_path, by_word)
+        encoder = encoder_of(tokenizer_path, by_word)
         part, seq = TaskContext.get().partitionId(), 0
         held_ids, held, per, size = [], [], [], 0
 

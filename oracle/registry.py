@@ -65,9 +65,10 @@ ORACLE: dict[str, str] = {
     "flatten_attributes": side("""
         SELECT business_id, attr, value, regexp_full_match(value, '[0-9]+') AS is_digit FROM (
           SELECT business_id, 'brand' AS attr, attr_brand AS value FROM part_business WHERE attr_brand IS NOT NULL
-          UNION ALL SELECT business_id, 'size', attr_size FROM part_business WHERE attr_size IS NOT NULL
+          UNION ALL SELECT business_id, 'size', whole_size FROM part_business WHERE whole_size IS NOT NULL
           UNION ALL SELECT business_id, 'type', p_type FROM part_business WHERE attr_kind IS NOT NULL
-          UNION ALL SELECT business_id, ' big', big FROM part_business WHERE attr_kind IS NOT NULL) a"""),
+          UNION ALL SELECT business_id, ' big', big FROM part_business WHERE attr_kind IS NOT NULL
+          UNION ALL SELECT business_id, ' code', whole_size FROM part_business WHERE attr_kind IS NOT NULL) a"""),
     "checkin_stats": side("SELECT business_id, checkin_sum, round(checkin_avg, 6) AS checkin_avg FROM checkin_stats"),
     "guard_prediction": """
         SELECT l_orderkey, l_linenumber, round(raw, 6) AS raw,
@@ -181,9 +182,10 @@ ORACLE["impute_flags"] = side("""
 
 _FLAT = """flat AS (
   SELECT business_id, 'brand' AS attr, attr_brand AS value FROM part_business WHERE attr_brand IS NOT NULL
-  UNION ALL SELECT business_id, 'size', attr_size FROM part_business WHERE attr_size IS NOT NULL
+  UNION ALL SELECT business_id, 'size', whole_size FROM part_business WHERE whole_size IS NOT NULL
   UNION ALL SELECT business_id, 'type', p_type FROM part_business WHERE attr_kind IS NOT NULL
-  UNION ALL SELECT business_id, ' big', big FROM part_business WHERE attr_kind IS NOT NULL),
+  UNION ALL SELECT business_id, ' big', big FROM part_business WHERE attr_kind IS NOT NULL
+  UNION ALL SELECT business_id, ' code', whole_size FROM part_business WHERE attr_kind IS NOT NULL),
 voc AS (SELECT DISTINCT attr, value FROM flat),
 num AS (SELECT attr, bool_and(regexp_full_match(value, '[0-9]+')) AS numeric_attr FROM voc GROUP BY attr),
 ranked_voc AS (
@@ -196,3 +198,42 @@ ranked_voc AS (
 ORACLE["one_hot_attributes"] = side("""
     SELECT f.business_id, f.attr || '_' || f.value AS feature
     FROM flat f JOIN ranked_voc r ON r.attr = f.attr AND r.value = f.value WHERE r.pos > 1""", [_FLAT])
+
+_RAW = """rawp AS (SELECT user_id, business_id FROM rated WHERE l_orderkey % 10 = 0)"""
+ORACLE["knn_predict_duplicates"] = sql.with_ctes(_KNN20 + [_RAW], """
+    SELECT r.user_id, r.business_id, round(k.prediction, 6) AS prediction
+    FROM rawp r JOIN knn k ON k.user_id = r.user_id AND k.business_id = r.business_id""")
+ORACLE["item_similarity_heavy"] = sql.item_similarity(20)
+for _key, _header in (("sink_csv", "user_id,business_id,prediction"), ("sink_csv_loose", "user_id, business_id, prediction")):
+    ORACLE[_key] = sql.with_ctes(_KNN20, f"""
+        SELECT user_id, business_id, round(prediction, 6) AS prediction, '{_header}' AS header FROM knn""")
+
+_ROWS = """rows AS (SELECT user_id, business_id, 1 AS is_train FROM train
+  UNION ALL SELECT user_id, business_id, 0 FROM test)"""
+ORACLE["wide_features_strict"] = side("""
+    SELECT r.user_id, r.business_id, r.is_train, b.business_review_count AS review_count,
+           round(b.business_stars, 6) AS stars, round(u.user_avg_stars, 6) AS avg_stars,
+           u.user_n_friends AS n_friends, b.business_checkin_sum AS checkin_sum
+    FROM rows r JOIN ufeat u ON u.user_id = r.user_id AND u.user_review_count > 0
+    JOIN bfeat b ON b.business_id = r.business_id""", [_BFEAT, _UFEAT, _ROWS])
+
+_HYBRID = """matrix AS (
+  SELECT r.user_id, r.business_id, r.is_train, u.user_id IS NOT NULL AND b.business_id IS NOT NULL AS whole,
+         u.review_count AS user_review_count, u.average_stars AS user_average_stars,
+         b.stars AS business_stars, b.review_count AS business_review_count,
+         b.longitude AS business_longitude, b.latitude AS business_latitude
+  FROM rows r LEFT JOIN (SELECT * FROM usr WHERE CAST(user_id AS BIGINT) % 11 <> 0) u ON u.user_id = r.user_id
+  LEFT JOIN business b ON b.business_id = r.business_id)"""
+_HYBRID_COLS = ["user_review_count", "user_average_stars", "business_stars", "business_review_count",
+                "business_longitude", "business_latitude"]
+
+
+def _hybrid(where: str) -> str:
+    cols = ", ".join(f"""round(coalesce(CAST({c} AS DOUBLE), (SELECT avg({c}) FROM m WHERE is_train = 1)), 6) AS {c}"""
+                     for c in _HYBRID_COLS)
+    return side(f"SELECT user_id, business_id, is_train, {cols} FROM m",
+                [_ROWS, _HYBRID, f"m AS (SELECT * FROM matrix WHERE {where})"])
+
+
+ORACLE["hybrid_features"] = _hybrid("true")
+ORACLE["hybrid_features_strict"] = _hybrid("whole")

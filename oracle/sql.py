@@ -102,9 +102,12 @@ ITEM_TRAIN = """item_train AS (SELECT business_id, avg(stars) AS stars,
 PART_FIELDS = """part_fields AS (
   SELECT p_partkey, replace(p_name, ' ', ', ') AS categories,
          CASE WHEN p_size % 10 = 0 THEN NULL ELSE p_brand END AS attr_brand,
-         CASE WHEN p_size % 10 = 0 THEN NULL ELSE CAST(p_size AS VARCHAR) END AS attr_size,
+         CASE WHEN p_size % 10 = 0 THEN NULL WHEN p_partkey % 3 = 0 THEN lpad(CAST(p_size AS VARCHAR), 3, '0')
+              ELSE CAST(p_size AS VARCHAR) END AS attr_size,
+         CASE WHEN p_size % 10 = 0 THEN NULL ELSE CAST(p_size AS VARCHAR) END AS whole_size,
          CASE WHEN p_size % 10 = 0 THEN NULL
-              ELSE '{''type'': ' || p_type || ', ''big'': ' || CASE WHEN p_size > 25 THEN '1' ELSE '0' END || '}'
+              ELSE '{''type'': ' || p_type || ', ''big'': ' || CASE WHEN p_size > 25 THEN '1' ELSE '0' END
+                   || ', ''code'': 0' || CAST(p_size AS VARCHAR) || ': x}'
          END AS attr_kind,
          p_type, CASE WHEN p_size > 25 THEN '1' ELSE '0' END AS big,
          CASE WHEN p_size % 10 = 0 THEN 0 ELSE 3 END AS len_attributes,
@@ -118,7 +121,7 @@ BUSINESS = """business AS (
          it.stars AS stars, coalesce(it.review_count, 0) AS review_count,
          CASE WHEN s.s_acctbal > 0 THEN 1 ELSE 0 END AS is_open,
          n.n_name AS state, pf.categories, pf.attr_brand, pf.attr_size, pf.attr_kind,
-         pf.p_type, pf.big, pf.len_attributes, pf.len_hours
+         pf.p_type, pf.big, pf.whole_size, pf.len_attributes, pf.len_hours
   FROM supplier s
   LEFT JOIN nation n ON s.s_nationkey = n.n_nationkey
   LEFT JOIN part_fields pf ON pf.p_partkey = s.s_suppkey
@@ -190,7 +193,7 @@ checkin_stats AS (
   FROM checkin_rows GROUP BY business_id)"""
 
 TIP = """tip AS (
-  SELECT role AS business_id, CAST(conv_id AS VARCHAR) AS user_id, CAST(turn AS INTEGER) AS likes, text
+  SELECT CAST((conv_id * 7 + turn) % 150 AS VARCHAR) AS business_id, CAST(conv_id AS VARCHAR) AS user_id, CAST(turn AS INTEGER) AS likes, text
   FROM conversations)"""
 
 TIP_STATS = """tip_item AS (

@@ -54,20 +54,31 @@ def is_digits(c) -> Column:
     return _c(c).rlike("^[0-9]+$")
 
 
+def whole_number(c) -> Column:
+    """A string of digits as its integer is written, without leading zeros; all else unchanged."""
+    c = _c(c)
+    return F.when(is_digits(c), F.regexp_replace(c, "^0+(?=[0-9])", "")).otherwise(c)
+
+
 def flatten_nested_map(c) -> Column:
     """Flatten a MAP<STRING,STRING> whose values may be dict strings.
 
-    A value containing ``{`` is stripped of quotes and braces, split on ``,`` then ``": "``; its
-    pieces become top-level entries (keys keep their leading space and are not prefixed by the
-    parent key). Later keys overwrite earlier ones (needs ``spark.sql.mapKeyDedupPolicy=LAST_WIN``).
+    A value containing ``{`` is stripped of quotes and braces, split on ``,`` then ``": "``; the first
+    two parts of each piece become a top-level entry (keys keep their leading space and are not
+    prefixed by the parent key; a piece of one part has a NULL value). Values of digits only count as
+    integers. Later keys overwrite earlier ones (needs ``spark.sql.mapKeyDedupPolicy=LAST_WIN``).
     NULL map -> empty map.
     """
     entries = F.map_entries(F.coalesce(_c(c), F.create_map().cast("map<string,string>")))
 
+    def piece(p):
+        parts = F.split(p, ": ")
+        return F.struct(F.get(parts, F.lit(0)).alias("key"), whole_number(F.get(parts, F.lit(1))).alias("value"))
+
     def expand(e):
-        nested = F.map_entries(F.str_to_map(F.regexp_replace(e["value"], "['{}]", ""),
-                                            F.lit(","), F.lit(": ")))
-        return F.when(e["value"].contains("{"), nested).otherwise(F.array(e))
+        nested = F.transform(F.split(F.regexp_replace(e["value"], "['{}]", ""), ","), piece)
+        plain = F.struct(e["key"].alias("key"), whole_number(e["value"]).alias("value"))
+        return F.when(e["value"].contains("{"), nested).otherwise(F.array(plain))
 
     return F.map_from_entries(F.flatten(F.transform(entries, expand)))
 

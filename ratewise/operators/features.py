@@ -11,14 +11,13 @@ first value is dropped; a missing attribute gives all zeros.
 
 from __future__ import annotations
 
-from pyspark.ml.feature import PCA, CountVectorizerModel, ElementwiseProduct, StandardScaler
+from pyspark.ml.feature import PCA, CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratewise.functions import scalars as S
-from ratewise.session import persist
+from ratewise.session import cut_lineage
 
 
 # ---- attributes --------------------------------------------------------------------------
@@ -99,26 +98,26 @@ def attribute_vectors(business: DataFrame) -> tuple[DataFrame, list[str]]:
 
 # ---- PCA ---------------------------------------------------------------------------------
 def pca_columns(df: DataFrame, vec_col: str, k: int, prefix: str, id_col: str = "business_id") -> DataFrame:
-    """Centre ``vec_col``, project on the top-k principal components and return
-    (id_col, prefix0 .. prefix{k-1}).
+    """The top-k principal components of ``vec_col``: (id_col, prefix0 .. prefix{k-1}).
 
-    Spark's PCA does not centre before projecting, so a mean-only StandardScaler runs first.
+    Fitted on the vectors as they are: Spark's covariance subtracts the mean itself, so sparse rows
+    stay sparse. Its projection does not, so mean x components (k numbers) is subtracted after it.
     Component signs are fixed so that each component's largest absolute loading is positive.
     The covariance is d x d on the driver, so d is the vocabulary size, not the row count.
     """
-    scaled_col, pca_col = f"{vec_col}__c", f"{vec_col}__p"
-    # one small row per id, read by the scaler fit, the PCA fit and the projection
-    df = persist(df.select(id_col, vec_col))
-    scaler = StandardScaler(withMean=True, withStd=False, inputCol=vec_col, outputCol=scaled_col).fit(df)
-    centred = scaler.transform(df)
-    d = len(scaler.mean)
+    df = cut_lineage(df.select(id_col, vec_col))  # one small row per id, read by fit and projection
+    first = df.first()
+    if first is None:
+        return df.select(id_col, *[F.lit(0.0).alias(f"{prefix}{j}") for j in range(k)])
+    d = len(first[vec_col])
     k_eff = max(1, min(k, d))
-    model = PCA(k=k_eff, inputCol=scaled_col, outputCol=pca_col).fit(centred)
+    model = PCA(k=k_eff, inputCol=vec_col, outputCol="_p").fit(df)
     pc = model.pc.toArray()
     signs = [1.0 if pc[abs(pc[:, j]).argmax(), j] >= 0 else -1.0 for j in range(k_eff)]
-    flip = ElementwiseProduct(scalingVec=Vectors.dense(signs), inputCol=pca_col, outputCol=f"{pca_col}s")
-    out = flip.transform(model.transform(centred)).select(id_col, vector_to_array(f"{pca_col}s").alias("_a"))
-    cols = [(F.col("_a")[j] if j < k_eff else F.lit(0.0)).alias(f"{prefix}{j}") for j in range(k)]
+    out = model.transform(df).select(id_col, vector_to_array("_p").alias("_a"))
+    middle = out.select(*[F.avg(F.col("_a")[j]) for j in range(k_eff)]).first()
+    cols = [((F.col("_a")[j] - F.lit(middle[j])) * signs[j] if j < k_eff else F.lit(0.0)).alias(f"{prefix}{j}")
+            for j in range(k)]
     return out.select(id_col, *cols)
 
 
@@ -133,13 +132,17 @@ def pca_categories(business: DataFrame, k: int = 10) -> DataFrame:
 
 
 # ---- wide rows ---------------------------------------------------------------------------
-def state_one_hot(rows: DataFrame, col: str = "business_state") -> tuple[DataFrame, list[str]]:
-    """One-hot (drop-first) of ``col`` with the vocabulary of all rows (train and test together):
-    adds one 0/1 column per kept value, named ``state_<value>``."""
-    vocab = _sorted_values(rows.filter(F.col(col).isNotNull()), col)
+def state_one_hot(rows: DataFrame, col: str = "business_state",
+                  values: DataFrame | None = None) -> tuple[DataFrame, list[str]]:
+    """One-hot (drop-first) of ``col``: adds one 0/1 column per kept value, named ``state_<value>``.
+
+    The vocabulary is the distinct ``col`` of ``values`` (the business profiles in scope, a far smaller
+    table than the rows; default the rows themselves). It becomes columns, so it is collected: a
+    domain of states, bounded by nature."""
+    values = rows if values is None else values
+    vocab = _sorted_values(values.filter(F.col(col).isNotNull()), col)
     kept = vocab[1:]
-    out = rows.select("*", *[(F.col(col) == v).cast("int").alias(f"state_{v}") for v in kept])
-    out = out.fillna(0, subset=[f"state_{v}" for v in kept])
+    out = rows.select("*", *[F.coalesce((F.col(col) == v).cast("int"), F.lit(0)).alias(f"state_{v}") for v in kept])
     return out, [f"state_{v}" for v in kept]
 
 

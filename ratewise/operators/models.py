@@ -29,32 +29,22 @@ def assemble(df: DataFrame, feature_cols: list[str], out: str = "features") -> D
     return VectorAssembler(inputCols=feature_cols, outputCol=out, handleInvalid="error").transform(df)
 
 
-# Each boosting level is one distributed pass over the training rows, and the work of a pass
-# grows with rows x features. Training rows are spread over up to one partition per core
-# (defaultParallelism) once there are CELLS_PER_PARTITION feature values per partition, and over
-# more partitions once a partition would exceed ROWS_PER_PARTITION rows. Measured (10 trees):
-#   81 features, 518k rows, depth 8:  1 partition 56 s, 4 -> 28 s, 8 -> 22 s
-#   81 features,  52k rows, depth 8:  1 partition 17 s, 4 -> 10 s, 8 -> 10 s
-#   10 features,  52k rows, depth 10: 1 partition 8.8 s, 2 -> 7.5 s, 8 -> 15.6 s
-#   10 features, 518k rows, depth 10: 5 partitions 12.1 s, 8 -> 6.8 s
-ROWS_PER_PARTITION = 100_000
-CELLS_PER_PARTITION = 250_000
+# Training rows are dealt to this many partitions by a hash of their ids and sorted within them, so that
+# a model depends on its rows and parameters alone: Spark's split finding samples rows partition by
+# partition, and a count taken from the cores or the row number would change the trees. Raise it with the
+# data (about 100k rows of 80 features a partition) and keep it with the model.
+TRAIN_PARTITIONS = 8
 
 
-def training_partitions(n_rows: int, n_features: int, cores: int) -> int:
-    by_cells = min(cores, -(-n_rows * max(1, n_features) // CELLS_PER_PARTITION))
-    return max(1, by_cells, -(-n_rows // ROWS_PER_PARTITION))
-
-
-def fit_gbt(train_rows: DataFrame, feature_cols: list[str], label_col: str = "label", **params):
-    """Fit a GBTRegressor on the assembled rows; returns the model."""
+def fit_gbt(train_rows: DataFrame, feature_cols: list[str], label_col: str = "label",
+            partitions: int = TRAIN_PARTITIONS, key_cols: tuple[str, ...] = ("user_id", "business_id"), **params):
+    """Fit a GBTRegressor on the assembled rows; returns the model. One copy of the rows (features,
+    label) is cached for the passes and released."""
     checkpoint_dir(train_rows.sparkSession)
-    rows = assemble(train_rows, feature_cols).select("features", label_col)
-    n_rows = rows.count()
-    want = training_partitions(n_rows, len(feature_cols),
-                               rows.sparkSession.sparkContext.defaultParallelism)
-    data = persist(rows.repartition(want))
-    data.count()
+    keys = [c for c in key_cols if c in train_rows.columns] or list(feature_cols)
+    rows = train_rows.select(*dict.fromkeys([*keys, *feature_cols, label_col]))
+    rows = rows.repartition(partitions, *keys).sortWithinPartitions(*keys, label_col, *feature_cols)
+    data = persist(assemble(rows, feature_cols).select("features", label_col))
     # Node-id caching adds a persisted RDD per level; at depth 8-10 it was slower than
     # re-walking the tree (18 s vs 24-28 s per 10 trees at sf0.1), so it stays off. The
     # prediction-error RDD is still checkpointed every 10 iterations to bound lineage.

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ratewise.operators import similarity as sim_ops
 from ratewise.operators.stats import item_stats as _item_stats
+from ratewise.operators.stats import latest_ratings
 from ratewise.operators.stats import user_stats as _user_stats
 
 DEFAULT_PREDICTION = 3.0
@@ -72,9 +73,18 @@ def predict_ladder(pairs: DataFrame, weighted: DataFrame, ustats: DataFrame,
 def knn_predict(train: DataFrame, pairs: DataFrame, min_overlap: int = 75, k: int = 3,
                 denominator: str = "sum", include_self: bool = True,
                 heavy_user_degree: int = sim_ops.DEFAULT_HEAVY_USER_DEGREE,
-                default: float = DEFAULT_PREDICTION, decimals: int | None = OUT_DECIMALS) -> DataFrame:
-    """Item-kNN prediction for every row of ``pairs``: (user_id, business_id, prediction)."""
+                default: float = DEFAULT_PREDICTION, decimals: int | None = OUT_DECIMALS,
+                order_by: list[str] | None = None, unique: bool = False) -> DataFrame:
+    """Item-kNN prediction for every row of ``pairs``: (user_id, business_id, prediction).
+
+    Repeated training ratings of a (user, item) count once (:func:`stats.latest_ratings` with
+    ``order_by``); a pair listed several times is predicted once and gets a row each time.
+    ``unique`` says that neither input repeats a (user, item), which saves both steps."""
+    if not unique:
+        train = latest_ratings(train, order_by)
     train = train.select("user_id", "business_id", F.col("stars").cast("double"))
+    asked = pairs.select("user_id", "business_id")
+    pairs = asked if unique else asked.distinct()
     istats = _item_stats(train)
     ustats = _user_stats(train)
     cand = knn_candidates(pairs, train, include_self)
@@ -83,7 +93,8 @@ def knn_predict(train: DataFrame, pairs: DataFrame, min_overlap: int = 75, k: in
     sims = sim_ops.pair_similarity(train, cand, min_overlap, denominator, heavy_user_degree,
                                    istats=istats, ustats=ustats)
     top = knn_top_k(cand, sims, k)
-    pred = predict_ladder(pairs, weighted_average(top), ustats, default)
+    # every row of the pairs asks the ladder, so repeats come back as they were listed
+    pred = predict_ladder(asked, weighted_average(top), ustats, default)
     if decimals is not None:
         pred = pred.withColumn("prediction", F.round("prediction", decimals))
     return pred

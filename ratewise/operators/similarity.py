@@ -20,12 +20,13 @@ split by degree (``heavy_user_degree``):
   D * |ratings|. The terms are summed with map-side partial aggregation, then semi-joined with the
   needed pairs (AQE broadcasts that side when its runtime size is under the threshold).
 * heavy users (degree > D, at most |ratings| / D of them): no per-user pairing. Each needed pair
-  (lo, hi) is joined with the heavy raters of lo, and then with the heavy ratings on (user, hi),
-  an equi-join whose build side has unique keys.
+  is joined with the heavy raters of whichever of its items has fewer, and then with the heavy
+  ratings on (user, other item), an equi-join whose build side has unique keys.
 
 Both halves produce per-user terms that are summed by a hash aggregate with map-side combine.
 Needed pairs whose items cannot reach ``min_overlap`` (min degree below it) are pruned before
-any of this; the result is exact, nothing is sampled or capped.
+any of this, and with them the ratings of items in no needed pair; the result is exact, nothing is
+sampled or capped.
 """
 
 from __future__ import annotations
@@ -80,30 +81,41 @@ def co_rating_stats(centred: DataFrame, needed_lohi: DataFrame, ustats: DataFram
     """(lo, hi, n_common, num, den_lo, den_hi) for needed unordered pairs (lo <= hi) with at
     least one common rater.
 
+    Ratings of items in no needed pair are dropped first. Heavy users are split off by the table of
+    their ids before anything is partitioned by user, so no task is dealt a heavy user's ratings.
     The light-user self-join multiplies rows by up to D, so its input is hash-partitioned by
     user into ``num_partitions`` (default spark.sql.shuffle.partitions) explicitly: sized for the
     output, where AQE would size it for the much smaller input.
     """
     n = _partitions(centred, num_partitions)
-    rated = (centred.select("user_id", "business_id", "centred").repartition(n, "user_id")
-             .join(ustats.select("user_id", "user_degree"), "user_id"))
-    light = rated.filter(F.col("user_degree") <= heavy_user_degree)
-    heavy = rated.filter(F.col("user_degree") > heavy_user_degree)
+    needed_lohi = needed_lohi.select("lo", "hi")
+    live = needed_lohi.select(F.col("lo").alias("business_id")).union(needed_lohi.select("hi")).distinct()
+    rated = centred.select("user_id", "business_id", "centred").join(live, "business_id", "left_semi")
+    heavy_ids = ustats.filter(F.col("user_degree") > heavy_user_degree).select("user_id")
+    light = rated.join(heavy_ids, "user_id", "left_anti").repartition(n, "user_id")
+    heavy = rated.join(heavy_ids, "user_id", "left_semi")
 
     a = light.select("user_id", F.col("business_id").alias("lo"), F.col("centred").alias("c_lo"))
     b = light.select("user_id", F.col("business_id").alias("hi"), F.col("centred").alias("c_hi"))
     light_terms = (a.join(b, "user_id").filter(F.col("lo") <= F.col("hi"))
                    .select("lo", "hi", "c_lo", "c_hi"))
 
-    ha = heavy.select("user_id", F.col("business_id").alias("lo"), F.col("centred").alias("c_lo"))
-    hb = heavy.select("user_id", F.col("business_id").alias("hi"), F.col("centred").alias("c_hi"))
-    heavy_terms = (needed_lohi.select("lo", "hi").join(ha, "lo")
-                   .join(hb, ["user_id", "hi"])
-                   .select("lo", "hi", "c_lo", "c_hi"))
+    # a needed pair meets the heavy raters of the item that has fewer of them
+    raters = heavy.groupBy("business_id").agg(F.count(F.lit(1)).alias("n"))
+    pair = (needed_lohi.join(raters.select(F.col("business_id").alias("lo"), F.col("n").alias("n_lo")), "lo")
+            .join(raters.select(F.col("business_id").alias("hi"), F.col("n").alias("n_hi")), "hi"))
+    lo_first = F.col("n_lo") <= F.col("n_hi")
+    pair = pair.select("lo", "hi", lo_first.alias("lo_first"), F.when(lo_first, F.col("lo")).otherwise(F.col("hi")).alias("one"),
+                       F.when(lo_first, F.col("hi")).otherwise(F.col("lo")).alias("two"))
+    one = heavy.select("user_id", F.col("business_id").alias("one"), F.col("centred").alias("c_one"))
+    two = heavy.select("user_id", F.col("business_id").alias("two"), F.col("centred").alias("c_two"))
+    heavy_terms = (pair.join(one, "one").join(two, ["user_id", "two"])
+                   .select("lo", "hi", F.when(F.col("lo_first"), F.col("c_one")).otherwise(F.col("c_two")).alias("c_lo"),
+                           F.when(F.col("lo_first"), F.col("c_two")).otherwise(F.col("c_one")).alias("c_hi")))
 
     # one aggregate over both halves (map-side partial sums), then keep the needed pairs
     return (_sums(light_terms.unionByName(heavy_terms))
-            .join(needed_lohi.select("lo", "hi"), ["lo", "hi"], "left_semi"))
+            .join(needed_lohi, ["lo", "hi"], "left_semi"))
 
 
 def _sums(terms: DataFrame) -> DataFrame:

@@ -10,6 +10,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def latest_ratings(train: DataFrame, order_by: list[str] | None = None) -> DataFrame:
+    """(user_id, business_id, stars), one row per pair: the rating of the last row by ``order_by``,
+    then by stars. Without ``order_by`` the largest rating stands, since a distributed read has no
+    last line."""
+    last = F.struct(*(order_by or []), "stars")
+    return train.groupBy("user_id", "business_id").agg(F.max_by("stars", last).alias("stars"))
+
+
 def item_stats(train: DataFrame) -> DataFrame:
     """(business_id, item_mean, item_degree): mean over all of the item's ratings."""
     return train.groupBy("business_id").agg(
@@ -33,8 +41,8 @@ def user_mean(train: DataFrame) -> DataFrame:
 def ratings_by_key(train: DataFrame, key: str = "business_id") -> DataFrame:
     """Grouped view of the ratings: per key, the count, sum and mean of stars.
 
-    The reference materialises the rating list of every key; the plans here stay in long form and
-    only this summary is grouped, so no group is ever collected into one row.
+    A summary, not the rating lists that the survey describes: the plans here stay in long form, so
+    no group is ever collected into one row.
     """
     return train.groupBy(key).agg(
         F.count(F.lit(1)).alias("n_ratings"),
@@ -44,10 +52,10 @@ def ratings_by_key(train: DataFrame, key: str = "business_id") -> DataFrame:
 
 def explode_group_having(train: DataFrame, key: str = "user_id", value: str = "business_id",
                          min_size: int = 2) -> DataFrame:
-    """Flatten, group by key, keep keys with more than ``min_size - 1`` values.
+    """Keys with at least ``min_size`` values, and how many they have.
 
-    Returns the per-key size instead of the concatenated list, so no group is gathered into a
-    single row.
+    A summary, not the concatenated list that the survey describes: no group is gathered into a
+    single row. (The long-form input is already flat.)
     """
     return (train.groupBy(key).agg(F.count(value).alias("n_values"))
             .filter(F.col("n_values") >= min_size))

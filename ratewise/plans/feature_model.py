@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ratewise.functions import scalars as S
 from ratewise.operators import features as FE
 from ratewise.operators import models, profiles, scope
-from ratewise.session import persist
+from ratewise.session import cut_lineage
 
 USER_EXTRA = ["n_tip_user", "avg_like_user", "avg_tip_len_user"]
 BUSINESS_EXTRA = ["checkin_sum", "checkin_avg", "n_tip_business", "avg_like_business",
@@ -48,43 +48,50 @@ def business_features(business: DataFrame, checkin: DataFrame, tip: DataFrame, t
     return b
 
 
-def wide_rows(train: DataFrame, pairs: DataFrame, ufeat: DataFrame, bfeat: DataFrame) -> DataFrame:
-    """Train rows (is_train=1, label) and pairs (is_train=0) with every feature attached."""
+def wide_rows(train: DataFrame, pairs: DataFrame, ufeat: DataFrame, bfeat: DataFrame,
+              strict: bool = False, reference_names: bool = False) -> DataFrame:
+    """Train rows (is_train=1, label) and pairs (is_train=0) with every feature attached.
+
+    ``strict`` keeps only rows whose user and business have features. With ``reference_names`` the
+    features lose their prefixes and a business feature replaces the user's of the same name."""
     rows = (train.select("user_id", "business_id", F.col("stars").cast("double").alias("label"),
                          F.lit(1).alias("is_train"))
             .unionByName(pairs.select("user_id", "business_id", F.lit(None).cast("double").alias("label"),
                                       F.lit(0).alias("is_train"))))
-    return rows.join(ufeat, "user_id", "left").join(bfeat, "business_id", "left")
+    if reference_names:
+        bfeat = bfeat.toDF(*[c if c == "business_id" else c.removeprefix("business_") for c in bfeat.columns])
+        ufeat = ufeat.toDF(*[c if c == "user_id" else c.removeprefix("user_") for c in ufeat.columns])
+        ufeat = ufeat.select("user_id", *[c for c in ufeat.columns if c not in bfeat.columns and c != "user_id"])
+    how = "inner" if strict else "left"
+    return rows.join(ufeat, "user_id", how).join(bfeat, "business_id", how)
 
 
 def feature_columns(wide: DataFrame) -> list[str]:
-    skip = {"user_id", "business_id", "label", "is_train", "business_state"}
+    skip = {"user_id", "business_id", "label", "is_train", "business_state", "state"}
     return [c for c in wide.columns if c not in skip]
 
 
-def model_predictions(train: DataFrame, pairs: DataFrame, business: DataFrame, user: DataFrame,
-                      checkin: DataFrame, tip: DataFrame, params: dict | None = None,
-                      pca_attr: int = 5, pca_cat: int = 10) -> DataFrame:
-    """M1 + M2: (user_id, business_id, prediction) of the boosted trees, not yet clipped."""
+def feature_model_predict(train: DataFrame, pairs: DataFrame, business: DataFrame, user: DataFrame,
+                          checkin: DataFrame, tip: DataFrame, params: dict | None = None,
+                          pca_attr: int = 5, pca_cat: int = 10, strict: bool = False,
+                          reference_names: bool = False) -> DataFrame:
+    """(user_id, business_id, raw_prediction, prediction) for every row of ``pairs``: the boosted trees'
+    output, and that clipped to [1, 5]. One fit; the wide rows are written once to the shared scratch
+    folder and read by the imputation statistics, the training copy and the predictions."""
     params = dict(models.FEATURE_MODEL_PARAMS, **(params or {}))
     train = train.select("user_id", "business_id", "stars")
-    train = persist(train)
-    # feature tables are small (one row per user / business) and read several times
-    ufeat = persist(user_features(user, tip, train, pairs))
-    bfeat = persist(business_features(business, checkin, tip, train, pairs, pca_attr, pca_cat))
-    wide = persist(wide_rows(train, pairs, ufeat, bfeat))
-    wide, state_cols = FE.state_one_hot(wide)
+    asked = pairs.select("user_id", "business_id")
+    ufeat = user_features(user, tip, train, asked)
+    bfeat = cut_lineage(business_features(business, checkin, tip, train, asked, pca_attr, pca_cat))
+    wide = cut_lineage(wide_rows(train, asked.distinct(), ufeat, bfeat, strict, reference_names))
+    state = "state" if reference_names else "business_state"
+    wide, state_cols = FE.state_one_hot(wide, state, bfeat.select(F.col("business_state").alias(state)))
     num_cols = [c for c in feature_columns(wide) if c not in state_cols]
-    wide = persist(FE.impute_with_flags(wide, num_cols, stats_where="is_train = 1",
-                                        drop_constant_flags=True))
+    wide = FE.impute_with_flags(wide, num_cols, stats_where="is_train = 1", drop_constant_flags=True)
     feats = feature_columns(wide)
     model = models.fit_gbt(wide.filter("is_train = 1"), feats, "label", **params)
-    return models.predict(model, wide.filter("is_train = 0"), feats, ["user_id", "business_id"])
-
-
-def feature_model_predict(train: DataFrame, pairs: DataFrame, business: DataFrame, user: DataFrame,
-                          checkin: DataFrame, tip: DataFrame, params: dict | None = None,
-                          pca_attr: int = 5, pca_cat: int = 10) -> DataFrame:
-    """(user_id, business_id, prediction) for every pair, clipped to [1, 5]."""
-    pred = model_predictions(train, pairs, business, user, checkin, tip, params, pca_attr, pca_cat)
-    return pred.select("user_id", "business_id", S.clip_prediction("prediction").alias("prediction"))
+    pred = models.predict(model, wide.filter("is_train = 0"), feats, ["user_id", "business_id"])
+    # one prediction a distinct pair, a row for every time it was listed
+    return asked.join(pred, ["user_id", "business_id"]).select(
+        "user_id", "business_id", F.col("prediction").alias("raw_prediction"),
+        S.clip_prediction("prediction").alias("prediction"))

@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from ratewise.functions import scalars as S
 from ratewise.operators import features as FE
 from ratewise.operators import models, neighbours
-from ratewise.session import persist
+from ratewise.operators.stats import latest_ratings
+from ratewise.session import cut_lineage
 
 FEATURES = ["user_review_count", "user_average_stars", "business_stars", "business_review_count",
             "business_longitude", "business_latitude"]
@@ -32,18 +33,24 @@ def profile_rows(rows: DataFrame, user: DataFrame, business: DataFrame, strict:
     return rows.join(u, "user_id", how).join(b, "business_id", how)
 
 
-def model_predictions(train: DataFrame, pairs: DataFrame, user: DataFrame, business: DataFrame,
-                      params: dict | None = None, strict: bool = False) -> DataFrame:
-    """(user_id, business_id, model_prediction) guarded."""
-    params = dict(models.HYBRID_PARAMS, **(params or {}))
+def design_matrix(train: DataFrame, pairs: DataFrame, user: DataFrame, business: DataFrame,
+                  strict: bool = False) -> tuple[DataFrame, list[str]]:
+    """Training rows and distinct pairs with the six features, missing ones imputed and flagged, and
+    the names of the feature columns. ``strict`` drops rows without both profiles."""
     rows = (train.select("user_id", "business_id", F.col("stars").cast("double").alias("label"),
                          F.lit(1).alias("is_train"))
             .unionByName(pairs.select("user_id", "business_id", F.lit(None).cast("double").alias("label"),
-                                      F.lit(0).alias("is_train"))))
-    wide = profile_rows(rows, user, business, strict)
-    wide = persist(FE.impute_with_flags(wide, FEATURES, stats_where="is_train = 1",
-                                        drop_constant_flags=True))
-    feats = [c for c in wide.columns if c in FEATURES or c.endswith("_missing")]
+                                      F.lit(0).alias("is_train")).distinct()))
+    wide = cut_lineage(profile_rows(rows, user, business, strict))
+    wide = FE.impute_with_flags(wide, FEATURES, stats_where="is_train = 1", drop_constant_flags=True)
+    return wide, [c for c in wide.columns if c in FEATURES or c.endswith("_missing")]
+
+
+def model_predictions(train: DataFrame, pairs: DataFrame, user: DataFrame, business: DataFrame,
+                      params: dict | None = None, strict: bool = False) -> DataFrame:
+    """(user_id, business_id, model_prediction) guarded, one row per distinct pair."""
+    params = dict(models.HYBRID_PARAMS, **(params or {}))
+    wide, feats = design_matrix(train, pairs, user, business, strict)
     model = models.fit_gbt(wide.filter("is_train = 1"), feats, "label", **params)
     pred = models.predict(model, wide.filter("is_train = 0"), feats, ["user_id", "business_id"])
     return pred.select("user_id", "business_id", S.guard_prediction("prediction").alias("model_prediction"))
@@ -51,10 +58,13 @@ def model_predictions(train: DataFrame, pairs: DataFrame, user: DataFrame, busin
 
 def hybrid_predict(train: DataFrame, pairs: DataFrame, user: DataFrame, business: DataFrame,
                    min_overlap: int = 75, knn_weight: float = 0.1, params: dict | None = None,
-                   strict: bool = False) -> DataFrame:
-    """(user_id, business_id, prediction) = knn_weight * kNN + (1 - knn_weight) * model."""
-    knn = neighbours.knn_predict(train, pairs, min_overlap=min_overlap, decimals=None)
+                   strict: bool = False, order_by: list[str] | None = None, unique: bool = False) -> DataFrame:
+    """(user_id, business_id, knn_prediction, model_prediction, prediction) for every row of ``pairs``;
+    prediction = knn_weight * kNN + (1 - knn_weight) * model. Repeats as in :func:`neighbours.knn_predict`."""
+    if not unique:
+        train = latest_ratings(train, order_by)
+    knn = neighbours.knn_predict(train, pairs, min_overlap=min_overlap, decimals=None, unique=unique)
     mod = model_predictions(train, pairs, user, business, params, strict)
     return (knn.join(mod, ["user_id", "business_id"])
-            .select("user_id", "business_id",
+            .select("user_id", "business_id", F.col("prediction").alias("knn_prediction"), "model_prediction",
                     S.blend("prediction", "model_prediction", knn_weight).alias("prediction")))

@@ -22,27 +22,27 @@ def run_knn(spark: SparkSession, train_csv: str, pairs_csv: str, out_path: str,
     sinks.write_predictions_csv_loose(pred, out_path)
 
 
-def run_hybrid(spark: SparkSession, folder: str, pairs_csv: str, out_path: str,
-               min_overlap: int = 75, params: dict | None = None) -> None:
-    """Q2: folder holds yelp_train.csv, user.json, business.json."""
-    folder = folder.rstrip("/")
-    train = readers.read_ratings_csv(spark, f"{folder}/yelp_train.csv")
+def run_hybrid(spark: SparkSession, train_csv: str, user_json: str, business_json: str, pairs_csv: str,
+               out_path: str, min_overlap: int = 75, params: dict | None = None, strict: bool = False) -> None:
+    """Q2: 0.1 x item-kNN + 0.9 x boosted trees, loose-header CSV."""
+    train = readers.read_ratings_csv(spark, train_csv)
     pairs = readers.read_pairs_csv(spark, pairs_csv)
-    user = readers.read_user_json(spark, f"{folder}/user.json")
-    business = readers.read_business_json(spark, f"{folder}/business.json")
-    pred = hybrid.hybrid_predict(train, pairs, user, business, min_overlap=min_overlap, params=params)
+    user = readers.read_user_json(spark, user_json)
+    business = readers.read_business_json(spark, business_json)
+    pred = hybrid.hybrid_predict(train, pairs, user, business, min_overlap=min_overlap, params=params, strict=strict)
     sinks.write_predictions_csv_loose(pred, out_path)
 
 
-def run_feature_model(spark: SparkSession, folder: str, pairs_csv: str, out_path: str,
-                      params: dict | None = None, min_partitions: int | None = None) -> None:
-    """Q3: folder holds yelp_train.csv, business.json, user.json, checkin.json, tip.json."""
-    folder = folder.rstrip("/")
-    train = readers.read_ratings_csv(spark, f"{folder}/yelp_train.csv", min_partitions)
+def run_feature_model(spark: SparkSession, train_csv: str, business_json: str, user_json: str, checkin_json: str,
+                      tip_json: str, pairs_csv: str, out_path: str, params: dict | None = None,
+                      min_partitions: int | None = None, strict: bool = False, reference_names: bool = False) -> None:
+    """Q3: clipped boosted trees on the wide features, standard-header CSV."""
+    train = readers.read_ratings_csv(spark, train_csv, min_partitions)
     pairs = readers.read_pairs_csv(spark, pairs_csv, min_partitions)
-    business = readers.read_business_json(spark, f"{folder}/business.json", min_partitions)
-    user = readers.read_user_json(spark, f"{folder}/user.json", min_partitions)
-    checkin = readers.read_checkin_json(spark, f"{folder}/checkin.json", min_partitions)
-    tip = readers.read_tip_json(spark, f"{folder}/tip.json", min_partitions)
-    pred = feature_model.feature_model_predict(train, pairs, business, user, checkin, tip, params)
+    business = readers.read_business_json(spark, business_json, min_partitions)
+    user = readers.read_user_json(spark, user_json, min_partitions)
+    checkin = readers.read_checkin_json(spark, checkin_json, min_partitions)
+    tip = readers.read_tip_json(spark, tip_json, min_partitions)
+    pred = feature_model.feature_model_predict(train, pairs, business, user, checkin, tip, params,
+                                               strict=strict, reference_names=reference_names)
     sinks.write_predictions_csv(pred, out_path)

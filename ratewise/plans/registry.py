@@ -37,7 +37,15 @@ def query(name: str):
 
 
 def _knn(s: StandIn, min_overlap: int) -> DataFrame:
-    return neighbours.knn_predict(s.train, s.pairs, min_overlap=min_overlap)
+    return neighbours.knn_predict(s.train, s.pairs, min_overlap=min_overlap, unique=True)
+
+
+@query("knn_predict_duplicates")
+def _q_knn_predict_duplicates(s: StandIn) -> DataFrame:
+    """Q1 from every raw rating row, the last of a (user, item) standing, for every raw held-out row."""
+    rows = s.named(s.raw_test)
+    return neighbours.knn_predict(s.named(s.raw_train), rows, min_overlap=MIN_OVERLAP,
+                                  order_by=["l_orderkey", "l_linenumber"])
 
 
 @query("knn_predict")
@@ -68,6 +76,13 @@ def _q_item_similarity_strict(s: StandIn) -> DataFrame:
     return _sims(s, MIN_OVERLAP_STRICT)
 
 
+@query("item_similarity_heavy")
+def _q_item_similarity_heavy(s: StandIn) -> DataFrame:
+    """K2 with users of over 20 ratings on the heavy path, which never pairs a user's ratings."""
+    cand = neighbours.knn_candidates(s.pairs, s.train)
+    return similarity.item_similarity(s.train, similarity.needed_pairs(cand), MIN_OVERLAP, heavy_user_degree=20)
+
+
 @query("knn_top_k")
 def _q_knn_top_k(s: StandIn) -> DataFrame:
     """K3: the 3 most similar positive neighbours per pair."""
@@ -80,7 +95,7 @@ def _q_knn_top_k(s: StandIn) -> DataFrame:
 from ratewise.functions import scalars as S  # noqa: E402
 from ratewise.operators import evaluate, features as FE, profiles, scope, stats  # noqa: E402
 from ratewise.plans import feature_model, hybrid  # noqa: E402
-from ratewise.session import scratch_path  # noqa: E402
+from ratewise.session import cut_lineage, scratch_path  # noqa: E402
 from ratewise.sources import readers, sinks  # noqa: E402
 
 
@@ -90,10 +105,10 @@ def _round(df: DataFrame, cols: list[str], decimals: int = 6) -> DataFrame:
 
 @query("scan_ratings")
 def _q_scan_ratings(s: StandIn) -> DataFrame:
-    """The training ratings written as header CSV and read back with the explicit schema."""
+    """The training ratings written as header CSV and read back, in eight splits at least."""
     path = scratch_path(s.spark, "ratings-csv")
     s.train.write.option("header", True).csv(path)
-    return readers.read_ratings_csv(s.spark, path)
+    return readers.read_ratings_csv(s.spark, path, min_partitions=8)
 
 
 @query("scan_pairs")
@@ -143,23 +158,24 @@ def _q_scan_tip_json(s: StandIn) -> DataFrame:
 
 
 def _sink_roundtrip(s: StandIn, loose: bool) -> DataFrame:
-    pred = neighbours.knn_predict(s.train, s.pairs, min_overlap=MIN_OVERLAP)
+    pred = _knn(s, MIN_OVERLAP)
     path = scratch_path(s.spark, "pred-csv")
     (sinks.write_predictions_csv_loose if loose else sinks.write_predictions_csv)(pred, path)
-    back = s.spark.read.option("header", True).option("ignoreLeadingWhiteSpace", False).csv(path)
-    return back.toDF("user_id", "business_id", "prediction").select(
-        "user_id", "business_id", F.col("prediction").cast("double"))
+    lines = s.spark.read.text(path)
+    header = lines.filter(F.col("value").startswith("user_id")).select(F.max("value").alias("header"))
+    rows = s.spark.read.option("header", True).csv(path).toDF("user_id", "business_id", "prediction")
+    return rows.select("user_id", "business_id", F.col("prediction").cast("double").alias("prediction")).join(F.broadcast(header))
 
 
 @query("sink_csv")
 def _q_sink_csv(s: StandIn) -> DataFrame:
-    """kNN predictions through the standard-header CSV sink, read back."""
+    """kNN predictions through the standard-header CSV sink, read back with its header line."""
     return _sink_roundtrip(s, loose=False)
 
 
 @query("sink_csv_loose")
 def _q_sink_csv_loose(s: StandIn) -> DataFrame:
-    """kNN predictions through the loose-header CSV sink, read back."""
+    """kNN predictions through the loose-header CSV sink, read back with its header line."""
     return _sink_roundtrip(s, loose=True)
 
 
@@ -249,7 +265,7 @@ def _q_clip_prediction(s: StandIn) -> DataFrame:
 @query("blend")
 def _q_blend(s: StandIn) -> DataFrame:
     """0.1 x kNN + 0.9 x item mean (guarded) per held-out pair."""
-    knn = neighbours.knn_predict(s.train, s.pairs, min_overlap=MIN_OVERLAP, decimals=None)
+    knn = neighbours.knn_predict(s.train, s.pairs, min_overlap=MIN_OVERLAP, decimals=None, unique=True)
     im = stats.item_mean(s.train)
     out = knn.join(im, "business_id", "left").select(
         "user_id", "business_id",
@@ -359,14 +375,14 @@ def _q_category_vocab(s: StandIn) -> DataFrame:
 @query("rmse")
 def _q_rmse(s: StandIn) -> DataFrame:
     """RMSE of the kNN predictions on the held-out labels."""
-    pred = neighbours.knn_predict(s.train, s.pairs, min_overlap=MIN_OVERLAP, decimals=None)
+    pred = neighbours.knn_predict(s.train, s.pairs, min_overlap=MIN_OVERLAP, decimals=None, unique=True)
     return _round(evaluate.rmse(pred, s.test), ["rmse"])
 
 
 @query("error_histogram")
 def _q_error_histogram(s: StandIn) -> DataFrame:
     """A10."""
-    pred = neighbours.knn_predict(s.train, s.pairs, min_overlap=MIN_OVERLAP, decimals=None)
+    pred = neighbours.knn_predict(s.train, s.pairs, min_overlap=MIN_OVERLAP, decimals=None, unique=True)
     return evaluate.error_histogram(pred, s.test)
 
 
@@ -419,7 +435,8 @@ def _q_wide_features(s: StandIn) -> DataFrame:
 def _q_union_one_hot(s: StandIn) -> DataFrame:
     """State one-hot over the joint train+test vocabulary, as the name of the hot column."""
     rows = _wide(s).select("user_id", "business_id", "is_train", "business_state")
-    oh, cols = FE.state_one_hot(rows)
+    scoped = scope.scope_items(s.business, s.train, s.pairs).select(F.col("state").alias("business_state"))
+    oh, cols = FE.state_one_hot(rows, values=scoped)
     hot = F.coalesce(*[F.when(F.col(c) == 1, F.lit(c)) for c in cols]) if cols else F.lit(None)
     return oh.select("user_id", "business_id", "is_train", hot.cast("string").alias("state_feature"))
 
@@ -427,33 +444,51 @@ def _q_union_one_hot(s: StandIn) -> DataFrame:
 @query("impute_flags")
 def _q_impute_flags(s: StandIn) -> DataFrame:
     """Mean imputation (means over training rows) with missing flags."""
-    w = _wide(s).select("user_id", "business_id", "is_train", "user_avg_stars", "business_stars")
+    w = cut_lineage(_wide(s).select("user_id", "business_id", "is_train", "user_avg_stars", "business_stars"))
     out = FE.impute_with_flags(w, ["user_avg_stars", "business_stars"], stats_where="is_train = 1")
     return _round(out, ["user_avg_stars", "business_stars"])
 
 
 # ---- models and pipelines (rows-only checks) -----------------------------------------------
-@query("gbt_hybrid_model")
-def _q_gbt_hybrid_model(s: StandIn) -> DataFrame:
-    """M3/M4: guarded boosted-tree predictions of the hybrid."""
-    return hybrid.model_predictions(s.train, s.pairs, s.user, s.business)
+@query("wide_features_strict")
+def _q_wide_features_strict(s: StandIn) -> DataFrame:
+    """Rows that have both profiles only, with the reference's unprefixed names."""
+    known = s.user.filter("review_count > 0")
+    ufeat = feature_model.user_features(known, s.tip, s.train, s.pairs)
+    bfeat = feature_model.business_features(s.business, s.checkin, s.tip, s.train, s.pairs, with_pca=False)
+    w = feature_model.wide_rows(s.train, s.pairs, ufeat, bfeat, strict=True, reference_names=True)
+    w = w.select("user_id", "business_id", "is_train", "review_count", "stars", "avg_stars", "n_friends", "checkin_sum")
+    return _round(w, ["stars", "avg_stars"])
 
 
-@query("hybrid_predict")
-def _q_hybrid_predict(s: StandIn) -> DataFrame:
-    """Q2."""
-    return hybrid.hybrid_predict(s.train, s.pairs, s.user, s.business, min_overlap=MIN_OVERLAP)
+def _hybrid_features(s: StandIn, strict: bool) -> DataFrame:
+    user = s.user.filter(F.col("user_id").cast("long") % 11 != 0)  # some users without a profile
+    wide, _ = hybrid.design_matrix(s.train, s.pairs, user, s.business, strict)
+    cols = ["user_id", "business_id", "is_train", *hybrid.FEATURES]
+    return _round(wide.select(*cols), hybrid.FEATURES)
+
+
+@query("hybrid_features")
+def _q_hybrid_features(s: StandIn) -> DataFrame:
+    """Design matrix of the hybrid, users without a profile imputed."""
+    return _hybrid_features(s, strict=False)
+
 
+@query("hybrid_features_strict")
+def _q_hybrid_features_strict(s: StandIn) -> DataFrame:
+    """The same, rows without a profile dropped."""
+    return _hybrid_features(s, strict=True)
 
-@query("gbt_feature_model")
-def _q_gbt_feature_model(s: StandIn) -> DataFrame:
-    """M1/M2: boosted-tree predictions of the feature model before clipping."""
-    return feature_model.model_predictions(s.train, s.pairs, s.business, s.user, s.checkin, s.tip)
+
+@query("hybrid_predict")
+def _q_hybrid_predict(s: StandIn) -> DataFrame:
+    """Q2 with M3/M4 inside: kNN, guarded boosted-tree and blended predictions from one fit."""
+    return hybrid.hybrid_predict(s.train, s.pairs, s.user, s.business, min_overlap=MIN_OVERLAP, unique=True)
 
 
 @query("feature_model_predict")
 def _q_feature_model_predict(s: StandIn) -> DataFrame:
-    """Q3 (M1/M2 inside): clipped feature-model predictions."""
+    """Q3 with M1/M2 inside: boosted-tree predictions before and after clipping, from one fit."""
     return feature_model.feature_model_predict(s.train, s.pairs, s.business, s.user, s.checkin, s.tip)
 
 

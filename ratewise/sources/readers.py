@@ -7,46 +7,54 @@ input split hint; left unset, Spark sizes splits from ``spark.sql.files.maxParti
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratewise.sources import schemas
 
 
-def _split_hint(df: DataFrame, min_partitions: int | None) -> DataFrame:
-    if min_partitions and df.rdd.getNumPartitions() < min_partitions:
-        return df.repartition(min_partitions)
-    return df
+def _split_hint(spark: SparkSession, min_partitions: int | None) -> None:
+    """Ask for at least so many input splits: smaller splits, no shuffle. The hint is a setting of
+    the session and holds for its later reads too."""
+    if min_partitions:
+        spark.conf.set("spark.sql.files.minPartitionNum", str(min_partitions))
 
 
-def read_ratings_csv(spark: SparkSession, path: str, min_partitions: int | None = None) -> DataFrame:
-    """``user_id,business_id,stars`` with a header row; extra columns are ignored.
+def _csv(spark: SparkSession, path: str, schema, min_partitions: int | None) -> DataFrame:
+    """Rows without header lines (the file's first, and repeats inside concatenated files, told by
+    their first field). An empty id is the empty string, an id like any other."""
+    _split_hint(spark, min_partitions)
+    df = spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").csv(path)
+    df = df.filter(~F.col("user_id").eqNullSafe(F.lit("user_id")))
+    return df.withColumns({c: F.coalesce(c, F.lit("")) for c in ("user_id", "business_id")})
+
+
+def _number(c: str) -> Column:
+    """The column as a double; anything but a number fails the job instead of turning NULL."""
+    bad = F.raise_error(F.concat(F.lit(f"{c} is not a number: "), F.coalesce(c, F.lit("(empty)"))))
+    return F.coalesce(F.trim(c).try_cast("double"), bad.cast("double"))
 
-    Header lines repeated inside concatenated files are dropped by their first field.
-    """
-    df = (spark.read.schema(schemas.RATINGS).option("header", True).option("mode", "PERMISSIVE")
-          .csv(path)
-          .filter(F.col("user_id") != F.lit("user_id")))
-    return _split_hint(df, min_partitions)
+
+def read_ratings_csv(spark: SparkSession, path: str, min_partitions: int | None = None) -> DataFrame:
+    """``user_id,business_id,stars`` with a header row; extra columns are ignored. A rating that is
+    not a number fails the read."""
+    df = _csv(spark, path, schemas.RATINGS_TEXT, min_partitions)
+    return df.withColumn("stars", _number("stars"))
 
 
 def read_pairs_csv(spark: SparkSession, path: str, min_partitions: int | None = None) -> DataFrame:
     """``user_id,business_id`` pairs to score; a third column (a label), if present, is ignored."""
-    df = (spark.read.schema(schemas.PAIRS).option("header", True).csv(path)
-          .filter(F.col("user_id") != F.lit("user_id")))
-    return _split_hint(df, min_partitions)
+    return _csv(spark, path, schemas.PAIRS, min_partitions)
 
 
 def read_labelled_pairs_csv(spark: SparkSession, path: str) -> DataFrame:
     """Pairs with their true rating in the third column (for evaluation)."""
-    return (spark.read.schema(schemas.RATINGS).option("header", True).csv(path)
-            .filter(F.col("user_id") != F.lit("user_id"))
-            .withColumnRenamed("stars", "label"))
+    return read_ratings_csv(spark, path).withColumnRenamed("stars", "label")
 
 
 def _json(spark: SparkSession, schema, path: str, min_partitions: int | None) -> DataFrame:
-    df = spark.read.schema(schema).option("mode", "PERMISSIVE").json(path)
-    return _split_hint(df, min_partitions)
+    _split_hint(spark, min_partitions)
+    return spark.read.schema(schema).option("mode", "PERMISSIVE").json(path)
 
 
 def read_business_json(spark: SparkSession, path: str, min_partitions: int | None = None) -> DataFrame:

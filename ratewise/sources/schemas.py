@@ -8,6 +8,9 @@ RATINGS = T.StructType([
     T.StructField("stars", T.DoubleType()),
 ])
 
+# As read: ratings are parsed after header lines are gone, so that a bad number can fail the job.
+RATINGS_TEXT = T.StructType([*RATINGS.fields[:2], T.StructField("stars", T.StringType())])
+
 PAIRS = T.StructType([
     T.StructField("user_id", T.StringType()),
     T.StructField("business_id", T.StringType()),

@@ -10,10 +10,11 @@ DataFrame plans derive tables of the same shape (see FIXTURES.md):
   business  one row per supplier; text fields from the part whose key equals the supplier key
   user      one row per customer, aggregated from orders, train ratings and events
   checkin   events per user_id as a map event_type -> count
-  tip       conversations: item = role, user = conv_id, likes = turn
+  tip       conversations: item = (7 conv_id + turn) % 150, user = conv_id, likes = turn
 
-Everything is a lazy plan over the parquet scans, so Catalyst prunes columns and pushes filters
-into the readers.
+Everything is a plan over the parquet scans, so Catalyst prunes columns and pushes filters into the
+readers. The two rating tables are checkpointed once a query, since every plan reads them several
+times.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ratewise.session import cut_lineage
 from ratewise.sources.schemas import COMPLIMENTS
 
 # Event types and the hour split that feed the ten compliment counters, in the
@@ -77,13 +79,28 @@ class StandIn:
     @cached_property
     def train(self) -> DataFrame:
         """(user_id, business_id, stars), one row per pair."""
-        return self._dedup(self.rated.filter((F.col("l_orderkey") % HOLDOUT_MOD != 0)
-                                             & (F.col("o_custkey") % COLD_USER_MOD != 0)), "stars")
+        return cut_lineage(self._dedup(self.raw_train.select("o_custkey", "l_suppkey", "stars", "l_orderkey", "l_linenumber"), "stars"))
+
+    @property
+    def raw_train(self) -> DataFrame:
+        """Every training row of ``rated``, repeats included."""
+        return self.rated.filter((F.col("l_orderkey") % HOLDOUT_MOD != 0) & (F.col("o_custkey") % COLD_USER_MOD != 0))
+
+    @property
+    def raw_test(self) -> DataFrame:
+        """Every held-out row of ``rated``, repeats included."""
+        return self.rated.filter(F.col("l_orderkey") % HOLDOUT_MOD == 0)
+
+    @staticmethod
+    def named(rows: DataFrame) -> DataFrame:
+        """``rows`` with the ids as rating files have them."""
+        return rows.select(F.col("o_custkey").cast("string").alias("user_id"), F.col("l_suppkey").cast("string").alias("business_id"),
+                           "stars", "l_orderkey", "l_linenumber")
 
     @cached_property
     def test(self) -> DataFrame:
         """(user_id, business_id, label), one row per held-out pair."""
-        return self._dedup(self.rated.filter(F.col("l_orderkey") % HOLDOUT_MOD == 0), "label")
+        return cut_lineage(self._dedup(self.raw_test, "label"))
 
     @property
     def pairs(self) -> DataFrame:
@@ -94,10 +111,14 @@ class StandIn:
     def part_fields(part: DataFrame) -> DataFrame:
         """categories / attributes / hours derived from one part row."""
         kind = F.concat(F.lit("{'type': "), F.col("p_type"), F.lit(", 'big': "),
-                        F.when(F.col("p_size") > 25, F.lit("1")).otherwise(F.lit("0")), F.lit("}"))
+                        F.when(F.col("p_size") > 25, F.lit("1")).otherwise(F.lit("0")),
+                        F.lit(", 'code': 0"), F.col("p_size").cast("string"), F.lit(": x}"))
+        # some sizes have leading zeros: digit strings that are equal as integers only
+        size = F.when(F.col("p_partkey") % 3 == 0, F.lpad(F.col("p_size").cast("string"), 3, "0")).otherwise(
+            F.col("p_size").cast("string"))
         attributes = F.when(F.col("p_size").isNull() | (F.col("p_size") % 10 == 0), F.lit(None)).otherwise(
             F.create_map(F.lit("brand"), F.col("p_brand"),
-                         F.lit("size"), F.col("p_size").cast("string"),
+                         F.lit("size"), size,
                          F.lit("kind"), kind))
         n_hours = (F.col("p_size") % 3 + 1).cast("int")
         hours = F.when(F.col("p_partkey").isNull() | (F.col("p_partkey") % 4 == 0), F.lit(None)).otherwise(
@@ -190,8 +211,9 @@ class StandIn:
 
     @cached_property
     def tip(self) -> DataFrame:
-        cv = self.table("conversations").select("conv_id", "turn", "role", "text")
-        return cv.select(F.col("role").alias("business_id"),
+        cv = self.table("conversations").select("conv_id", "turn", "text")
+        # some of these ids are suppliers, some are not
+        return cv.select(((F.col("conv_id") * 7 + F.col("turn")) % 150).cast("string").alias("business_id"),
                          F.col("conv_id").cast("string").alias("user_id"),
                          F.col("turn").cast("int").alias("likes"),
                          "text")

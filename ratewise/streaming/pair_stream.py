@@ -13,15 +13,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ratewise.operators import neighbours
-from ratewise.session import persist, scratch_path
+from ratewise.session import cut_lineage, scratch_path
 from ratewise.sources import schemas
 
 
 def score_pair_stream(spark: SparkSession, train: DataFrame, source_dir: str, sink_dir: str,
                       min_overlap: int = 75, checkpoint_location: str | None = None,
-                      available_now: bool = True, max_files_per_trigger: int | None = None):
-    """Start the streaming query and return its handle."""
-    train = persist(train.select("user_id", "business_id", "stars"))
+                      available_now: bool = True, max_files_per_trigger: int | None = None,
+                      processing_time: str = "10 seconds"):
+    """Start the streaming query and return its handle. The ratings are written once to the shared
+    scratch folder, so that every batch reads the same table; a batch computes the similarities that
+    its own pairs need, which stays safe for users of any degree."""
+    train = cut_lineage(train.select("user_id", "business_id", "stars"))
     reader = spark.readStream.schema(schemas.PAIRS).option("header", True)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -33,5 +36,5 @@ def score_pair_stream(spark: SparkSession, train: DataFrame, source_dir: str, si
 
     writer = (pairs.writeStream.foreachBatch(score)
               .option("checkpointLocation", checkpoint_location or scratch_path(spark, "stream-ckpt")))
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)
     return writer.start()

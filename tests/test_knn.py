@@ -119,3 +119,35 @@ def test_top_k_uses_window_group_limit(spark):
     sims = similarity.pair_similarity(train, similarity.needed_pairs(cand), 2)
     plan = neighbours.knn_top_k(cand, sims, 3)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_repeated_pairs_and_ratings_count_once(spark):
+    rows, pairs = _random_fixture(5)
+    old = [(u, i, 6.0 - r, 0) for u, i, r in rows]      # earlier, other ratings of the same pairs
+    train = spark.createDataFrame([(u, i, r, 1) for u, i, r in rows] + old + old,
+                                  "user_id string, business_id string, stars double, line int")
+    asked = spark.createDataFrame(pairs + pairs + pairs[:7], "user_id string, business_id string")
+    got = neighbours.knn_predict(train, asked, min_overlap=4, decimals=None, order_by=["line"], heavy_user_degree=6).collect()
+    want = brute_knn(rows, pairs, 4)
+    assert len(got) == 2 * len(pairs) + 7
+    for r in got:
+        assert r.prediction == pytest.approx(want[(r.user_id, r.business_id)], abs=1e-9)
+
+
+def test_empty_ids_are_ids(spark):
+    rows, pairs = _random_fixture(6)
+    rows += [("", i, 4.0) for _, i, _ in rows[:5]] + [("u01", "", 2.0)]
+    rows = list({(u, i): (u, i, r) for u, i, r in rows}.values())
+    pairs = pairs + [("", "i03"), ("u02", "")]
+    train, p = _frames(spark, rows, pairs)
+    got = {(r.user_id, r.business_id): r.prediction for r in neighbours.knn_predict(train, p, min_overlap=3, decimals=None).collect()}
+    want = brute_knn(rows, pairs, 3)
+    assert got == {k: pytest.approx(v, abs=1e-9) for k, v in want.items()}
+
+
+def test_similarity_drops_ratings_of_items_in_no_needed_pair(spark):
+    rows, pairs = _random_fixture(2)
+    train, _ = _frames(spark, rows, pairs)
+    needed = spark.createDataFrame([("i01", "i02")], "business_id string, neighbour_id string")
+    plan = similarity.pair_similarity(train, needed, 2)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LeftAnti") >= 1 and plan.count("LeftSemi") >= 3

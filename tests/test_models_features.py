@@ -88,10 +88,82 @@ def test_rows_only_pca_keys_are_deterministic(spark, key):
     assert first and first == second
 
 
-def test_training_partitions_follow_rows_and_features():
-    tp = models.training_partitions
-    assert tp(500, 2, 8) == 1                  # tiny: one task per pass
-    assert tp(49_000, 10, 8) == 2              # few features: a couple of partitions
-    assert tp(49_000, 81, 8) == 8              # wide rows: every core
-    assert tp(518_000, 81, 8) == 8
-    assert tp(10**9, 81, 8_000) == 10_000      # beyond the cores: bounded rows per partition
+def test_model_depends_on_rows_not_on_their_partitions(spark):
+    """Neither the input's partitions nor the session's core count changes the trees."""
+    rnd = random.Random(4)
+    rows = [(str(i), "b", rnd.random(), rnd.random(), float(rnd.randint(1, 5))) for i in range(3000)]
+    df = spark.createDataFrame(rows, "user_id string, business_id string, x1 double, x2 double, label double")
+
+    def predictions(frame):
+        model = models.fit_gbt(frame, ["x1", "x2"], "label", maxIter=3, maxDepth=4, seed=0, maxBins=8)
+        return sorted((r.user_id, round(r.prediction, 9)) for r in models.predict(model, df, ["x1", "x2"], ["user_id"]).collect())
+
+    assert predictions(df.coalesce(1)) == predictions(df.repartition(5)) == predictions(df.orderBy("x1"))
+
+
+@pytest.mark.parametrize("key,k", [("pca_attributes", 5), ("pca_categories", 10)])
+def test_pca_against_numpy(spark, key, k):
+    from ratewise.sources.standin import StandIn
+    from tests.conftest import SF_SMALL
+
+    business = StandIn(spark, SF_SMALL).part_business
+    vectors, _ = (FE.attribute_vectors if k == 5 else FE.category_vectors)(business)
+    rows = vectors.collect()
+    x = np.array([r[1].toArray() for r in rows])
+    x = x - x.mean(axis=0)
+    eig = np.linalg.svd(x, full_matrices=False)
+    want = eig[1] ** 2 / (len(x) - 1)
+    got = getattr(FE, key)(business, k).toPandas().set_index("business_id").loc[[r[0] for r in rows]].to_numpy()
+    assert got.var(axis=0, ddof=1) == pytest.approx(want[:k], rel=1e-6, abs=1e-9)
+    assert np.abs(got.mean(axis=0)).max() < 1e-9
+    for j in range(k):  # a component is fixed up to sign where its eigenvalue stands alone
+        if min(abs(want[j] - w) for i, w in enumerate(want) if i != j) > 1e-6:
+            ref = x @ eig[2][j]
+            assert min(np.abs(got[:, j] - ref).max(), np.abs(got[:, j] + ref).max()) < 1e-6
+
+
+def test_equal_integers_are_one_column(spark):
+    df = spark.createDataFrame([("a", {"n": "5"}), ("b", {"n": "05"}), ("c", {"n": "10"})], "business_id string, attributes map<string,string>")
+    got = {(r.business_id, r.feature) for r in FE.one_hot_attributes(df).collect()}
+    assert got == {("c", "n_10")}
+
+
+def test_pipelines_beat_the_user_mean(spark):
+    """Q2 and Q3 end to end with few trees, with every pair listed twice."""
+    from ratewise.operators import evaluate, stats
+    from ratewise.plans import feature_model, hybrid
+    from ratewise.sources.standin import StandIn
+    from tests.conftest import SF_SMALL
+
+    s = StandIn(spark, SF_SMALL)
+    twice = s.pairs.union(s.pairs)
+    mean = s.pairs.join(stats.user_mean(s.train), "user_id", "left").select(
+        "user_id", "business_id", F.coalesce("user_mean", F.lit(3.0)).alias("prediction"))
+    limit = evaluate.rmse(mean, s.test).first()["rmse"]
+    q2 = hybrid.hybrid_predict(s.train, twice, s.user, s.business, min_overlap=5, params=dict(maxIter=5, maxDepth=3))
+    q3 = feature_model.feature_model_predict(s.train, twice, s.business, s.user, s.checkin, s.tip, dict(maxIter=5, maxDepth=3))
+    for out in (q2, q3):
+        assert out.count() == twice.count()
+        assert evaluate.rmse(out.dropDuplicates(["user_id", "business_id"]), s.test).first()["rmse"] < 1.05 * limit
+    row = q2.first()
+    assert row.prediction == pytest.approx(0.1 * row.knn_prediction + 0.9 * row.model_prediction)
+    assert q3.filter("prediction < 1 or prediction > 5 or abs(prediction - least(greatest(raw_prediction, 1), 5)) > 1e-9").count() == 0
+
+
+def test_strict_rows_and_reference_names(spark):
+    from ratewise.plans import feature_model
+
+    train = spark.createDataFrame([("u1", "b1", 4.0), ("u2", "b9", 2.0)], "user_id string, business_id string, stars double")
+    u = spark.createDataFrame([("u1", 3, 1.5), ("u2", 4, 2.5)], "user_id string, user_review_count int, user_fans double")
+    b = spark.createDataFrame([("b1", 70)], "business_id string, business_review_count int")
+    wide = feature_model.wide_rows(train, train, u, b, strict=True, reference_names=True)
+    assert {(r.user_id, r.review_count, r.fans) for r in wide.collect()} == {("u1", 70, 1.5)}
+    assert feature_model.wide_rows(train, train, u, b).count() == 4
+
+
+def test_wide_plan_reads_each_table_few_times(spark):
+    from ratewise.plans.registry import QUERIES
+    from tests.conftest import SF_SMALL
+
+    plan = QUERIES["wide_features"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("== Initial Plan ==")[-1].count("FileScan parquet") <= 10

@@ -32,7 +32,9 @@ def test_flatten_nested_map(spark):
           ('empty', map()),
           ('nested', map('parking', "{'garage': False, 'street': True}", 'stars', '4')),
           ('collide', map('garage', 'x', 'parking', "{'garage': True}")),
-          ('collide_rev', map('parking', "{'garage': True}", 'garage', 'x'))
+          ('collide_rev', map('parking', "{'garage': True}", 'garage', 'x')),
+          ('digits', map('a', '05', 'b', '5', 'c', '0', 'd', '000', 'e', '0x1', 'f', "{'g': 007}")),
+          ('three', map('n', "{'x': a: b, 'y'}"))
         AS t(k, m)""")
     got = {r.k: r.f for r in df.select("k", S.flatten_nested_map("m").alias("f")).collect()}
     assert got["null"] == {}
@@ -40,6 +42,8 @@ def test_flatten_nested_map(spark):
     assert got["nested"] == {"garage": "False", " street": "True", "stars": "4"}
     assert got["collide"] == {"garage": "True"}
     assert got["collide_rev"] == {"garage": "x"}
+    assert got["digits"] == {"a": "5", "b": "5", "c": "0", "d": "0", "e": "0x1", "g": "7"}
+    assert got["three"] == {"x": "a", " y": None}
 
 
 def test_map_size_and_checkin(spark):

@@ -122,6 +122,7 @@ def pca_columns(df: DataFrame, vec_col: str, k: int, prefix: str, id_col: str =
 
 
 def pca_attributes(business: DataFrame, k: int = 5) -> DataFrame:
+    """E4; the column prefix is a fixed value of the reference."""
     vecs, _ = attribute_vectors(business)
     return pca_columns(vecs, "attr_vec", k, "bus_attr_")
 

@@ -9,6 +9,7 @@ from ratewise.functions import scalars as S
 from ratewise.operators.stats import tip_stats
 from ratewise.sources.schemas import COMPLIMENTS
 
+# Profile columns, in the order of the reference's feature rows.
 BUSINESS_FEATURES = ["latitude", "longitude", "stars", "review_count", "is_open",
                      "len_attributes", "len_categories", "len_hours"]
 USER_FEATURES = (["review_count", "date_since", "n_friends", "useful", "funny", "fans", "n_elite",

@@ -12,9 +12,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratewise.operators import neighbours, similarity
-from ratewise.session import apply_conf, checkpoint_dir
+from ratewise.functions import scalars as S
+from ratewise.operators import evaluate, neighbours, profiles, scope, similarity, stats
+from ratewise.operators import features as FE
+from ratewise.plans import feature_model, hybrid
+from ratewise.session import apply_conf, checkpoint_dir, cut_lineage, scratch_path
+from ratewise.sources import readers, sinks
 from ratewise.sources.standin import StandIn
+from ratewise.streaming import score_pair_stream
 
 MIN_OVERLAP = 20
 MIN_OVERLAP_STRICT = 125
@@ -92,13 +97,6 @@ def _q_knn_top_k(s: StandIn) -> DataFrame:
 
 
 # ---- sources -------------------------------------------------------------------------------
-from ratewise.functions import scalars as S  # noqa: E402
-from ratewise.operators import evaluate, features as FE, profiles, scope, stats  # noqa: E402
-from ratewise.plans import feature_model, hybrid  # noqa: E402
-from ratewise.session import cut_lineage, scratch_path  # noqa: E402
-from ratewise.sources import readers, sinks  # noqa: E402
-
-
 def _round(df: DataFrame, cols: list[str], decimals: int = 6) -> DataFrame:
     return df.select(*[F.round(c, decimals).alias(c) if c in cols else F.col(c) for c in df.columns])
 
@@ -496,8 +494,6 @@ def _q_feature_model_predict(s: StandIn) -> DataFrame:
 @query("stream_knn_predict")
 def _q_stream_knn_predict(s: StandIn) -> DataFrame:
     """Q1 through Structured Streaming: pair CSV files -> foreachBatch kNN -> parquet sink."""
-    from ratewise.streaming import score_pair_stream
-
     src, sink = scratch_path(s.spark, "stream-src"), scratch_path(s.spark, "stream-sink")
     s.test.write.option("header", True).csv(src)
     q = score_pair_stream(s.spark, s.train, src, sink, min_overlap=MIN_OVERLAP)

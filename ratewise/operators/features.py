@@ -11,12 +11,13 @@ first value is dropped; a missing attribute gives all zeros.
 
 from __future__ import annotations
 
-from pyspark.ml.feature import PCA, CountVectorizerModel
+from pyspark.ml.feature import PCA, CountVectorizerModel, OneHotEncoder
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratewise.functions import scalars as S
+from ratewise.operators import scope
 from ratewise.session import cut_lineage
 
 
@@ -133,18 +134,29 @@ def pca_categories(business: DataFrame, k: int = 10) -> DataFrame:
 
 
 # ---- wide rows ---------------------------------------------------------------------------
-def state_one_hot(rows: DataFrame, col: str = "business_state",
-                  values: DataFrame | None = None) -> tuple[DataFrame, list[str]]:
-    """One-hot (drop-first) of ``col``: adds one 0/1 column per kept value, named ``state_<value>``.
+def state_index(values: DataFrame, col: str = "business_state") -> DataFrame:
+    """(col, position, feature): the distinct values of ``col`` numbered in order, the first one last, so
+    that an encoder which drops the last category drops it; feature ``state_<value>``, NULL for the first.
+
+    Numbered by range partitions (:func:`scope.id_dictionary`); no vocabulary is collected."""
+    ids = cut_lineage(scope.id_dictionary(values.filter(F.col(col).isNotNull()), col))
+    n = ids.count()
+    return ids.select(col, ((F.col("idx") + n - 1) % n).cast("double").alias("position"),
+                      F.when(F.col("idx") > 0, F.concat(F.lit("state_"), F.col(col))).alias("feature"))
+
+
+def state_one_hot(rows: DataFrame, col: str = "business_state", values: DataFrame | None = None) -> DataFrame:
+    """``rows`` with ``state_feature``, the name of the one-hot column that is 1 (NULL for the dropped
+    first value and for missing ones), and ``state_vec``, the one-hot vector over the kept values.
 
     The vocabulary is the distinct ``col`` of ``values`` (the business profiles in scope, a far smaller
-    table than the rows; default the rows themselves). It becomes columns, so it is collected: a
-    domain of states, bounded by nature."""
-    values = rows if values is None else values
-    vocab = _sorted_values(values.filter(F.col(col).isNotNull()), col)
-    kept = vocab[1:]
-    out = rows.select("*", *[F.coalesce((F.col(col) == v).cast("int"), F.lit(0)).alias(f"state_{v}") for v in kept])
-    return out, [f"state_{v}" for v in kept]
+    table than the rows; default the rows themselves)."""
+    index = state_index(rows if values is None else values, col)
+    last = F.lit(float(max(index.count() - 1, 0)))
+    sizes = index.select("position").union(index.sparkSession.range(1).select(last.alias("position")))
+    model = OneHotEncoder(inputCol="position", outputCol="state_vec", dropLast=True).fit(sizes)
+    out = rows.join(index.withColumnRenamed("feature", "state_feature"), col, "left")
+    return model.transform(out.withColumn("position", F.coalesce("position", last))).drop("position")
 
 
 def impute_with_flags(df: DataFrame, cols: list[str], stats_where: str | None = None,

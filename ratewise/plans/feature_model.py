@@ -67,7 +67,7 @@ def wide_rows(train: DataFrame, pairs: DataFrame, ufeat: DataFrame, bfeat: DataF
 
 
 def feature_columns(wide: DataFrame) -> list[str]:
-    skip = {"user_id", "business_id", "label", "is_train", "business_state", "state"}
+    skip = {"user_id", "business_id", "label", "is_train", "business_state", "state", "state_feature"}
     return [c for c in wide.columns if c not in skip]
 
 
@@ -85,8 +85,8 @@ def feature_model_predict(train: DataFrame, pairs: DataFrame, business: DataFram
     bfeat = cut_lineage(business_features(business, checkin, tip, train, asked, pca_attr, pca_cat))
     wide = cut_lineage(wide_rows(train, asked.distinct(), ufeat, bfeat, strict, reference_names))
     state = "state" if reference_names else "business_state"
-    wide, state_cols = FE.state_one_hot(wide, state, bfeat.select(F.col("business_state").alias(state)))
-    num_cols = [c for c in feature_columns(wide) if c not in state_cols]
+    num_cols = feature_columns(wide)
+    wide = FE.state_one_hot(wide, state, bfeat.select(F.col("business_state").alias(state)))
     wide = FE.impute_with_flags(wide, num_cols, stats_where="is_train = 1", drop_constant_flags=True)
     feats = feature_columns(wide)
     model = models.fit_gbt(wide.filter("is_train = 1"), feats, "label", **params)

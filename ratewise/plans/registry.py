@@ -434,9 +434,7 @@ def _q_union_one_hot(s: StandIn) -> DataFrame:
     """State one-hot over the joint train+test vocabulary, as the name of the hot column."""
     rows = _wide(s).select("user_id", "business_id", "is_train", "business_state")
     scoped = scope.scope_items(s.business, s.train, s.pairs).select(F.col("state").alias("business_state"))
-    oh, cols = FE.state_one_hot(rows, values=scoped)
-    hot = F.coalesce(*[F.when(F.col(c) == 1, F.lit(c)) for c in cols]) if cols else F.lit(None)
-    return oh.select("user_id", "business_id", "is_train", hot.cast("string").alias("state_feature"))
+    return FE.state_one_hot(rows, values=scoped).select("user_id", "business_id", "is_train", "state_feature")
 
 
 @query("impute_flags")

@@ -150,6 +150,14 @@ def test_pipelines_beat_the_user_mean(spark):
     assert q3.filter("prediction < 1 or prediction > 5 or abs(prediction - least(greatest(raw_prediction, 1), 5)) > 1e-9").count() == 0
 
 
+def test_state_one_hot_drops_the_first_value(spark):
+    rows = spark.createDataFrame([("r1", "AZ"), ("r2", "NV"), ("r3", None), ("r4", "PA"), ("r5", "XX")], "user_id string, business_state string")
+    values = spark.createDataFrame([("PA",), ("NV",), ("AZ",), ("AZ",), (None,)], "business_state string")
+    got = {r.user_id: (r.state_feature, r.state_vec.toArray().tolist()) for r in FE.state_one_hot(rows, values=values).collect()}
+    assert got == {"r1": (None, [0, 0]), "r2": ("state_NV", [1, 0]), "r3": (None, [0, 0]), "r4": ("state_PA", [0, 1]),
+                   "r5": (None, [0, 0])}
+
+
 def test_strict_rows_and_reference_names(spark):
     from ratewise.plans import feature_model
 

@@ -20,8 +20,8 @@ an empty table gives an empty file table; other columns are ignored.
 
 from __future__ import annotations
 
+import array
 import functools
-import re
 import struct
 import zlib
 
@@ -32,23 +32,38 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratewise.llm.common import shuffle_partitions, stored
-from ratewise.llm.wordhash import text_batches
+from ratewise.llm.wordhash import hash_raw, text_batches
 
 END_ID, SHARD_TOKENS, LEAST_COUNT, ROUNDS = 2, 1 << 20, 16, 12
-CACHED_WORDS = 800_000
+CACHED_WORDS, ENCODED_CHARS, LONG_WORD = 1_200_000, 2 << 20, 256
 
 #: The printable bytes that byte-level BPE keeps as they are; the others follow from 256 on.
 _KEPT = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _BYTES = dict(zip([*_KEPT, *(b for b in range(256) if b not in _KEPT)], [*_KEPT, *range(256, 256 + 256 - len(_KEPT))]))
-_PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,;:!?]*)")
+#: ASCII marks; an apostrophe may start a piece of its own with the letters after it.
+_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+
+
+def _folded(text: str) -> str:
+    """The text in lower case where the tokenizer's own folding surely agrees: Latin-1 texts without
+    the start of a special token, whose strings are told apart by case."""
+    if "<|" in text:
+        return text
+    if not text.isascii():
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return text
+    return text.lower()
 
 
 class Encoder:
     """Whole texts to ids, with ``end_id`` after each.
 
     ``by_word`` is for tokenizers that compose, lower, drop white space, split off runs of letters and map
-    bytes to characters before their BPE: the ids of a text are then those of its parts between spaces and
-    line feeds, which are kept in a bounded cache."""
+    bytes to characters before their BPE: the ids of a text are then those of its parts between ASCII
+    white space, which are kept in a bounded cache under their 64-bit hashes (words of over ``LONG_WORD``
+    bytes are encoded each time)."""
 
     def __init__(self, path: str, by_word: bool, end_id: int = END_ID):
         from tokenizers import Tokenizer
@@ -57,29 +72,31 @@ class Encoder:
         self.terminals = max(self.tokenizer.get_vocab_size(), end_id + 1)
         self.type = np.uint16 if self.terminals <= 1 << 16 else np.uint32
         self.end = np.array([end_id], self.type).tobytes()
-        self.cache: dict[str, bytes] = {"": b""}
-        self.marks: dict[str, list[int]] = {}
+        self.cache: dict[int, bytes] = {}
+        self.marks: dict[str, bytes] = {"": b""}
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.type)
 
     def _learn(self, words: list[str]) -> dict[str, bytes]:
-        """Ids of new words. Runs of plain letters, with marks after them, are one piece each to the
-        pre-tokenizer, so they go straight to the library's model; all else is encoded in one go and told
-        apart by where each id starts."""
-        found, rest, piece, split = {}, [], self.tokenizer.model.tokenize, _PLAIN.fullmatch
+        """Ids of new words. A run of Latin letters is one piece to the pre-tokenizer, and so are the marks
+        that may follow: the run goes straight to the library's model. All else is encoded in one go and
+        told apart by where each id starts."""
+        found, rest, piece = {}, [], self.tokenizer.model.tokenize
+        kind = "H" if self.type == np.uint16 else "I"
         for w in words:
-            m = split(w)
-            if m is None:
+            core = w.rstrip(_MARKS)
+            if not core.isalpha():
                 rest.append(w)
                 continue
-            core, marks = m.groups()
-            ids = [t.id for t in piece(core.lower().encode().decode("latin-1").translate(_BYTES))]
-            if marks:
-                if marks not in self.marks:
-                    self.marks[marks] = self._ids(marks).tolist()
-                ids += self.marks[marks]
-            found[w] = np.array(ids, self.type).tobytes()
+            low = core.lower()
+            if not low.isascii():
+                if max(low) > "\u00ff":
+                    rest.append(w)
+                    continue
+                low = low.encode().decode("latin-1").translate(_BYTES)
+            ids = array.array(kind, [t.id for t in piece(low)]).tobytes()
+            found[w] = ids if len(core) == len(w) else ids + self._mark(w[len(core):])
         if rest:
             e = self.tokenizer.encode(" ".join(rest), add_special_tokens=False)
             ids = np.array(e.ids, self.type)
@@ -90,26 +107,54 @@ class Encoder:
                 lo = hi
         return found
 
+    def _mark(self, marks: str) -> bytes:
+        if marks not in self.marks:
+            if len(marks) > LONG_WORD:
+                return self._ids(marks).tobytes()
+            self.marks[marks] = self._ids(marks).tobytes()
+        return self.marks[marks]
+
     def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, ids per text)"""
         if not self.by_word:
             parts = [np.append(self._ids(t), np.frombuffer(self.end, self.type)) for t in texts]
             return np.concatenate(parts), np.array([len(p) for p in parts])
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        known = self.cache
-        new = set().union(*split).difference(known)
-        if new:
-            if len(known) + len(new) > CACHED_WORDS:
-                fresh = self._learn(list(new))
-                known = {w: (known[w] if w in known else fresh[w]) for words in split for w in words}
-                if len(new) > CACHED_WORDS // 8:
-                    self.cache = {"": b""}
-            else:
-                known.update(self._learn(list(new)))
-        get = known.__getitem__
-        raw = [b"".join(map(get, words)) + self.end for words in split]
+        h, first, last, offsets, buf = hash_raw([_folded(t).encode("utf-8", "surrogatepass") for t in texts])
+        h = np.where(last - first > LONG_WORD, np.uint64(0), h)  # looked up by themselves below
+        each, where, which = np.unique(h, return_index=True, return_inverse=True)
+        known, keys = self.cache, each.tolist()
+        found = list(map(known.get, keys))
+        new = [i for i, ids in enumerate(found) if ids is None]
+        words = [bytes(buf[first[j]:last[j]]).decode("utf-8", "surrogatepass") for j in where[new].tolist()]
+        learned = self._learn(words)
+        for i, w in zip(new, words):
+            found[i] = learned[w]
+        if len(known) + len(new) <= CACHED_WORDS:
+            known.update((keys[i], found[i]) for i in new if keys[i])
+        far = np.flatnonzero(h == 0)
+        if len(far):
+            words = [bytes(buf[first[j]:last[j]]).decode("utf-8", "surrogatepass") for j in far.tolist()]
+            learned = self._learn(list(dict.fromkeys(words)))
+            which = which.copy()
+            which[far] = len(found) + np.arange(len(far))
+            found += [learned[w] for w in words]
+        # ids of the distinct words side by side, copied to where the words stand, an end id after each text
         size = len(self.end)
-        return np.frombuffer(b"".join(raw), self.type), np.array([len(r) // size for r in raw])
+        table = np.frombuffer(b"".join(found), self.type)
+        n = np.array([len(x) for x in found], np.int64) // size
+        start = np.cumsum(n) - n
+        n_word = n[which]
+        ends = np.concatenate(([0], np.cumsum(n_word)))
+        per = np.diff(ends[offsets]) + 1
+        at = np.repeat(start[which] - ends[:-1], n_word)
+        at += np.arange(len(at))
+        out = np.empty(len(at) + len(texts), self.type)
+        stop = np.cumsum(per) - 1
+        body = np.ones(len(out), bool)
+        body[stop] = False
+        out[stop] = np.frombuffer(self.end, self.type)[0]
+        out[body] = table[at]
+        return out, per
 
 
 @functools.lru_cache(maxsize=1)
@@ -261,7 +306,7 @@ def write_shards(docs: DataFrame, tokenizer_path: str, by_word: bool = False, sh
 
         for batch in batches:
             doc_ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for lo, hi in text_batches(texts):
+            for lo, hi in text_batches(texts, ENCODED_CHARS):
                 ids, n = encoder(texts[lo:hi])
                 ends, a = np.concatenate(([0], np.cumsum(n))), 0
                 while a < len(n):

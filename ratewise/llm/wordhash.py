@@ -42,13 +42,12 @@ _SYMBOLS = np.ones(256, bool)
 _SYMBOLS[[*range(48, 58), *range(97, 123), *range(128, 256)]] = False
 
 
-def hash_words(texts: list[str | None], letters_only: bool = False) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes of all words in order, offsets): text i has hashes[offsets[i]:offsets[i + 1]]."""
-    raw = [(t or "").lower().encode("utf-8", "surrogatepass") for t in texts]
+def hash_raw(raw: list[bytes], letters_only: bool = False):
+    """(hashes, first byte, end byte, offsets, buffer) of all words of UTF-8 texts, as they are."""
     ends = np.cumsum([len(r) + 1 for r in raw]) if raw else np.zeros(0, np.int64)
     buf = np.frombuffer(b"\n".join(raw) + b"\n", np.uint8)
     gap = (_SYMBOLS if letters_only else _SPACES)[buf]
-    hashes, firsts, at = [], [], 0
+    hashes, firsts, lasts, at = [], [], [], 0
     while at < len(buf):
         stop = min(len(buf), at + CHUNK)
         if stop < len(buf) and not gap[stop - 1]:
@@ -62,10 +61,18 @@ def hash_words(texts: list[str | None], letters_only: bool = False) -> tuple[np.
             np.cumsum((buf[at:stop].astype(np.uint64) + np.uint64(1)) * power[:len(g)], out=run[1:])
             hashes.append(mix64((run[e] - run[s]) * inverse[s] + (e - s).astype(np.uint64)))
         firsts.append(s + at)
+        lasts.append(e + at)
         at = stop
-    h = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
-    first = np.concatenate(firsts) if firsts else np.zeros(0, np.int64)
-    return h, np.concatenate(([0], np.searchsorted(first, ends))).astype(np.int64)
+    none = np.zeros(0, np.int64)
+    first = np.concatenate([*firsts, none])
+    offsets = np.concatenate(([0], np.searchsorted(first, ends))).astype(np.int64)
+    return np.concatenate([*hashes, none.astype(np.uint64)]), first, np.concatenate([*lasts, none]), offsets, buf
+
+
+def hash_words(texts: list[str | None], letters_only: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes of all words in order, offsets): text i has hashes[offsets[i]:offsets[i + 1]]."""
+    h, _, _, offsets, _ = hash_raw([(t or "").lower().encode("utf-8", "surrogatepass") for t in texts], letters_only)
+    return h, offsets
 
 
 def text_batches(texts: list, limit: int = CHUNK):

@@ -112,7 +112,7 @@ def test_encoding_by_word_is_encoding_whole(text):
 
 
 def test_encoding_odd_texts():
-    texts = ["a <|endoftext|> b<|startoftext|>c \t\x0b", "É È \x1c\x1d İstanbul ΣΑΣ ﬁ éx ö ́y", "don't I'LL 12 3.4 ,;. x,;.'s", " a b\x85c", "WORD, Word. word!?", ""]
+    texts = ["a <|endoftext|> b<|startoftext|>c \t\x0b", "É È \x1c\x1d İstanbul ΣΑΣ ﬁ éx ö ́y", "don't I'LL 12 3.4 ,;. x,;.'s", " a b\x85c", "WORD, Word. word!?", "", "x" * 300 + " " + "y" * 300 + ". " + "x" * 300]
     e = Encoder(PATH, True)
     for _ in range(2):  # new, then from the cache
         ids, n = e(texts)
@@ -128,7 +128,7 @@ def test_a_full_cache_changes_nothing(monkeypatch):
     for lo in range(0, 200, 10):
         texts = [" ".join(f"w{chr(97 + (lo + i) % 26)}{chr(97 + i % 7)}x" for i in range(15)), "and the same again"]
         assert e(texts)[0].tolist() == np.concatenate(_whole(texts)).tolist()
-        assert len(e.cache) <= 21
+        assert len(e.cache) <= 20
 
 
 @settings(max_examples=60, deadline=None)

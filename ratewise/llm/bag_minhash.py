@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratewise.llm.common import components, stored
+from ratewise.llm.common import components, map_batches, stored
 from ratewise.llm.wordhash import hash_words, mix64, text_batches
 from ratewise.session import cut_lineage
 
@@ -136,7 +136,7 @@ def signed(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
                     [part.column(0), part.column(1), pa.array([x.tobytes() for x in sig], pa.binary()), pa.array(weight)],
                     names=["doc_id", "mark", "signature", "weight"])
 
-    return d.mapInArrow(run, "doc_id long, mark binary, signature binary, weight long")
+    return map_batches(d, run, "doc_id long, mark binary, signature binary, weight long")
 
 
 def among(docs: DataFrame, ids: DataFrame, how: str = "left_semi") -> DataFrame:
@@ -160,7 +160,7 @@ def verified(pairs: DataFrame, docs: DataFrame, threshold: float = THRESHOLD, k:
                 part = batch.slice(lo, hi - lo).select([0, 1])
                 yield part.filter(pa.array(near))
 
-    return j.mapInArrow(run, "a long, b long")
+    return map_batches(j, run, "a long, b long")
 
 
 def across_components(members: DataFrame, threshold: float = THRESHOLD, k: int = SHINGLE) -> DataFrame:

@@ -29,6 +29,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows in a batch that Spark hands to Python: a few MB of common documents.
+ARROW_ROWS = 1000
+
+
+def map_batches(df: DataFrame, run, schema) -> DataFrame:
+    """``df.mapInArrow`` in batches of ``ARROW_ROWS`` rows, so that a worker holds little at a time.
+    The batch size is a setting of the session."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    return df.mapInArrow(run, schema)
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` evaluated once.
 

@@ -23,6 +23,8 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ratewise.llm.common import map_batches
+
 SAMPLE_ROWS, SAMPLE_BYTES, DICTIONARY_BYTES, LEVEL, THRESHOLD = 4000, 16384, 112640, 3, 0.3
 
 
@@ -119,7 +121,7 @@ def score_quality(docs: DataFrame, model: QualityModel) -> DataFrame:
                 scores = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(scores)], names=[*b.schema.names, "quality_score"])
 
-    return docs.mapInArrow(run, schema)
+    return map_batches(docs, run, schema)
 
 
 def quality_digest(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ratewise.llm.common import shuffle_partitions, stored
+from ratewise.llm.common import map_batches, shuffle_partitions, stored
 from ratewise.llm.wordhash import hash_raw, text_batches
 
 END_ID, SHARD_TOKENS, LEAST_COUNT, ROUNDS = 2, 1 << 20, 16, 12
@@ -324,7 +324,7 @@ def write_shards(docs: DataFrame, tokenizer_path: str, by_word: bool = False, sh
         if held_ids:
             yield file()
 
-    return stored(d.mapInArrow(run, schema), "token-shards")
+    return stored(map_batches(d, run, schema), "token-shards")
 
 
 def read_documents(files: DataFrame) -> DataFrame:
@@ -342,8 +342,7 @@ def read_documents(files: DataFrame) -> DataFrame:
                      pa.array(at[:-1]), pa.array(np.diff(at)), pa.array(crc, pa.int64())],
                     names=["part", "seq", "doc_id", "at", "n_tokens", "ids_crc32"])
 
-    docs = files.select("part", "seq", "payload").mapInArrow(
-        run, "part int, seq int, doc_id long, at long, n_tokens long, ids_crc32 long")
+    docs = map_batches(files.select("part", "seq", "payload"), run, "part int, seq int, doc_id long, at long, n_tokens long, ids_crc32 long")
     # one row a shard within its part, one row a part over all
     before = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
     parts = files.groupBy("part").agg(F.sum("n_tokens").alias("s"))

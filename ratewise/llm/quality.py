@@ -1,12 +1,15 @@
 """Quality classifier from compressed sizes.
 
 Two zstandard dictionaries are trained, on good and on bad labelled texts. Each whole text is compressed
-with either and with none; the normalised difference of the sizes, with the sizes per byte, goes through
-a logistic curve calibrated on other labelled texts, weighted to the label counts of all training rows.
+with either and with none, in equal pieces of at most ``PIECE`` bytes that each start from the dictionary
+alone, so that it weighs the same all along a long text; the normalised difference of the summed sizes,
+with the mean sizes per byte of a piece, goes through a logistic curve calibrated on other labelled texts,
+weighted to the label counts of all training rows.
 
-Fitting uses at most ``sample_rows`` texts a class, the first ``sample_bytes`` bytes of each (half for
-the dictionaries, half for the curve), chosen by a hash of doc_id; only these reach the driver. Scoring
-reads every whole text and nothing but the text.
+Fitting uses at most ``sample_rows`` documents a class, chosen by a hash of doc_id: half for the
+dictionaries, the first ``sample_bytes`` bytes of each, and half for the curve, whole texts as in scoring;
+only the first bytes and five numbers a text reach the driver. Scoring reads every whole text and nothing
+but the text.
 
 Defined results: a null text is the empty string; labels that are null or whose doc_id has no document
 are not used; a doc_id labelled twice counts with its lower label; with labels of one class or none
@@ -26,6 +29,8 @@ from pyspark.sql import functions as F
 from ratewise.llm.common import map_batches
 
 SAMPLE_ROWS, SAMPLE_BYTES, DICTIONARY_BYTES, LEVEL, THRESHOLD = 4000, 16384, 112640, 3, 0.3
+#: Bytes of a piece: a longer one learns from its own start, and the dictionary no longer matters.
+PIECE = 4096
 
 
 @dataclass
@@ -51,6 +56,12 @@ def _dictionary(samples: list[bytes]) -> bytes:
         return b"\n".join(samples)[-DICTIONARY_BYTES:] or b" "
 
 
+def _pieces(text: bytes) -> list[bytes]:
+    """The text in the fewest equal pieces of at most ``PIECE`` bytes; an empty text is one piece."""
+    step = max(-(-len(text) // max(-(-len(text) // PIECE), 1)), 1)
+    return [text[i:i + step] for i in range(0, max(len(text), 1), step)]
+
+
 class _Features:
     def __init__(self, good: bytes, bad: bytes):
         self.packers = [zstandard.ZstdCompressor(level=LEVEL)]
@@ -60,8 +71,11 @@ class _Features:
             self.packers.append(zstandard.ZstdCompressor(level=LEVEL, dict_data=d))
 
     def __call__(self, texts: list[bytes]) -> np.ndarray:
-        rows = np.array([[len(t), *(len(p.compress(t)) for p in self.packers)] for t in texts], float).reshape(-1, 4)
-        n, plain, good, bad = rows.T
+        rows = []
+        for t in texts:
+            parts = _pieces(t)
+            rows.append([x / len(parts) for x in (len(t), *(sum(len(p.compress(x)) for x in parts) for p in self.packers))])
+        n, plain, good, bad = np.array(rows, float).reshape(-1, 4).T
         per = n + 32
         return np.stack([(bad - good) / np.maximum(good, bad), plain / per, good / per, bad / per, np.log(per)], axis=1)
 
@@ -82,27 +96,39 @@ def _curve(x: np.ndarray, y: np.ndarray, w: np.ndarray):
 
 def fit_quality(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS,
                 sample_bytes: int = SAMPLE_BYTES) -> QualityModel:
-    """Learn from the labelled rows that are not held out."""
+    """Learn from the labelled rows that are not held out; one more pass over ``docs`` for the curve."""
     known = labels.where("quality in (0, 1) and doc_id is not null").where(~held_out("doc_id"))
     known = known.groupBy("doc_id").agg(F.min("quality").alias("y"))
     counts = {r["y"]: r["count"] for r in known.groupBy("y").count().collect()}
     total = sum(counts.values())
     prior = counts.get(1, 0) / total if total else 0.5
-    sample = {}
+    sample, ids = {}, {}
     for y in (0, 1):
         picked = known.where(F.col("y") == y).select(F.col("doc_id").alias("_id")).orderBy(F.xxhash64("_id"), "_id").limit(sample_rows)
         # at most sample_rows ids: a proven bound
         rows = docs.select("doc_id", "text").join(F.broadcast(picked), F.col("doc_id") == F.col("_id")).select(
             F.xxhash64("doc_id").alias("h"), "doc_id", F.coalesce(F.substring("text", 1, sample_bytes), F.lit("")).alias("text"))
-        sample[y] = [r["text"].encode()[:sample_bytes] for r in sorted(rows.collect())]
-    if min(len(sample[0]), len(sample[1])) < 2:
+        sample[y] = sorted(rows.collect())
+        ids[y] = sorted({(r["h"], r["doc_id"]) for r in sample[y]})
+    if min(len(ids[0]), len(ids[1])) < 2:
         return QualityModel(prior)
-    good, bad = (_dictionary([t for t in sample[y][::2] if t]) for y in (1, 0))
-    features = _Features(good, bad)
-    held = {y: sample[y][1::2] for y in (0, 1)}
-    x = features(held[0] + held[1])
-    y = np.r_[np.zeros(len(held[0])), np.ones(len(held[1]))]
-    w = np.where(y == 1, counts[1] / len(held[1]), counts[0] / len(held[0]))
+    learn = {y: {d for _, d in ids[y][::2]} for y in (0, 1)}
+    good, bad = (_dictionary([t for t in (r["text"].encode()[:sample_bytes] for r in sample[y] if r["doc_id"] in learn[y]) if t])
+                 for y in (1, 0))
+    del sample
+    # again at most sample_rows ids a class
+    held = docs.sparkSession.createDataFrame([(d, y) for y in (0, 1) for _, d in ids[y][1::2]], known.schema)
+    texts = docs.select("doc_id", "text").join(F.broadcast(held), "doc_id").select("y", "text")
+
+    def run(batches):
+        features = _Features(good, bad)
+        for b in batches:
+            x = features([(t or "").encode() for t in b.column(1).to_pylist()])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(x.tolist(), pa.list_(pa.float64()))], names=["y", "x"])
+
+    rows = sorted((r["y"], r["x"]) for r in map_batches(texts, run, "y int, x array<double>").collect())
+    x, y = np.array([r[1] for r in rows]), np.array([r[0] for r in rows], float)
+    w = np.where(y == 1, counts[1] / y.sum(), counts[0] / (len(y) - y.sum()))
     return QualityModel(prior, good, bad, *_curve(x, y, w * len(w) / w.sum()))
 
 
@@ -117,7 +143,8 @@ def score_quality(docs: DataFrame, model: QualityModel) -> DataFrame:
             scores = np.full(b.num_rows, model.prior)
             if features is not None and b.num_rows:
                 x = (features([(t or "").encode() for t in b.column(at).to_pylist()]) - model.mean) / model.scale
-                z = np.c_[x, x ** 2, np.ones(len(x))] @ model.weights
+                # row by row: a matrix product rounds by the size of the batch
+                z = (np.c_[x, x ** 2, np.ones(len(x))] * model.weights).sum(axis=1)
                 scores = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(scores)], names=[*b.schema.names, "quality_score"])
 

@@ -47,3 +47,26 @@ def test_odd_tables(spark, make_docs):
     got = score_quality(make_docs(rows), model).collect()
     assert len(got) == len(rows) and all(0 <= r["quality_score"] <= 1 for r in got)
     assert not make_docs(rows).where(held_out("doc_id")).where("doc_id is null").count()
+
+
+def test_long_texts_keep_their_signal(spark, make_docs):
+    rows, y = _corpus()
+    labels = spark.createDataFrame([(i, v, 0) for i, v in enumerate(y)], LABELS)
+    model = fit_quality(make_docs(rows), labels)
+    rng = random.Random(5)
+    long = []
+    for kb in (2, 20, 50, 100, 300):
+        for v in (0, 1):
+            pool, text = [t for i, t in rows if y[i] == v], ""
+            while len(text) < kb << 10:
+                text += rng.choice(pool) + "\n"
+            long.append((kb * 10 + v, text))
+    got = {r["doc_id"]: r["quality_score"] for r in score_quality(make_docs(long), model).collect()}
+    assert all((s >= 0.3) == (i % 10 == 1) for i, s in got.items()), got
+
+
+def test_curve_is_fitted_on_whole_texts(spark, make_docs):
+    rows, y = _corpus()
+    labels = spark.createDataFrame([(i, v, 0) for i, v in enumerate(y)], LABELS)
+    a, b = (fit_quality(make_docs([(i, ("same start " * 2000)[:16384] + t + end) for i, t in rows]), labels) for end in ("", " tail" * 900))
+    assert not (a.mean == b.mean).all()

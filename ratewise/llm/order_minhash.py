@@ -1,13 +1,17 @@
 """Order MinHash fingerprints with Spark expressions only.
 
 The words of a text (split at ASCII white space) give its k-mers of ``k`` words; the n-th occurrence
-of a k-mer counts as an element of its own. Each element's hash picks one of ``bins`` registers by its
-leading bits. Of each register the ``pick`` elements of least hash are kept, put back into text order,
-and their k-mer hashes hashed as a tuple: reordering changes the tuple, so likeness follows the edit
-distance and not only the shared k-mers. One hash pass serves all registers.
+of a k-mer counts as an element of its own. Each register ranks all elements by their hash less the
+register's own start, modulo the range of hashes: a ring on which the ``bins`` registers start at equal
+distances. The ``pick`` first elements from there, however far they lie, are put back into text order, and
+their k-mer hashes hashed as a tuple: reordering changes the tuple, so likeness follows the edit distance
+and not only the shared k-mers. One sorted hash pass serves all registers. Each register alone is as with a
+permutation of its own; those that share elements, as in texts of fewer k-mers than registers, go together,
+so that likeness spreads more around the same mean.
 
 Defined results: a null text is the empty string; a text of 1 to k - 1 words has one k-mer of all its
-words; a text without words has every register empty. Fingerprint: ``bins`` fields of 8 hex digits,
+words; a text of fewer than ``pick`` k-mers has all of them in every register; a text without words has
+every register empty. Fingerprint: ``bins`` fields of 8 hex digits,
 joined by colons, an empty register with none. Equal texts have equal fingerprints.
 """
 
@@ -48,20 +52,28 @@ def with_fingerprint(df: DataFrame, text: str, name: str, k: int = 5, bins: int
     d = d.withColumn("_e", F.sort_array(F.when(F.col("_s").isNull(), F.transform(
         "_h", lambda h, i: pack(F.xxhash64(h, F.lit(0)), i))).otherwise(F.transform("_s", nth)))).drop("_h", "_s")
     e = F.col("_e")
-    bin_of = lambda x: F.shiftrightunsigned(x, shift)
+    bin_of = lambda x: F.shiftright(x, shift)  # noqa: E731  -bins / 2 to bins / 2 - 1, in the order of the longs
     starts = F.filter(F.transform(e, lambda x, i: F.when((i == 0) | (bin_of(F.get(e, i - 1)) != bin_of(x)), i)),
                       lambda i: i.isNotNull())
 
     def register(i):
-        near = F.filter(F.array(*[F.get(e, i + j) for j in range(pick)]), lambda x: bin_of(x) == bin_of(F.get(e, i)))
+        near = F.filter(F.array(*[F.get(e, F.when(F.size(e) > j, (i + j) % F.size(e))) for j in range(pick)]), lambda x: x.isNotNull())
         ordered = F.sort_array(F.transform(near, lambda x: F.struct(
             x.bitwiseAND(F.lit(0xFFFFFFFF)).alias("at"), F.shiftrightunsigned(x, 32).alias("v"))))
         word = F.xxhash64(F.transform(ordered, lambda x: x["v"])).bitwiseAND(F.lit(0xFFFFFFFF))
-        return F.struct(bin_of(F.get(e, i)).alias("key"), F.lpad(F.hex(word), 8, "0").alias("value"))
+        return F.struct(bin_of(F.get(e, i)).cast("int").alias("bin"), F.lpad(F.hex(word), 8, "0").alias("value"))
 
-    every = F.sequence(F.lit(0).cast("long"), F.lit(bins - 1).cast("long"))
-    fields = let(F.map_from_entries(F.transform(starts, register)), lambda m: F.array_join(
-        F.transform(every, lambda b: F.coalesce(F.element_at(m, b), F.lit(""))), ":"))
+    half = bins // 2
+
+    def ring(r):
+        # a register without an element of its own goes on to the next that has one, the last ones to the first
+        before = lambda j: F.when(j == 0, -half - 1).otherwise(F.get(r, j - 1)["bin"])
+        up = F.flatten(F.transform(r, lambda x, j: F.array_repeat(x["value"], x["bin"] - before(j))))
+        full = F.concat(up, F.array_repeat(F.get(r, F.lit(0))["value"], bins - F.size(up)))
+        return F.when(F.size(r) == 0, F.array_repeat(F.lit(""), bins)).otherwise(
+            F.concat(F.slice(full, half + 1, half), F.slice(full, 1, half)))
+
+    fields = let(let(F.transform(starts, register), ring), lambda x: F.array_join(x, ":"))
     return d.withColumn(name, fields).drop("_e")
 
 

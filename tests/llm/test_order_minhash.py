@@ -1,4 +1,5 @@
 import hashlib
+import random
 
 from pyspark.sql import functions as F
 
@@ -50,3 +51,38 @@ def test_repeats_of_a_kmer_are_numbered_and_order_counts(spark, make_docs):
 def test_native_plan(make_docs):
     plan = edited_fingerprints(make_docs([(1, "a"), (2, "b")]))._jdf.queryExecution().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
+
+
+def _permuted(rng, a, b, k=5, bins=64, pick=2):
+    """Likeness of Order MinHash with a permutation of its own for each register."""
+    grams = [[tuple(t[i:i + k]) for i in range(len(t) - k + 1)] for t in (a, b)]
+    same = 0
+    for _ in range(bins):
+        rank = {g: rng.random() for g in {*grams[0], *grams[1]}}
+        x, y = ([g for g in t if g in set(sorted(t, key=rank.get)[:pick])] for t in grams)
+        same += x == y
+    return same / bins
+
+
+def test_short_texts_follow_the_order(spark, make_docs):
+    rng = random.Random(4)
+    for n in (8, 40, 60, 100):
+        pairs = []
+        for i in range(60):
+            a = [f"n{n}x{i}y{j}" for j in range(n)]
+            pairs.append((a, [w for q in (3, 2, 1, 0) for w in a[q * n // 4:(q + 1) * n // 4]]))
+        rows = [(2 * i + s, " ".join(p[s])) for i, p in enumerate(pairs) for s in (0, 1)]
+        f = with_fingerprint(make_docs(rows), "text", "f").select("doc_id", "f")
+        b = f.select((F.col("doc_id") - 1).alias("doc_id"), F.col("f").alias("g"))
+        got = f.join(b, "doc_id").where("doc_id % 2 = 0").agg(F.avg(likeness(F.col("f"), F.col("g")))).first()[0]
+        want = sum(_permuted(rng, *p) for p in pairs) / len(pairs)
+        print(n, got, want)
+        assert abs(got - want) < 0.05, (n, got, want)
+
+
+def test_every_register_of_a_text_with_words_is_filled(make_docs):
+    rows = [(1, "one"), (2, "a b c d e f"), (3, " ".join(f"w{i}" for i in range(30))), (4, "")]
+    f = {r["doc_id"]: r["f"].split(":") for r in with_fingerprint(make_docs(rows), "text", "f").collect()}
+    assert all(len(x) == 64 for x in f.values())
+    assert all(len(v) == 8 for i in (1, 2, 3) for v in f[i]) and set(f[4]) == {""}
+    assert len(set(f[1])) == len(set(f[2])) == 1 < len(set(f[3]))

@@ -5,7 +5,9 @@ for those that SQL can express."""
 
 from __future__ import annotations
 
-from ratewise.llm import bag_minhash, chat, decontaminate, license_scan, line_dedup, mixing, order_minhash, quality, repair, sharding
+from ratewise.llm import (
+    bag_minhash, chat, decontaminate, license_scan, line_dedup, mixing, order_minhash, quality, repair, sharding, turn_repair,
+    vector_codes, window_dedup)
 from ratewise.llm.common import table
 from ratewise.session import apply_conf, checkpoint_dir
 from pyspark.sql import functions as F
@@ -92,6 +94,24 @@ def op10_mix_sources(spark, sf_dir):
     return mixing.mix_digest(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_vector_codes(spark, sf_dir):
+    """Code and error of every kept vector after four Lloyd rounds over cover trees."""
+    return vector_codes.code_digest(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op12_turn_repair(spark, sf_dir):
+    """Faults and cheapest repair of every conversation, its rows damaged first."""
+    return turn_repair.repair_digest(table(spark, sf_dir, "conversations"))
+
+
+@query
+def op13_window_dedup(spark, sf_dir):
+    """Every document without the words that windows of smaller documents cover."""
+    return window_dedup.window_digest(table(spark, sf_dir, "documents"))
+
+
 LLM_ORACLE["op4_line_dedup"] = line_dedup.ORACLE
 LLM_ORACLE["op5_license_scan"] = license_scan.oracle()
 LLM_ORACLE["op6_chat_format"] = r"""

@@ -16,4 +16,4 @@ def test_entry_lists_all_operators_and_the_pipeline():
 
     names = entry.queries()
     assert "pipeline" in names
-    assert sorted(int(k[2:].split("_")[0]) for k in names if k.startswith("op")) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in names if k.startswith("op")) == list(range(1, 14))

@@ -33,8 +33,8 @@ from ratewise.llm.common import shuffle_partitions
 from ratewise.llm.wordhash import hash_raw, mix64
 
 WINDOW = 13
-PART_BYTES = 8 << 20
-BUCKET_BYTES = 8 << 20
+PART_BYTES = 4 << 20
+BUCKET_BYTES = 4 << 20
 NULL_ID = -(1 << 63)
 #: Odd multipliers of the two polynomials.
 BASES = (0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
@@ -80,8 +80,8 @@ class Part:
         self.bucket = (_rolled(mix64(hashes), BASES[1], window)[at[first]] % np.uint64(buckets)).astype(np.int64)
 
     def blocks(self):
-        """(bucket, positions of its distinct hashes) in ascending order."""
-        by = np.argsort(self.bucket, kind="stable")
+        """(bucket, positions of its distinct hashes, by first document), buckets in ascending order."""
+        by = np.lexsort((self.first, self.bucket))
         found, starts = np.unique(self.bucket[by], return_index=True)
         return zip(found.tolist(), np.split(by, starts[1:]))
 
@@ -127,12 +127,14 @@ def repeated_words(docs: DataFrame, window: int = WINDOW, part_bytes: int = PART
             "bucket": pa.array([b for b, _ in blocks], pa.int32()),
             "part": pa.array([rows.column("part")[0].as_py()] * len(blocks), pa.int32()),
             "hashes": pa.array([p.hash[k].tobytes() for _, k in blocks], pa.binary()),
-            "ids": pa.array([p.first[k].tobytes() for _, k in blocks], pa.binary())})
+            # differences: mostly zeros, which the shuffle's compression takes away
+            "ids": pa.array([np.diff(p.first[k], prepend=0).tobytes() for _, k in blocks], pa.binary())})
 
     def compare(blocks: pa.Table) -> pa.Table:
         raw = blocks.column("hashes").to_pylist()
         ends = np.cumsum([len(x) // 8 for x in raw])
-        hashes, ids = np.frombuffer(b"".join(raw), np.uint64), np.frombuffer(b"".join(blocks.column("ids").to_pylist()), np.int64)
+        hashes = np.frombuffer(b"".join(raw), np.uint64)
+        ids = np.concatenate([np.cumsum(np.frombuffer(x, np.int64)) for x in blocks.column("ids").to_pylist()])
         order = np.lexsort((ids, hashes))
         new = np.ones(len(order), bool)
         new[1:] = hashes[order[1:]] != hashes[order[:-1]]

@@ -1,61 +1,29 @@
-"""Boosted-tree regression with Spark ML.
+"""The booster settings of the two models, and fitting and prediction with them.
 
-The reference's booster settings map onto ``GBTRegressor`` as follows (see SURVEY 2.7): squared
-loss, learning rate -> stepSize, depth -> maxDepth, trees -> maxIter, min_child_weight ->
-minInstancesPerNode (the hessian of squared loss is 1 per row), column sampling 0.7 ->
-featureSubsetStrategy "0.7" (Spark samples per node, not per tree). L1/L2 leaf penalties have no
-Spark counterpart and are not reproduced.
-
-Training rows are persisted for the iterations and Spark ML checkpoints the tree state into the
-session's ``spark.checkpoint.dir`` every ``checkpointInterval`` iterations, so a lost executor
-does not replay hundreds of boosting rounds.
+Missing values need no treatment: the trees route them (:mod:`ratewise.operators.boosting`).
 """
 
 from __future__ import annotations
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame
-
-from ratewise.session import checkpoint_dir, persist
+from dataclasses import replace
 
-# Booster settings of the feature model and of the hybrid model.
-FEATURE_MODEL_PARAMS = dict(maxIter=300, maxDepth=8, stepSize=0.07, minInstancesPerNode=4,
-                            featureSubsetStrategy="0.7", seed=0)
-HYBRID_PARAMS = dict(maxIter=100, maxDepth=10, stepSize=0.2, seed=0)
-
-
-def assemble(df: DataFrame, feature_cols: list[str], out: str = "features") -> DataFrame:
-    return VectorAssembler(inputCols=feature_cols, outputCol=out, handleInvalid="error").transform(df)
+from pyspark.sql import DataFrame
 
+from ratewise.operators import boosting
 
-# Training rows are dealt to this many partitions by a hash of their ids and sorted within them, so that
-# a model depends on its rows and parameters alone: Spark's split finding samples rows partition by
-# partition, and a count taken from the cores or the row number would change the trees. Raise it with the
-# data (about 100k rows of 80 features a partition) and keep it with the model.
-TRAIN_PARTITIONS = 8
+# Booster settings of the feature model and of the hybrid model (its other settings are
+# the booster library's defaults).
+FEATURE_MODEL = boosting.Settings(trees=300, depth=8, rate=0.07, min_rows=4, columns=0.7, l1=0.5, l2=0.5,
+                                  stop_rounds=6, seed=0)
+HYBRID = boosting.Settings(trees=100, depth=10, rate=0.2, min_rows=1, columns=1.0, l1=2.0, l2=1.0, seed=0)
 
 
-def fit_gbt(train_rows: DataFrame, feature_cols: list[str], label_col: str = "label",
-            partitions: int = TRAIN_PARTITIONS, key_cols: tuple[str, ...] = ("user_id", "business_id"), **params):
-    """Fit a GBTRegressor on the assembled rows; returns the model. One copy of the rows (features,
-    label) is cached for the passes and released."""
-    checkpoint_dir(train_rows.sparkSession)
-    keys = [c for c in key_cols if c in train_rows.columns] or list(feature_cols)
-    rows = train_rows.select(*dict.fromkeys([*keys, *feature_cols, label_col]))
-    plain = [c for c, t in rows.dtypes if t != "vector" and c not in keys]  # vectors have no order
-    rows = rows.repartition(partitions, *keys).sortWithinPartitions(*keys, *plain)
-    data = persist(assemble(rows, feature_cols).select("features", label_col))
-    # Node-id caching adds a persisted RDD per level; at depth 8-10 it was slower than
-    # re-walking the tree (18 s vs 24-28 s per 10 trees at sf0.1), so it stays off. The
-    # prediction-error RDD is still checkpointed every 10 iterations to bound lineage.
-    gbt = GBTRegressor(featuresCol="features", labelCol=label_col, predictionCol="prediction",
-                       lossType="squared", cacheNodeIds=False, checkpointInterval=10, **params)
-    model = gbt.fit(data)
-    data.unpersist()
-    return model
+def fit_trees(train_rows: DataFrame, feature_cols: list[str], label_col: str = "label",
+              settings: boosting.Settings = FEATURE_MODEL, **changes) -> boosting.BoostedTrees:
+    """Boosted trees with ``settings``, some of them changed by name."""
+    return boosting.fit(train_rows, feature_cols, label_col, replace(settings, **changes))
 
 
-def predict(model, rows: DataFrame, feature_cols: list[str], keep: list[str]) -> DataFrame:
+def predict(model: boosting.BoostedTrees, rows: DataFrame, keep: list[str]) -> DataFrame:
     """``keep`` columns plus ``prediction``."""
-    return model.transform(assemble(rows, feature_cols)).select(*keep, "prediction")
+    return model.transform(rows).select(*keep, "prediction")

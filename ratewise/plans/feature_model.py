@@ -77,20 +77,17 @@ def feature_model_predict(train: DataFrame, pairs: DataFrame, business: DataFram
                           reference_names: bool = False) -> DataFrame:
     """(user_id, business_id, raw_prediction, prediction) for every row of ``pairs``: the boosted trees'
     output, and that clipped to [1, 5]. One fit; the wide rows are written once to the shared scratch
-    folder and read by the imputation statistics, the training copy and the predictions."""
-    params = dict(models.FEATURE_MODEL_PARAMS, **(params or {}))
+    folder and read by the training copy and the predictions. Missing features stay missing: the trees
+    route them. ``params`` changes settings of the booster by name."""
     train = train.select("user_id", "business_id", "stars")
     asked = pairs.select("user_id", "business_id")
     ufeat = user_features(user, tip, train, asked)
     bfeat = cut_lineage(business_features(business, checkin, tip, train, asked, pca_attr, pca_cat))
     wide = cut_lineage(wide_rows(train, asked.distinct(), ufeat, bfeat, strict, reference_names))
     state = "state" if reference_names else "business_state"
-    num_cols = feature_columns(wide)
     wide = FE.state_one_hot(wide, state, bfeat.select(F.col("business_state").alias(state)))
-    wide = FE.impute_with_flags(wide, num_cols, stats_where="is_train = 1", drop_constant_flags=True)
-    feats = feature_columns(wide)
-    model = models.fit_gbt(wide.filter("is_train = 1"), feats, "label", **params)
-    pred = models.predict(model, wide.filter("is_train = 0"), feats, ["user_id", "business_id"])
+    model = models.fit_trees(wide.filter("is_train = 1"), feature_columns(wide), "label", **(params or {}))
+    pred = models.predict(model, wide.filter("is_train = 0"), ["user_id", "business_id"])
     # one prediction a distinct pair, a row for every time it was listed
     return asked.join(pred, ["user_id", "business_id"]).select(
         "user_id", "business_id", F.col("prediction").alias("raw_prediction"),

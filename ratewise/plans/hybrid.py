@@ -3,7 +3,7 @@
 Model features per (user, item): user review_count and average_stars, business stars,
 review_count, longitude and latitude. Profiles attach by equi-join on the ids (strict inner joins
 reproduce the reference, which fails on a missing profile; the default keeps every pair and
-imputes). The model prediction is guarded (NaN / inf / 0 -> 3) before blending; the two
+leaves the features missing). The model prediction is guarded (NaN / inf / 0 -> 3) before blending; the two
 predictions meet by a join on (user_id, business_id), not by row position.
 """
 
@@ -33,26 +33,32 @@ def profile_rows(rows: DataFrame, user: DataFrame, business: DataFrame, strict:
     return rows.join(u, "user_id", how).join(b, "business_id", how)
 
 
-def design_matrix(train: DataFrame, pairs: DataFrame, user: DataFrame, business: DataFrame,
-                  strict: bool = False) -> tuple[DataFrame, list[str]]:
-    """Training rows and distinct pairs with the six features, missing ones imputed and flagged, and
-    the names of the feature columns. ``strict`` drops rows without both profiles."""
+def feature_rows(train: DataFrame, pairs: DataFrame, user: DataFrame, business: DataFrame,
+                 strict: bool = False) -> DataFrame:
+    """Training rows (is_train = 1, label) and distinct pairs with the six features; a feature without
+    its profile is NULL. ``strict`` drops rows without both profiles."""
     rows = (train.select("user_id", "business_id", F.col("stars").cast("double").alias("label"),
                          F.lit(1).alias("is_train"))
             .unionByName(pairs.select("user_id", "business_id", F.lit(None).cast("double").alias("label"),
                                       F.lit(0).alias("is_train")).distinct()))
-    wide = cut_lineage(profile_rows(rows, user, business, strict))
-    wide = FE.impute_with_flags(wide, FEATURES, stats_where="is_train = 1", drop_constant_flags=True)
+    return cut_lineage(profile_rows(rows, user, business, strict))
+
+
+def design_matrix(train: DataFrame, pairs: DataFrame, user: DataFrame, business: DataFrame,
+                  strict: bool = False) -> tuple[DataFrame, list[str]]:
+    """The rows of :func:`feature_rows` with missing features imputed and flagged, for models that take
+    no missing values, and the names of the feature columns."""
+    wide = FE.impute_with_flags(feature_rows(train, pairs, user, business, strict), FEATURES,
+                                stats_where="is_train = 1", drop_constant_flags=True)
     return wide, [c for c in wide.columns if c in FEATURES or c.endswith("_missing")]
 
 
 def model_predictions(train: DataFrame, pairs: DataFrame, user: DataFrame, business: DataFrame,
                       params: dict | None = None, strict: bool = False) -> DataFrame:
     """(user_id, business_id, model_prediction) guarded, one row per distinct pair."""
-    params = dict(models.HYBRID_PARAMS, **(params or {}))
-    wide, feats = design_matrix(train, pairs, user, business, strict)
-    model = models.fit_gbt(wide.filter("is_train = 1"), feats, "label", **params)
-    pred = models.predict(model, wide.filter("is_train = 0"), feats, ["user_id", "business_id"])
+    wide = feature_rows(train, pairs, user, business, strict)
+    model = models.fit_trees(wide.filter("is_train = 1"), FEATURES, "label", models.HYBRID, **(params or {}))
+    pred = models.predict(model, wide.filter("is_train = 0"), ["user_id", "business_id"])
     return pred.select("user_id", "business_id", S.guard_prediction("prediction").alias("model_prediction"))
 
 

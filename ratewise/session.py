@@ -48,12 +48,15 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 
 def apply_conf(spark: SparkSession) -> None:
-    """Set the runtime SQL settings the plans depend on (idempotent)."""
+    """Set the runtime SQL settings the plans depend on, and let Python workers find this package
+    (idempotent). A setting that the cluster has fixed stays as it is."""
     for k, v in REQUIRED_CONF.items():
-        try:
+        if spark.conf.isModifiable(k):
             spark.conf.set(k, v)
-        except Exception:  # static conf already fixed by the cluster
-            pass
+    root, env = os.path.dirname(os.path.dirname(os.path.abspath(__file__))), spark.sparkContext.environment
+    known = env.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in known:
+        env["PYTHONPATH"] = os.pathsep.join([root, *filter(None, known)])
 
 
 def _setting(spark: SparkSession, key: str) -> str | None:

@@ -1,8 +1,8 @@
 """Feature engineering for the feature model.
 
 Attributes and categories are kept in long form (one row per business and token) until they are
-turned into sparse vectors with a fixed vocabulary; the vocabulary is a model parameter (as in
-Spark's own CountVectorizer), built from a distributed distinct and kept sorted.
+turned into rows of token positions. Positions come from a table of the sorted vocabulary that is
+numbered by range partitions and joined; it is never collected.
 
 One-hot with drop-first (attribute values, state): per attribute the values are sorted --
 numerically when every value of that attribute is all digits, as strings otherwise -- and the
@@ -11,13 +11,13 @@ first value is dropped; a missing attribute gives all zeros.
 
 from __future__ import annotations
 
-from pyspark.ml.feature import PCA, CountVectorizerModel, OneHotEncoder
+from pyspark.ml.feature import PCA, OneHotEncoder
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratewise.functions import scalars as S
-from ratewise.operators import scope
+from ratewise.operators import scope, sparse_pca
 from ratewise.session import cut_lineage
 
 
@@ -68,43 +68,44 @@ def multi_hot_categories(business: DataFrame) -> DataFrame:
             .select("business_id", F.explode(F.array_distinct("category_list")).alias("category")))
 
 
-def _sorted_values(df: DataFrame, col: str) -> list[str]:
-    """Collect a vocabulary (bounded by the number of distinct tokens) in sorted order."""
-    return [r[0] for r in df.select(col).distinct().orderBy(col).collect()]
+# ---- indicator rows ----------------------------------------------------------------------
+def indicator_rows(ids: DataFrame, tokens: DataFrame, vocabulary: DataFrame, id_col: str = "business_id"):
+    """(id_col, ones) with the ascending positions of a row's tokens, for every row of ``ids``, and the
+    index (token, position) of the sorted ``vocabulary``.
 
+    The index is a table numbered by range partitions; tokens meet it in a join, so no vocabulary is
+    collected or sent to tasks. Gathering is bounded: a row's tokens come from one record."""
+    index = cut_lineage(scope.id_dictionary(vocabulary.select("token"), "token", "position"))
+    ones = (tokens.select(id_col, "token").join(index, "token").groupBy(id_col)
+            .agg(F.array_sort(F.collect_set(F.col("position").cast("int"))).alias("ones")))
+    rows = ids.select(id_col).distinct().join(ones, id_col, "left")
+    return rows.select(id_col, F.coalesce("ones", F.array().cast("array<int>")).alias("ones")), index
 
-def category_vectors(business: DataFrame) -> tuple[DataFrame, list[str]]:
-    """(business_id, cat_vec) multi-hot SparseVector over the sorted vocabulary."""
-    vocab = _sorted_values(category_vocab(business), "category")
-    cv = CountVectorizerModel.from_vocabulary(vocab, inputCol="category_list", outputCol="cat_vec",
-                                              binary=True)
-    return cv.transform(category_tokens(business)).select("business_id", "cat_vec"), vocab
 
+def category_rows(business: DataFrame):
+    """(business_id, ones) over the sorted categories, and their index."""
+    tokens = multi_hot_categories(business).withColumnRenamed("category", "token")
+    return indicator_rows(business, tokens, tokens)
 
-def attribute_vectors(business: DataFrame) -> tuple[DataFrame, list[str]]:
-    """(business_id, attr_vec) one-hot (drop-first) SparseVector; businesses without attributes
-    get an all-zero vector."""
+
+def attribute_rows(business: DataFrame):
+    """(business_id, ones) over the attribute values that one-hot encoding keeps (drop-first), and their
+    index; businesses without attributes have no ones."""
+    token = F.concat_ws("\u0001", "attr", "value").alias("token")
     attrs = flatten_attributes(business)
-    voc = attribute_vocabulary(attrs).filter("kept")
-    voc = voc.select(F.concat_ws("\u0001", "attr", "value").alias("tok"))
-    vocab = _sorted_values(voc, "tok")
-    toks = (attrs.select("business_id", F.concat_ws("\u0001", "attr", "value").alias("tok"))
-            .groupBy("business_id").agg(F.collect_list("tok").alias("toks")))  # bounded: one per attribute
-    allb = business.select("business_id").join(toks, "business_id", "left").select(
-        "business_id", F.coalesce("toks", F.array().cast("array<string>")).alias("toks"))
-    cv = CountVectorizerModel.from_vocabulary(vocab or ["\u0000"], inputCol="toks", outputCol="attr_vec",
-                                              binary=True)
-    return cv.transform(allb).select("business_id", "attr_vec"), vocab
+    kept = attribute_vocabulary(attrs).filter("kept").select(token)
+    return indicator_rows(business, attrs.select("business_id", token), kept)
 
 
 # ---- PCA ---------------------------------------------------------------------------------
 def pca_columns(df: DataFrame, vec_col: str, k: int, prefix: str, id_col: str = "business_id") -> DataFrame:
-    """The top-k principal components of ``vec_col``: (id_col, prefix0 .. prefix{k-1}).
+    """The top-k principal components of dense vectors ``vec_col``: (id_col, prefix0 .. prefix{k-1}).
+    For 0/1 rows over a vocabulary see :func:`pca_indicators`.
 
     Fitted on the vectors as they are: Spark's covariance subtracts the mean itself, so sparse rows
     stay sparse. Its projection does not, so mean x components (k numbers) is subtracted after it.
     Component signs are fixed so that each component's largest absolute loading is positive.
-    The covariance is d x d on the driver, so d is the vocabulary size, not the row count.
+    The covariance is d x d on the driver, so d is the vectors' length, not the row count.
     """
     df = cut_lineage(df.select(id_col, vec_col))  # one small row per id, read by fit and projection
     first = df.first()
@@ -122,15 +123,20 @@ def pca_columns(df: DataFrame, vec_col: str, k: int, prefix: str, id_col: str =
     return out.select(id_col, *cols)
 
 
+def pca_indicators(rows: DataFrame, index: DataFrame, k: int, prefix: str, id_col: str = "business_id") -> DataFrame:
+    """The top-k principal components of indicator rows: (id_col, prefix0 .. prefix{k-1})."""
+    rows = cut_lineage(rows)
+    table, shift, _ = sparse_pca.loadings(rows, index.count(), k)
+    return sparse_pca.project(rows, id_col, table, shift, k, prefix)
+
+
 def pca_attributes(business: DataFrame, k: int = 5) -> DataFrame:
     """E4; the column prefix is a fixed value of the reference."""
-    vecs, _ = attribute_vectors(business)
-    return pca_columns(vecs, "attr_vec", k, "bus_attr_")
+    return pca_indicators(*attribute_rows(business), k, "bus_attr_")
 
 
 def pca_categories(business: DataFrame, k: int = 10) -> DataFrame:
-    vecs, _ = category_vectors(business)
-    return pca_columns(vecs, "cat_vec", k, "cat_pc_")
+    return pca_indicators(*category_rows(business), k, "cat_pc_")
 
 
 # ---- wide rows ---------------------------------------------------------------------------

@@ -37,9 +37,11 @@ def test_attribute_one_hot_drop_first(spark):
     assert voc[("size", "10")] == (1, False)
     assert voc[("brand", "B#10")] == (1, False)
     assert voc[(" big", "1")] == (1, False)
-    vecs, vocab = FE.attribute_vectors(df)
-    got = {r.business_id: r.attr_vec.numNonzeros() for r in vecs.collect()}
-    assert got["b4"] == 0 and got["b1"] == 1
+    rows, index = FE.attribute_rows(df)
+    names = {r.position: r.token.split("\u0001") for r in index.collect()}
+    assert sorted(names) == list(range(len(names))) and [names[i] for i in sorted(names)] == sorted(names.values())
+    got = {r.business_id: [names[i] for i in r.ones] for r in rows.collect()}
+    assert got["b4"] == [] and got["b1"] == [["brand", "B#2"]]
 
 
 def test_impute_with_flags(spark):
@@ -72,15 +74,53 @@ def test_rows_only_pca_keys_are_deterministic(spark, key):
     assert first and first == second
 
 
+def _dense(ones, width):
+    x = np.zeros((len(ones), width))
+    for row, at in zip(x, ones):
+        row[at] = 1
+    return x
+
+
+def test_wide_vocabularies_in_tiles_agree_with_numpy(spark):
+    """The block Krylov path, with tiles of 16 of 90 tokens, on rows with a few strong directions."""
+    from ratewise.operators import sparse_pca
+
+    rng = random.Random(6)
+    rows = [(f"b{i}", sorted({t for t in range(90) if rng.random() < (0.7 if t % 6 == i % 6 and t < 60 else 0.05)})) for i in range(300)]
+    rows.append(("none", []))
+    df = spark.createDataFrame(rows, "business_id string, ones array<int>").repartition(3)
+    x = _dense([r[1] for r in rows], 90)
+    x = x - x.mean(axis=0)
+    eig = np.linalg.svd(x, full_matrices=False)
+    want = x @ eig[2][:4].T
+    for exact in (1024, 0):
+        table, shift, variance = sparse_pca.loadings(df, 90, 4, exact=exact, tile=16)
+        assert variance == pytest.approx(eig[1][:4] ** 2 / (len(x) - 1), rel=1e-8)
+        got = sparse_pca.project(df, "business_id", table, shift, 6, "p").toPandas().set_index("business_id").loc[[r[0] for r in rows]].to_numpy()
+        assert (got[:, 4:] == 0).all()
+        for j in range(4):
+            assert min(np.abs(got[:, j] - want[:, j]).max(), np.abs(got[:, j] + want[:, j]).max()) < 1e-5
+        v = np.array([r.loading for r in table.orderBy("position").collect()])
+        assert v.T @ v == pytest.approx(np.eye(4), abs=1e-8) and (v.max(0) >= -v.min(0) - 1e-9).all()
+
+
+def test_pca_of_empty_tables_and_few_tokens(spark):
+    df = spark.createDataFrame([("a", "x, y"), ("b", None)], "business_id string, categories string")
+    got = {r.business_id: list(r)[1:] for r in FE.pca_categories(df, 5).collect()}
+    assert set(got) == {"a", "b"} and all(len(v) == 5 for v in got.values())
+    assert sum(v * v for v in got["a"]) == pytest.approx(0.75)
+    assert FE.pca_categories(df.limit(0), 2).count() == 0
+
+
 @pytest.mark.parametrize("key,k", [("pca_attributes", 5), ("pca_categories", 10)])
 def test_pca_against_numpy(spark, key, k):
     from ratewise.sources.standin import StandIn
     from tests.conftest import SF_SMALL
 
     business = StandIn(spark, SF_SMALL).part_business
-    vectors, _ = (FE.attribute_vectors if k == 5 else FE.category_vectors)(business)
-    rows = vectors.collect()
-    x = np.array([r[1].toArray() for r in rows])
+    ones, index = (FE.attribute_rows if k == 5 else FE.category_rows)(business)
+    rows = ones.collect()
+    x = _dense([r[1] for r in rows], index.count())
     x = x - x.mean(axis=0)
     eig = np.linalg.svd(x, full_matrices=False)
     want = eig[1] ** 2 / (len(x) - 1)

@@ -174,11 +174,14 @@ ORACLE["union_one_hot"] = side("""
     FROM wide""", [_BFEAT, _UFEAT, _WIDE])
 ORACLE["impute_flags"] = side("""
     SELECT user_id, business_id, is_train,
-           round(coalesce(user_avg_stars, (SELECT avg(user_avg_stars) FROM wide WHERE is_train = 1)), 6) AS user_avg_stars,
+           round(coalesce(user_avg_stars, avg(user_avg_stars) FILTER (WHERE is_train = 1) OVER ()), 6) AS user_avg_stars,
            CAST(user_avg_stars IS NULL AS INTEGER) AS user_avg_stars_missing,
-           round(coalesce(business_stars, (SELECT avg(business_stars) FROM wide WHERE is_train = 1)), 6) AS business_stars,
+           round(coalesce(business_stars, avg(business_stars) FILTER (WHERE is_train = 1) OVER ()), 6) AS business_stars,
            CAST(business_stars IS NULL AS INTEGER) AS business_stars_missing
-    FROM wide""", [_BFEAT, _UFEAT, _WIDE])
+    FROM (SELECT r.user_id, r.business_id, r.is_train, ut.average_stars AS user_avg_stars, it.stars AS business_stars
+          FROM (SELECT user_id, business_id, 1 AS is_train FROM train UNION ALL SELECT user_id, business_id, 0 FROM test) r
+          LEFT JOIN user_train ut ON ut.user_id = r.user_id
+          LEFT JOIN item_train it ON it.business_id = r.business_id) w""")
 
 _FLAT = """flat AS (
   SELECT business_id, 'brand' AS attr, attr_brand AS value FROM part_business WHERE attr_brand IS NOT NULL
@@ -222,7 +225,7 @@ _HYBRID = """matrix AS (
          u.review_count AS user_review_count, u.average_stars AS user_average_stars,
          b.stars AS business_stars, b.review_count AS business_review_count,
          b.longitude AS business_longitude, b.latitude AS business_latitude
-  FROM rows r LEFT JOIN (SELECT * FROM usr WHERE CAST(user_id AS BIGINT) % 11 <> 0) u ON u.user_id = r.user_id
+  FROM rows r LEFT JOIN (SELECT usr.* FROM usr JOIN customer c ON CAST(c.c_custkey AS VARCHAR) = usr.user_id WHERE c.c_acctbal >= 0) u ON u.user_id = r.user_id
   LEFT JOIN business b ON b.business_id = r.business_id)"""
 _HYBRID_COLS = ["user_review_count", "user_average_stars", "business_stars", "business_review_count",
                 "business_longitude", "business_latitude"]
@@ -237,3 +240,15 @@ def _hybrid(where: str) -> str:
 
 ORACLE["hybrid_features"] = _hybrid("true")
 ORACLE["hybrid_features_strict"] = _hybrid("whole")
+
+ORACLE["pca_category_norms"] = side("""
+    SELECT b.business_id, round((SELECT sum(m * m) FROM mu) + coalesce(sum(1 - 2 * mu.m), 0), 6) AS square_norm
+    FROM part_business b LEFT JOIN tok t ON t.business_id = b.business_id LEFT JOIN mu ON mu.token = t.token
+    GROUP BY b.business_id""", [
+    """tok AS (SELECT DISTINCT business_id, unnest(string_split(coalesce(categories, ''), ', ')) AS token FROM part_business)""",
+    """mu AS (SELECT token, count(*) / CAST((SELECT count(*) FROM part_business) AS DOUBLE) AS m FROM tok GROUP BY token)"""])
+ORACLE["hybrid_parts"] = sql.with_ctes(_KNN20, """
+    SELECT user_id, business_id, round(prediction, 6) AS knn_prediction, true AS guarded, false AS left_over FROM knn""")
+ORACLE["ordered_files"] = sql.with_ctes(_KNN20, """
+    SELECT CAST(row_number() OVER (ORDER BY user_id, business_id) - 1 AS BIGINT) AS line_no, user_id, business_id,
+           round(prediction, 6) AS prediction FROM knn""")

@@ -17,8 +17,9 @@ split by degree (``heavy_user_degree``):
 
 * light users (degree <= D): self-join of their ratings on user_id, one row per unordered item
   pair (lo <= hi); each user emits at most D rows per rating, so the total is bounded by
-  D * |ratings|. The terms are summed with map-side partial aggregation, then semi-joined with the
-  needed pairs (AQE broadcasts that side when its runtime size is under the threshold).
+  D * |ratings|. Terms whose pair is not needed are dropped where they arise, before they are summed
+  and shuffled: by a mask of ``MASK`` hash values, broadcast (its size does not grow with the data),
+  and exactly by a semi-join with the needed pairs once the sums are made.
 * heavy users (degree > D, at most |ratings| / D of them): no per-user pairing. Each needed pair
   is joined with the heavy raters of whichever of its items has fewer, and then with the heavy
   ratings on (user, other item), an equi-join whose build side has unique keys.
@@ -36,8 +37,11 @@ from pyspark.sql import functions as F
 
 from ratewise.operators.stats import item_stats as _item_stats
 from ratewise.operators.stats import user_stats as _user_stats
+from ratewise.session import cut_lineage
 
 DEFAULT_HEAVY_USER_DEGREE = 500
+#: Hash values of item pairs: a needed pair sets its own, at most so many rows are broadcast.
+MASK = 1 << 19
 SIM_DECIMALS = 9
 
 
@@ -71,6 +75,20 @@ def prune_by_degree(needed: DataFrame, istats: DataFrame, min_overlap: int,
             .join(deg.withColumnRenamed("business_id", b), b, "left_semi"))
 
 
+def pair_mask(needed_lohi: DataFrame) -> DataFrame:
+    """(h): the hash values that some needed pair has, at most ``MASK`` of them."""
+    return needed_lohi.select(_pair_hash()).distinct()
+
+
+def _pair_hash() -> F.Column:
+    return F.pmod(F.xxhash64("lo", "hi"), F.lit(MASK)).cast("int").alias("h")
+
+
+def masked(terms: DataFrame, needed_lohi: DataFrame) -> DataFrame:
+    """``terms`` without those whose pair has a hash value that no needed pair has."""
+    return terms.withColumn("h", _pair_hash()).join(F.broadcast(pair_mask(needed_lohi)), "h", "left_semi").drop("h")
+
+
 def _partitions(df: DataFrame, num_partitions: int | None) -> int:
     return num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
@@ -97,8 +115,8 @@ def co_rating_stats(centred: DataFrame, needed_lohi: DataFrame, ustats: DataFram
 
     a = light.select("user_id", F.col("business_id").alias("lo"), F.col("centred").alias("c_lo"))
     b = light.select("user_id", F.col("business_id").alias("hi"), F.col("centred").alias("c_hi"))
-    light_terms = (a.join(b, "user_id").filter(F.col("lo") <= F.col("hi"))
-                   .select("lo", "hi", "c_lo", "c_hi"))
+    light_terms = masked(a.join(b, "user_id").filter(F.col("lo") <= F.col("hi"))
+                         .select("lo", "hi", "c_lo", "c_hi"), needed_lohi)
 
     # a needed pair meets the heavy raters of the item that has fewer of them
     raters = heavy.groupBy("business_id").agg(F.count(F.lit(1)).alias("n"))
@@ -152,7 +170,8 @@ def pair_similarity(train: DataFrame, needed: DataFrame, min_overlap: int = 75,
     ustats = ustats if ustats is not None else _user_stats(train)
     centred = centred_ratings(train, istats)
     lohi = canonical(needed).select("lo", "hi").distinct()
-    live = prune_by_degree(lohi, istats, min_overlap, "lo", "hi")
+    # stored once: the ratings' filter, the mask, the heavy users' pairs and the last semi-join read it
+    live = cut_lineage(prune_by_degree(lohi, istats, min_overlap, "lo", "hi"))
     stats = co_rating_stats(centred, live, ustats, heavy_user_degree, num_partitions)
     return stats.select("lo", "hi", "n_common",
                         similarity_expr(min_overlap, denominator).alias("similarity"))
@@ -176,7 +195,7 @@ def co_rating_counts(train: DataFrame, needed: DataFrame,
     """(business_id, neighbour_id, n_common) for needed pairs sharing at least one rater."""
     istats = _item_stats(train)
     ustats = _user_stats(train)
-    lohi = canonical(needed).select("lo", "hi").distinct()
+    lohi = cut_lineage(canonical(needed).select("lo", "hi").distinct())
     stats = co_rating_stats(centred_ratings(train, istats), lohi, ustats, heavy_user_degree)
     return (canonical(needed).join(stats.select("lo", "hi", "n_common"), ["lo", "hi"])
             .select("business_id", "neighbour_id", "n_common"))

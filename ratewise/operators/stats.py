@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 def latest_ratings(train: DataFrame, order_by: list[str] | None = None) -> DataFrame:
     """(user_id, business_id, stars), one row per pair: the rating of the last row by ``order_by``,
-    then by stars. Without ``order_by`` the largest rating stands, since a distributed read has no
-    last line."""
+    then by stars; ``line`` of :mod:`ratewise.sources.readers` makes that the last line of the file.
+    Without ``order_by`` the largest rating stands."""
     last = F.struct(*(order_by or []), "stars")
     return train.groupBy("user_id", "business_id").agg(F.max_by("stars", last).alias("stars"))
 

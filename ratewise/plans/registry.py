@@ -16,6 +16,7 @@ from ratewise.functions import scalars as S
 from ratewise.operators import evaluate, neighbours, profiles, scope, similarity, stats
 from ratewise.operators import features as FE
 from ratewise.plans import feature_model, hybrid
+from ratewise.plans.knn import run_knn
 from ratewise.session import apply_conf, checkpoint_dir, cut_lineage, scratch_path
 from ratewise.sources import readers, sinks
 from ratewise.sources.standin import StandIn
@@ -409,6 +410,16 @@ def _q_pca_categories(s: StandIn) -> DataFrame:
     return FE.pca_categories(s.part_business, 10)
 
 
+@query("pca_category_norms")
+def _q_pca_category_norms(s: StandIn) -> DataFrame:
+    """E5 with as many components as categories: a business's squares add up to those of its centred row."""
+    rows, index = FE.category_rows(s.part_business)
+    n = index.count()
+    pc = FE.pca_indicators(rows, index, n, "p")
+    total = sum((F.col(f"p{j}") * F.col(f"p{j}") for j in range(n)), F.lit(0.0))
+    return pc.select("business_id", F.round(total, 6).alias("square_norm"))
+
+
 def _wide(s: StandIn) -> DataFrame:
     ufeat = feature_model.user_features(s.user, s.tip, s.train, s.pairs)
     bfeat = feature_model.business_features(s.business, s.checkin, s.tip, s.train, s.pairs, with_pca=False)
@@ -458,8 +469,7 @@ def _q_wide_features_strict(s: StandIn) -> DataFrame:
 
 
 def _hybrid_features(s: StandIn, strict: bool) -> DataFrame:
-    user = s.user.filter(F.col("user_id").cast("long") % 11 != 0)  # some users without a profile
-    wide, _ = hybrid.design_matrix(s.train, s.pairs, user, s.business, strict)
+    wide, _ = hybrid.design_matrix(s.train, s.pairs, s.known_user, s.business, strict)
     cols = ["user_id", "business_id", "is_train", *hybrid.FEATURES]
     return _round(wide.select(*cols), hybrid.FEATURES)
 
@@ -482,6 +492,33 @@ def _q_hybrid_predict(s: StandIn) -> DataFrame:
     return hybrid.hybrid_predict(s.train, s.pairs, s.user, s.business, min_overlap=MIN_OVERLAP, unique=True)
 
 
+@query("hybrid_parts")
+def _q_hybrid_parts(s: StandIn) -> DataFrame:
+    """The kNN column of Q2, whether the model's column is there and guarded, and what the blend
+    leaves over."""
+    h = hybrid.hybrid_predict(s.train, s.pairs, s.known_user, s.business, min_overlap=MIN_OVERLAP, unique=True,
+                              params=dict(trees=10, depth=4))
+    guarded = (S.guard_prediction("model_prediction") == F.col("model_prediction")).alias("guarded")
+    left = F.abs(F.col("prediction") - 0.1 * F.col("knn_prediction") - 0.9 * F.col("model_prediction")) > 1e-9
+    return h.select("user_id", "business_id", F.round("knn_prediction", 6).alias("knn_prediction"), guarded,
+                    left.alias("left_over"))
+
+
+@query("ordered_files")
+def _q_ordered_files(s: StandIn) -> DataFrame:
+    """Raw ratings in a file, the last line of a (user, item) standing, and predictions written
+    in the order of the pairs file; the number of each output line, read back."""
+    tp, pp, out = (scratch_path(s.spark, f"ordered-{n}") for n in ("train", "pairs", "out"))
+    lines = s.named(s.raw_train).repartitionByRange("l_orderkey", "l_linenumber", "stars").sortWithinPartitions("l_orderkey", "l_linenumber", "stars")
+    lines.select("user_id", "business_id", "stars").write.option("header", True).csv(tp)
+    pairs = s.test.repartitionByRange("user_id", "business_id").sortWithinPartitions("user_id", "business_id")
+    pairs.write.option("header", True).csv(pp)
+    run_knn(s.spark, tp, pp, out, min_overlap=MIN_OVERLAP)
+    got = scope.id_dictionary(readers.read_ratings_csv(s.spark, out, ordered=True).withColumn(
+        "row", F.struct("line", "user_id", "business_id", "stars")), "row", "line_no")
+    return got.select("line_no", "row.user_id", "row.business_id", F.round("row.stars", 6).alias("prediction"))
+
+
 @query("feature_model_predict")
 def _q_feature_model_predict(s: StandIn) -> DataFrame:
     """Q3 with M1/M2 inside: boosted-tree predictions before and after clipping, from one fit."""

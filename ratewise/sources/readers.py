@@ -20,12 +20,35 @@ def _split_hint(spark: SparkSession, min_partitions: int | None) -> None:
         spark.conf.set("spark.sql.files.minPartitionNum", str(min_partitions))
 
 
-def _csv(spark: SparkSession, path: str, schema, min_partitions: int | None) -> DataFrame:
-    """Rows without header lines (the file's first, and repeats inside concatenated files, told by
-    their first field). An empty id is the empty string, an id like any other."""
+#: Where a row stands in its input: file, start of the split, and number within the partition, which
+#: grows with the row within a split. Ordering by it is the order of the lines.
+LINE = "line"
+
+
+def _with_line(df: DataFrame) -> DataFrame:
+    return df.withColumn(LINE, F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+                                        F.monotonically_increasing_id().alias("row")))
+
+
+def _csv(spark: SparkSession, path: str, schema, min_partitions: int | None, header: str, ordered: bool) -> DataFrame:
+    """Rows without header lines. ``header="field"``: the first line of each file, and others whose first
+    field is ``user_id``; ``header="line"``: every line that equals the first line of the input, fields
+    split at commas without quoting. An empty id is the empty string, an id like any other. ``ordered``
+    adds the column ``line``."""
     _split_hint(spark, min_partitions)
-    df = spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").csv(path)
-    df = df.filter(~F.col("user_id").eqNullSafe(F.lit("user_id")))
+    add = _with_line if ordered else lambda df: df
+    if header == "line":
+        lines = add(spark.read.text(path))
+        found = spark.read.text(path).head()
+        df = lines.where(F.col("value") != F.lit(found[0])) if found else lines
+        parts = F.split(F.col("value"), ",")
+        df = df.select(*[F.get(parts, F.lit(i)).cast(f.dataType).alias(f.name) for i, f in enumerate(schema.fields)],
+                       *([LINE] if ordered else []))
+    elif header == "field":
+        df = add(spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").csv(path))
+        df = df.filter(~F.col("user_id").eqNullSafe(F.lit("user_id")))
+    else:
+        raise ValueError(f"header must be 'field' or 'line', got {header!r}")
     return df.withColumns({c: F.coalesce(c, F.lit("")) for c in ("user_id", "business_id")})
 
 
@@ -35,16 +58,18 @@ def _number(c: str) -> Column:
     return F.coalesce(F.trim(c).try_cast("double"), bad.cast("double"))
 
 
-def read_ratings_csv(spark: SparkSession, path: str, min_partitions: int | None = None) -> DataFrame:
+def read_ratings_csv(spark: SparkSession, path: str, min_partitions: int | None = None, header: str = "field",
+                     ordered: bool = False) -> DataFrame:
     """``user_id,business_id,stars`` with a header row; extra columns are ignored. A rating that is
-    not a number fails the read."""
-    df = _csv(spark, path, schemas.RATINGS_TEXT, min_partitions)
+    not a number fails the read. With ``ordered`` a column ``line`` gives the order of the lines."""
+    df = _csv(spark, path, schemas.RATINGS_TEXT, min_partitions, header, ordered)
     return df.withColumn("stars", _number("stars"))
 
 
-def read_pairs_csv(spark: SparkSession, path: str, min_partitions: int | None = None) -> DataFrame:
+def read_pairs_csv(spark: SparkSession, path: str, min_partitions: int | None = None, header: str = "field",
+                   ordered: bool = False) -> DataFrame:
     """``user_id,business_id`` pairs to score; a third column (a label), if present, is ignored."""
-    return _csv(spark, path, schemas.PAIRS, min_partitions)
+    return _csv(spark, path, schemas.PAIRS, min_partitions, header, ordered)
 
 
 def read_labelled_pairs_csv(spark: SparkSession, path: str) -> DataFrame:

@@ -199,6 +199,13 @@ class StandIn:
             "average_stars",
             *[F.coalesce(f"compliment_{c}", F.lit(0)).alias(f"compliment_{c}") for c in COMPLIMENTS])
 
+    @property
+    def known_user(self) -> DataFrame:
+        """The profiles of customers whose balance is not negative: the others stand for users that the
+        profile file lacks."""
+        c = self.table("customer").where("c_acctbal >= 0").select(F.col("c_custkey").cast("string").alias("user_id"))
+        return self.user.join(c, "user_id", "left_semi")
+
     # ---- check-ins and tips ----------------------------------------------------------------
     @cached_property
     def checkin(self) -> DataFrame:

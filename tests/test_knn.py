@@ -151,3 +151,21 @@ def test_similarity_drops_ratings_of_items_in_no_needed_pair(spark):
     needed = spark.createDataFrame([("i01", "i02")], "business_id string, neighbour_id string")
     plan = similarity.pair_similarity(train, needed, 2)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("LeftAnti") >= 1 and plan.count("LeftSemi") >= 3
+
+
+def test_terms_of_unneeded_pairs_are_dropped_before_the_sums(spark):
+    """Of 30 items that all users rated, 20 pairs are needed: no other pair's terms reach the aggregate."""
+    from ratewise.operators import similarity
+
+    ratings = spark.createDataFrame([(f"u{u}", f"b{i:02d}", float((u * i) % 5)) for u in range(12) for i in range(30)],
+                                    "user_id string, business_id string, centred double")
+    needed = spark.createDataFrame([(f"b{i:02d}", f"b{i + 5:02d}") for i in range(20)], "lo string, hi string")
+    a = ratings.toDF("user_id", "lo", "c_lo")
+    terms = a.join(ratings.toDF("user_id", "hi", "c_hi"), "user_id").filter("lo <= hi").select("lo", "hi", "c_lo", "c_hi")
+    kept = similarity.masked(terms, needed)
+    assert terms.count() == 12 * 465 and kept.count() == 12 * 20
+    assert kept.join(needed, ["lo", "hi"], "left_anti").count() == 0
+    plan = kept.groupBy("lo", "hi").count()._jdf.queryExecution().executedPlan().toString()
+    plan = plan.split("== Initial Plan ==")[-1]
+    assert plan.index("partial_count") < plan.index("LeftSemi"), "the mask stands below the partial aggregate"
+    assert similarity.pair_mask(spark.range(3 * similarity.MASK).selectExpr("id as lo", "id as hi")).count() <= similarity.MASK

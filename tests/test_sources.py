@@ -59,7 +59,7 @@ def test_file_jobs(spark):
     s.test.write.option("header", True).csv(f"{d}/pairs")
     for name in ("business", "user", "checkin", "tip"):
         getattr(s, name).write.json(f"{d}/{name}")
-    few = dict(maxIter=2, maxDepth=2)
+    few = dict(trees=2, depth=2)
     run_knn(spark, f"{d}/train", f"{d}/pairs", f"{d}/q1", min_overlap=5)
     run_hybrid(spark, f"{d}/train", f"{d}/user", f"{d}/business", f"{d}/pairs", f"{d}/q2", min_overlap=5, params=few)
     run_feature_model(spark, f"{d}/train", f"{d}/business", f"{d}/user", f"{d}/checkin", f"{d}/tip", f"{d}/pairs", f"{d}/q3", few)

@@ -11,9 +11,11 @@ expressions only.
 5. Each shard takes its range of every source's permutation and is ordered by a second hash.
 
 Defined results: a null source is a source of its own, last; null texts have size 0; a source whose
-documents have no words has target 0; an empty table gives no rows; repeated rows count as rows. The
-choice depends only on the seed, the rows and the settings, not on partitions. The tables of sources
-and tree nodes have one row or array entry per source; blocks are never gathered by source.
+documents have no words has target 0; an empty table gives no rows; repeated rows count as rows, and rows
+that share a doc_id but differ in any column are different rows. The choice depends only on the seed, the
+rows and the settings, not on partitions (of rows that agree in every column, any may stand for another).
+The tables of sources and tree nodes have one row or array entry per source: meant for up to some 10,000
+sources, each with any number of rows; blocks are never gathered by source.
 """
 
 from __future__ import annotations
@@ -21,12 +23,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ratewise.llm.common import NOT_SPACE, numbered
+from ratewise.llm.common import NOT_SPACE, numbered, stored
 from ratewise.session import cut_lineage
 
 #: Fixed values of the mix: weights by source order (repeating), size of the mix, most passes.
 WEIGHTS, SHARE, CAP = (3, 1, 2), 1.5, 2.0
 BLOCK_WORDS, SHARDS, SEED = 256, 16, 17
+#: Up to so many sources (of at most some 2 KB each) the table of cuts is broadcast to the texts.
+BROADCAST_SOURCES = 10_000
 
 
 def n_words(text: str) -> Column:
@@ -113,35 +117,57 @@ def split_quotas(quotas: DataFrame, shards: int, seed: int) -> DataFrame:
     return leaf.groupBy("source_no").agg(F.array_sort(F.collect_list("end")).alias("cuts"))
 
 
-def mix_blocks(docs: DataFrame, block_words: int | None = BLOCK_WORDS, weights=WEIGHTS, share: float = SHARE,
-               cap: float = CAP, shards: int = SHARDS, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
-    """(rows, draws): every input row (row, doc_id, source_no, size, source_size, target), and the blocks
-    that the mix takes (row, doc_id, mark, source_no, block, first_word, words, pass, shard, place)."""
-    sized = cut_lineage(docs.select("doc_id", "source", n_words("text").alias("size"), F.xxhash64("text", "source").alias("mark"))
+def row_mark(docs: DataFrame) -> Column:
+    """A hash of a whole row, in which NULL differs from any value."""
+    return F.xxhash64(*[x for c in docs.columns for x in (F.col(c).isNull(), F.col(c))])
+
+
+def block_key(seed: int) -> Column:
+    return F.xxhash64(F.lit(seed), "doc_id", "mark", "block")
+
+
+def block_place(seed: int) -> Column:
+    return F.xxhash64(F.lit(seed + 1), "shard", "doc_id", "mark", "block", "pass")
+
+
+ORDER = ["key", "doc_id", "mark", "block", "row"]
+
+
+def _dealt(docs: DataFrame, block_words: int | None, weights, share: float, cap: float, shards: int, seed: int):
+    """(rows, blocks, sources): every input row, all numbered blocks with their copies, and per source its
+    number of blocks, its quota and the cuts that the tree gives its draws."""
+    sized = cut_lineage(docs.select("doc_id", "source", n_words("text").alias("size"), row_mark(docs).alias("mark"))
                         .withColumn("row", F.monotonically_increasing_id()))
     targets = cut_lineage(source_targets(sized, weights, share, cap))
-    rows = sized.join(targets, sized["source"].eqNullSafe(targets["source"])).drop("source")
+    rows = sized.join(targets, sized["source"].eqNullSafe(targets["source"])).drop(sized["source"])
     per = F.lit(block_words) if block_words else F.greatest("size", F.lit(1))
     b = rows.where("size > 0").select(
         "row", "doc_id", "mark", "source_no", "source_size", "target", "size",
         F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("size") - 1) / per).cast("long"))).alias("block"))
-    b = b.withColumn("words", F.least(per, F.col("size") - F.col("block") * per).cast("long"))
-    b = b.withColumn("key", F.xxhash64(F.lit(seed), "doc_id", "mark", "block"))
-    b = numbered(b.drop("size"), ["source_no"], ["key", "doc_id", "mark", "block", "row"], "words")
+    b = b.withColumn("words", F.least(per, F.col("size") - F.col("block") * per).cast("long")).withColumn("key", block_key(seed))
+    b = numbered(b.drop("size"), ["source_no"], ORDER, "words")
     passes = F.floor(F.col("target") / F.col("source_size")).cast("int")
     rest = F.col("target") - passes * F.col("source_size")
     b = b.withColumn("passes", passes).withColumn("copies", passes + F.when(
         F.col("before") + F.col("words") / 2 <= rest, 1).otherwise(0))
     b = cut_lineage(b)
-    quota = b.groupBy("source_no").agg(F.sum("copies").cast("long").alias("quota"), F.count(F.lit(1)).alias("blocks"))
+    quota = b.groupBy("source_no").agg(F.sum("copies").cast("long").alias("quota"), F.count(F.lit(1)).alias("blocks"),
+                                       F.max("passes").alias("passes"))
     cuts = split_quotas(quota.select("source_no", "quota"), shards, seed)
-    meta = quota.join(cuts, "source_no").select("source_no", "blocks", "cuts")
+    return rows, b, cut_lineage(quota.join(cuts, "source_no").join(targets.select("source_no", "source"), "source_no"))
+
+
+def mix_blocks(docs: DataFrame, block_words: int | None = BLOCK_WORDS, weights=WEIGHTS, share: float = SHARE,
+               cap: float = CAP, shards: int = SHARDS, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
+    """(rows, draws): every input row (row, doc_id, source_no, size, source_size, target), and the blocks
+    that the mix takes (row, doc_id, mark, source_no, block, first_word, words, pass, shard, place)."""
+    rows, b, sources = _dealt(docs, block_words, weights, share, cap, shards, seed)
+    meta = sources.select("source_no", "blocks", "cuts")
     d = b.where("copies > 0").withColumn("pass", F.explode(F.sequence(F.lit(0), F.col("copies") - 1))).join(meta, "source_no")
     draw = F.col("pass").cast("long") * F.col("blocks") + F.col("rank")
-    d = d.withColumn("shard", F.size(F.filter("cuts", lambda c: c <= draw)))
-    d = d.withColumn("place", F.xxhash64(F.lit(seed + 1), "shard", "doc_id", "mark", "block", "pass"))
+    d = d.withColumn("shard", F.size(F.filter("cuts", lambda c: c <= draw))).withColumn("place", block_place(seed))
     first = F.col("block") * (F.lit(block_words) if block_words else F.lit(0))
-    return rows, d.select("row", "doc_id", "mark", "source_no", "block", first.alias("first_word"), "words", "pass", "shard", "place")
+    return rows.drop("source"), d.select("row", "doc_id", "mark", "source_no", "block", first.alias("first_word"), "words", "pass", "shard", "place")
 
 
 def shuffled(draws: DataFrame) -> DataFrame:
@@ -152,21 +178,54 @@ def shuffled(draws: DataFrame) -> DataFrame:
 
 
 def mix_digest(docs: DataFrame) -> DataFrame:
-    """Per document: what the mix takes of it."""
+    """Per document, read back from the written shards: the words and blocks that the mix takes of it, and
+    the shards that they are in."""
     rows, draws = mix_blocks(docs)
-    taken = draws.groupBy("row").agg(F.sum("words").alias("taken"), F.count(F.lit(1)).alias("n_blocks"))
+    written = stored(shuffled(draws).select("row", "shard", "words"), "mixed-blocks")
+    taken = written.groupBy("row").agg(F.sum("words").alias("taken"), F.count(F.lit(1)).alias("n_blocks"),
+                                       F.array_sort(F.collect_set("shard")).alias("shards"))
     return rows.join(taken, "row", "left").select(
         "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"),
-        F.coalesce("n_blocks", F.lit(0)).cast("long").alias("n_blocks"))
+        F.coalesce("n_blocks", F.lit(0)).cast("long").alias("n_blocks"),
+        F.coalesce("shards", F.array().cast("array<int>")).alias("shards"))
+
+
+def _cut_keys(blocks: DataFrame, sources: DataFrame) -> DataFrame:
+    """(source, passes, extra, cuts) per source: the place in the permutation (``ORDER``) before which blocks
+    get one copy more than ``passes`` (NULL: all or none, as ``more`` says), and where shards begin, as (pass,
+    place)."""
+    place = F.struct(*ORDER).alias("place")
+    s = sources.withColumn("extra", F.col("quota") - F.col("passes") * F.col("blocks"))
+    ends = s.select("source_no", F.posexplode("cuts").alias("shard", "cut"), "blocks")
+    ends = ends.select("source_no", F.floor(F.col("cut") / F.col("blocks")).cast("int").alias("pass"), (F.col("cut") % F.col("blocks")).alias("rank"))
+    ends = ends.unionByName(s.where("extra < blocks").select("source_no", F.lit(-1).alias("pass"), F.col("extra").alias("rank")))
+    at = blocks.select("source_no", "rank", place)
+    found = ends.join(at, ["source_no", "rank"]).groupBy("source_no").agg(
+        F.max(F.when(F.col("pass") < 0, F.col("place"))).alias("extra"),
+        F.collect_list(F.when(F.col("pass") >= 0, F.struct("pass", "place"))).alias("cuts"))
+    return s.select("source_no", "source", "passes").join(found, "source_no").drop("source_no")
 
 
 def mix_documents(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = CAP,
                   shards: int = SHARDS, seed: int = SEED) -> DataFrame:
     """The mix as documents with all their columns, whole documents as blocks: one that is taken twice
-    stands twice. Rows that agree in every column share their copies out among themselves."""
-    _, draws = mix_blocks(docs, None, weights, share, cap, shards, seed)
-    copies = draws.groupBy("doc_id", "source_no", "mark").agg(F.count(F.lit(1)).alias("_copies")).select(
-        F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), "_copies")
-    d = docs.withColumn("_m", F.xxhash64("text", "source"))
-    d = d.dropDuplicates(["doc_id", "_m"]).join(copies, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_m") == F.col("_mark")))
-    return d.withColumn("_pass", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(*docs.columns)
+    stands twice. Rows come in shard and place order, which part files follow when they are written.
+
+    A document finds its copies and shards by comparing its place in its source's permutation with the
+    places where the tree cuts it, so its text moves once, straight to its place."""
+    _, blocks, sources = _dealt(docs, None, weights, share, cap, shards, seed)
+    cuts = cut_lineage(_cut_keys(blocks, sources))
+    if cuts.count() <= BROADCAST_SOURCES:
+        cuts = F.broadcast(cuts)
+    d = docs.select(F.struct(*docs.columns).alias("d"), F.col("doc_id"), F.col("source").alias("of"), row_mark(docs).alias("mark"),
+                    F.lit(0).cast("long").alias("block"), F.monotonically_increasing_id().alias("row"),
+                    F.coalesce(F.col("text").rlike(NOT_SPACE), F.lit(False)).alias("words"))
+    d = d.where("words").withColumn("key", block_key(seed)).withColumn("place", F.struct(*ORDER))
+    d = d.join(cuts, F.col("of").eqNullSafe(F.col("source")))
+    copies = F.col("passes") + F.when(F.col("extra").isNull() | (F.col("place") < F.col("extra")), 1).otherwise(0)
+    d = d.withColumn("pass", F.explode(F.filter(F.sequence(F.lit(0), copies), lambda i: i < copies)))
+    here = F.struct(F.col("pass"), F.col("place"))
+    d = d.withColumn("shard", F.size(F.filter("cuts", lambda c: c <= here)))
+    d = d.select("d", "shard", block_place(seed).alias("place"), "doc_id", "mark", "pass")
+    keys = ["shard", "place", "doc_id", "mark", "pass"]
+    return d.repartitionByRange(*keys).sortWithinPartitions(*keys).select("d.*")

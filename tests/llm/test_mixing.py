@@ -68,6 +68,45 @@ def test_odd_tables_and_whole_documents(make_docs):
     assert set(copies.values()) <= {1, 2} and len(copies) > 20
 
 
+def _spread(spark, n=240):
+    rows = [(i, f"w{i} " * (i % 7 + 1), "en", None if i % 5 == 0 else f"s{i % 3}", i) for i in range(n)]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(4)
+
+
+def test_written_documents_are_the_draws_in_shard_order(spark):
+    docs = _spread(spark)
+    _, draws = mix_blocks(docs, None)
+    want = [(r["doc_id"], r["shard"]) for r in shuffled(draws).collect()]
+    got = mix_documents(docs).collect()
+    assert [r["doc_id"] for r in got] == [d for d, _ in want] and len(got) > 240
+
+
+def test_results_need_the_tree(spark, sf_docs, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from ratewise.llm import mixing
+
+    before, order = sorted(mix_digest(sf_docs).collect()), [r["doc_id"] for r in mix_documents(_spread(spark)).collect()]
+    assert all(len(r["shards"]) > 0 or r["taken"] == 0 for r in before)
+    tree = mixing.split_quotas
+    monkeypatch.setattr(mixing, "split_quotas", lambda q, shards, seed: tree(q, shards, seed).withColumn(
+        "cuts", F.transform("cuts", lambda c: F.lit(0).cast("long"))))
+    assert sorted(mix_digest(sf_docs).collect()) != before
+    assert [r["doc_id"] for r in mix_documents(_spread(spark)).collect()] != order
+
+
+def test_rows_that_share_an_id_and_clashing_columns(spark):
+    kind = "doc_id long, text string, source string, lang string, _id int, _mark string, d int, shard int, place string, key int"
+    rows = [(1, "a b", "s", "en", 1, "m", 2, 3, "p", 4), (1, "a b", "s", None, 1, "m", 2, 3, "p", 4), (None, "c", "s", "en", 1, None, 2, 3, "p", 4),
+            (None, "s", "s", "en", 1, "m", 2, 3, "p", 4), (None, None, "s", "en", 1, "m", 2, 3, "p", 4)]
+    docs = spark.createDataFrame(rows + rows[:1] * 2, kind)
+    got = mix_documents(docs, weights=(1,), share=1.0).collect()
+    assert sorted(map(str, got)) == sorted(str(r) for r in docs.where("text is not null").collect())
+    twice = mix_documents(docs, weights=(1,), share=2.0).collect()
+    assert sorted(map(str, twice)) == sorted(2 * [str(r) for r in docs.where("text is not null").collect()])
+
+
 def test_native_plan(sf_docs):
-    plan = mix_digest(sf_docs)._jdf.queryExecution().toString()
-    assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
+    for df in (mix_digest(sf_docs), mix_documents(sf_docs)):
+        plan = df._jdf.queryExecution().toString()
+        assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))

@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 
 from ratewise.llm.common import numbered
 from ratewise.llm.repair import Encoder, Shard, pack, read_documents, write_shards
-from ratewise.llm.sharding import place_documents, propagate, shard_digest, water_fill
+from ratewise.llm.sharding import cut_links, line_links, place_documents, propagate, shard_digest, water_fill
 
 P = pytest.importorskip("public_tokenizers")
 PATH = P.path("word_bpe_49k.json")
@@ -74,6 +74,42 @@ def test_propagation_cuts_fewer_edges_than_its_start(spark):
     assert cut[6] < cut[0]
 
 
+def test_rounds_move_documents_of_the_given_table(spark, sf_docs):
+    """Links of shared lines: the rounds cut fewer than the hashed start, and a start without rounds differs."""
+    from pyspark.sql import functions as F
+
+    texts = sf_docs.select(F.xxhash64("text").alias("id"), "text").distinct()
+    links = line_links(texts)
+    brute = defaultdict(set)
+    for r in texts.collect():
+        for line in set(r["text"].split("\n")):
+            if len(line.strip(" ")) >= 24:
+                brute[line].add(r["id"])
+    want = {(a, min(v)) for v in brute.values() if 1 < len(v) <= 64 for a in v if a != min(v)}
+    got = {(r["a"], r["b"]) for r in links.collect()}
+    assert want and want <= got
+    nodes = texts.select("id", F.octet_length("text").alias("size"))
+    before, after = (cut_links(propagate(nodes, links, rounds=n), links) for n in (0, 5))
+    assert after < 0.7 * before
+    assert {(r["doc_id"], r["shard"]) for r in place_documents(sf_docs).collect()} != {
+        (r["doc_id"], r["shard"]) for r in place_documents(sf_docs, rounds=0).collect()}
+
+
+def test_hot_lines_are_split_into_stars(spark):
+    texts = spark.range(1000).selectExpr("id", "concat('a line that very many texts do share\n', id) as text")
+    links = line_links(texts).collect()
+    hubs = Counter(r["b"] for r in links)
+    assert max(hubs.values()) < 130 and len(links) + len(hubs) == 1000
+
+
+def test_columns_that_clash_stay(spark):
+    kind = "doc_id long, text string, id string, node int, d string, order int, own int, _mark string, slot string"
+    df = spark.createDataFrame([(i, f"t{i % 3}", f"i{i}", i, "d", i, 7, "m", "old") for i in range(9)], kind)
+    got = place_documents(df, 4).collect()
+    assert sorted((r["doc_id"], r["id"], r["node"], r["d"], r["order"], r["own"], r["_mark"]) for r in got) == [
+        (i, f"i{i}", i, "d", i, 7, "m") for i in range(9)]
+
+
 def test_shards_of_odd_tables(make_docs):
     assert shard_digest(make_docs([])).count() == 0
     rows = [(1, None), (1, None), (None, ""), (2, "long " * 40000), (3, "x")]

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratewise.llm.common import components, map_batches, stored
+from ratewise.llm.common import components, map_batches, stored, unused
 from ratewise.llm.wordhash import hash_words, mix64, text_batches
 from ratewise.session import cut_lineage
 
@@ -250,12 +250,17 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD, k: int = SHINGLE
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The documents with one of each class, the least doc_id, with all their columns."""
-    classes = cut_lineage(near_classes(docs))
-    gone = classes.where("doc_id <> class_id").select("doc_id").distinct()
-    kept = among(docs, gone, "left_anti")
-    # repeated rows of one doc_id are copies as well; looked for first, as telling them apart moves all texts
-    if classes.where("doc_id = class_id").groupBy("doc_id").count().where("count > 1").isEmpty():
-        return kept
-    with_id = kept.where("doc_id is not null").dropDuplicates(["doc_id"])
-    return with_id.unionByName(kept.where("doc_id is null"))
+    """The documents with one of each class, the least doc_id (null last), with all their columns.
+
+    Rows are documents of their own even where doc_ids repeat or are null: such tables are told apart by a
+    row number, written with them once."""
+    if docs.groupBy("doc_id").count().where("count > 1 or doc_id is null").isEmpty():
+        classes = cut_lineage(near_classes(docs))
+        return among(docs, classes.where("doc_id <> class_id").select("doc_id").distinct(), "left_anti")
+    own, named = unused(docs.columns, "_row"), unused(docs.columns, "_named")
+    rows = stored(docs.withColumn(own, F.monotonically_increasing_id()), "numbered-rows")
+    classes = cut_lineage(near_classes(rows.select(F.col(own).alias("doc_id"), "text")))
+    names = rows.select(F.col(own).alias("doc_id"), F.col("doc_id").alias(named))
+    least = F.min_by("doc_id", F.struct(F.col(named).isNull(), F.col(named), F.col("doc_id")))
+    kept = classes.join(names, "doc_id").groupBy("class_id").agg(least.alias(own)).select(own)
+    return rows.join(kept, own, "left_semi").select(*docs.columns)

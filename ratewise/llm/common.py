@@ -40,6 +40,14 @@ def map_batches(df: DataFrame, run, schema) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
+def unused(columns, name: str) -> str:
+    """``name``, with underscores behind it until no column has it."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` evaluated once.
 

@@ -6,14 +6,16 @@ alone, so that it weighs the same all along a long text; the normalised differen
 with the mean sizes per byte of a piece, goes through a logistic curve calibrated on other labelled texts,
 weighted to the label counts of all training rows.
 
-Fitting uses at most ``sample_rows`` documents a class, chosen by a hash of doc_id: half for the
-dictionaries, the first ``sample_bytes`` bytes of each, and half for the curve, whole texts as in scoring;
-only the first bytes and five numbers a text reach the driver. Scoring reads every whole text and nothing
-but the text.
+Fitting uses at most ``sample_rows`` documents a class, chosen by a hash of doc_id: about half of them for
+the dictionaries, whole texts in such pieces, which the driver gets (keep the row bound to what it can
+hold), and the others for the curve, whole texts as in scoring, of which it gets five numbers each. Where
+the pieces are too few to train on, a dictionary is their last ``DICTIONARY_BYTES`` as they are. Scoring
+reads every whole text and nothing but the text.
 
 Defined results: a null text is the empty string; labels that are null or whose doc_id has no document
 are not used; a doc_id labelled twice counts with its lower label; with labels of one class or none
-every score is the share of label 1 (one half where there are none). Repeated rows score alike.
+every score is the share of label 1 (one half where there are none). Repeated rows score alike; an
+empty table gives no rows. Other columns stay, save that score_quality sets its own.
 """
 
 from __future__ import annotations
@@ -26,9 +28,9 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ratewise.llm.common import map_batches
+from ratewise.llm.common import map_batches, unused
 
-SAMPLE_ROWS, SAMPLE_BYTES, DICTIONARY_BYTES, LEVEL, THRESHOLD = 4000, 16384, 112640, 3, 0.3
+SAMPLE_ROWS, DICTIONARY_BYTES, LEVEL, THRESHOLD = 4000, 112640, 3, 0.3
 #: Bytes of a piece: a longer one learns from its own start, and the dictionary no longer matters.
 PIECE = 4096
 
@@ -94,28 +96,27 @@ def _curve(x: np.ndarray, y: np.ndarray, w: np.ndarray):
     return mean, scale, beta
 
 
-def fit_quality(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS,
-                sample_bytes: int = SAMPLE_BYTES) -> QualityModel:
+def fit_quality(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> QualityModel:
     """Learn from the labelled rows that are not held out; one more pass over ``docs`` for the curve."""
     known = labels.where("quality in (0, 1) and doc_id is not null").where(~held_out("doc_id"))
     known = known.groupBy("doc_id").agg(F.min("quality").alias("y"))
     counts = {r["y"]: r["count"] for r in known.groupBy("y").count().collect()}
     total = sum(counts.values())
     prior = counts.get(1, 0) / total if total else 0.5
-    sample, ids = {}, {}
+    ids = {}
     for y in (0, 1):
         picked = known.where(F.col("y") == y).select(F.col("doc_id").alias("_id")).orderBy(F.xxhash64("_id"), "_id").limit(sample_rows)
         # at most sample_rows ids: a proven bound
-        rows = docs.select("doc_id", "text").join(F.broadcast(picked), F.col("doc_id") == F.col("_id")).select(
-            F.xxhash64("doc_id").alias("h"), "doc_id", F.coalesce(F.substring("text", 1, sample_bytes), F.lit("")).alias("text"))
-        sample[y] = sorted(rows.collect())
-        ids[y] = sorted({(r["h"], r["doc_id"]) for r in sample[y]})
+        rows = docs.select("doc_id").join(F.broadcast(picked), F.col("doc_id") == F.col("_id")).select(F.xxhash64("doc_id").alias("h"), "doc_id")
+        ids[y] = sorted({tuple(r) for r in rows.distinct().collect()})
     if min(len(ids[0]), len(ids[1])) < 2:
         return QualityModel(prior)
-    learn = {y: {d for _, d in ids[y][::2]} for y in (0, 1)}
-    good, bad = (_dictionary([t for t in (r["text"].encode()[:sample_bytes] for r in sample[y] if r["doc_id"] in learn[y]) if t])
-                 for y in (1, 0))
-    del sample
+    learn = docs.sparkSession.createDataFrame([(d, y) for y in (0, 1) for _, d in ids[y][::2]], known.schema)
+    rows = docs.select("doc_id", "text").join(F.broadcast(learn), "doc_id").select(
+        "y", F.xxhash64("doc_id").alias("h"), F.coalesce("text", F.lit("")).alias("text"))
+    rows = sorted(rows.collect())
+    good, bad = (_dictionary([p for r in rows if r["y"] == y for p in _pieces(r["text"].encode()) if p]) for y in (1, 0))
+    del rows
     # again at most sample_rows ids a class
     held = docs.sparkSession.createDataFrame([(d, y) for y in (0, 1) for _, d in ids[y][1::2]], known.schema)
     texts = docs.select("doc_id", "text").join(F.broadcast(held), "doc_id").select("y", "text")
@@ -132,9 +133,10 @@ def fit_quality(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_RO
     return QualityModel(prior, good, bad, *_curve(x, y, w * len(w) / w.sum()))
 
 
-def score_quality(docs: DataFrame, model: QualityModel) -> DataFrame:
-    """``docs`` with ``quality_score`` in [0, 1]; one pass over the texts, nothing is shuffled."""
-    schema = docs.select("*", F.lit(0.0).alias("quality_score")).schema
+def score_quality(docs: DataFrame, model: QualityModel, column: str = "quality_score") -> DataFrame:
+    """``docs`` with ``column``, a score in [0, 1], set; one pass over the texts, nothing is shuffled."""
+    docs = docs.drop(column)
+    schema = docs.select("*", F.lit(0.0).alias(column)).schema
     at = docs.columns.index("text")
 
     def run(batches):
@@ -146,7 +148,7 @@ def score_quality(docs: DataFrame, model: QualityModel) -> DataFrame:
                 # row by row: a matrix product rounds by the size of the batch
                 z = (np.c_[x, x ** 2, np.ones(len(x))] * model.weights).sum(axis=1)
                 scores = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(scores)], names=[*b.schema.names, "quality_score"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(scores)], names=[*b.schema.names, column])
 
     return map_batches(docs, run, schema)
 
@@ -159,4 +161,5 @@ def quality_digest(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents that the classifier does not reject, with all their columns."""
-    return score_quality(docs, fit_quality(docs, labels)).where(F.col("quality_score") >= threshold).select(*docs.columns)
+    score = unused(docs.columns, "quality_score")
+    return score_quality(docs, fit_quality(docs, labels), score).where(F.col(score) >= threshold).select(*docs.columns)

@@ -158,3 +158,12 @@ def test_components(spark):
     got = {r["id"]: r["component"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {x: root(x) for x in parent}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_rows_that_share_an_id_are_documents_of_their_own(spark, make_docs):
+    a, b = (" ".join(f"{c}{i}" for i in range(60)) for c in "ab")
+    rows = [(1, a), (1, b), (2, a + " more"), (None, b), (None, "c d e f g h"), (None, "c d e f g h"), (3, "x y z"), (3, "x y z")]
+    docs = make_docs(rows).selectExpr("*", "1 as _row", "2 as _named")
+    kept = keep_one(docs)
+    assert kept.columns == docs.columns
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in kept.collect()) == [(0, "c d e f g h"), (1, a), (1, b), (3, "x y z")]

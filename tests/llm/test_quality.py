@@ -70,3 +70,35 @@ def test_curve_is_fitted_on_whole_texts(spark, make_docs):
     labels = spark.createDataFrame([(i, v, 0) for i, v in enumerate(y)], LABELS)
     a, b = (fit_quality(make_docs([(i, ("same start " * 2000)[:16384] + t + end) for i, t in rows]), labels) for end in ("", " tail" * 900))
     assert not (a.mean == b.mean).all()
+
+
+def test_dictionaries_learn_from_whole_texts(spark, make_docs):
+    """Texts that differ only behind their first 16 KB are told apart."""
+    rows, y = _corpus(120)
+    labels = spark.createDataFrame([(i, v, 0) for i, v in enumerate(y)], LABELS)
+    start = ("the same start of every text " * 600)[:16384]
+    docs = make_docs([(i, start + " " + (t + " ") * (60_000 // len(t))) for i, t in rows])
+    got = {r["doc_id"]: r for r in quality_digest(docs, labels).collect()}
+    held = [i for i in got if got[i]["held_out"]]
+    assert sum(got[i]["predicted"] == y[i] for i in held) / len(held) > 0.95
+
+
+def test_a_score_column_of_the_input_stays(spark, make_docs):
+    rows, y = _corpus(80)
+    labels = spark.createDataFrame([(i, v, 0) for i, v in enumerate(y)], LABELS)
+    docs = make_docs(rows).selectExpr("*", "'own' as quality_score", "doc_id as quality_score_")
+    kept = keep_good(docs, labels)
+    assert kept.columns == docs.columns and {r["quality_score"] for r in kept.collect()} == {"own"}
+    scored = score_quality(docs, fit_quality(docs, labels))
+    assert scored.columns.count("quality_score") == 1 and dict(scored.dtypes)["quality_score"] == "double"
+
+
+def test_held_out_labels_of_the_given_table(spark):
+    from tests.conftest import SF_ORACLE
+
+    docs = spark.read.parquet(f"{SF_ORACLE}/documents.parquet")
+    labels = spark.read.parquet(f"{SF_ORACLE}/labels.parquet")
+    y = {r["doc_id"]: r["quality"] for r in labels.collect()}
+    got = [r for r in quality_digest(docs, labels).collect() if r["held_out"] and r["doc_id"] in y]
+    good, bad = ([r["predicted"] for r in got if y[r["doc_id"]] == v] for v in (1, 0))
+    assert sum(good) >= 0.97 * len(good) and sum(bad) <= 0.25 * len(bad), (sum(good), len(good), sum(bad), len(bad))

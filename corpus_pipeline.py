@@ -5,6 +5,12 @@ Each stage is (name, function); a function takes (spark, docs, sf_dir) and retur
 ``run`` writes as Parquet under the shared scratch root and reads again as the next stage's documents.
 The last stage returns the placement (doc_id, lang, source, n_chars, size, text_crc32, shard, slot) of
 each row of the mix; a document that the mix takes twice has two rows.
+
+Defined results: rows are documents whatever their doc_id, repeated or null. A null text scores as the empty
+text; empty and null texts are copies of each other (near_dedup keeps one), leak nothing and are not
+taken by the mix, which goes by words. Ties go to the least doc_id. An empty table passes through every stage
+and gives no rows. Other columns stay up to the last stage, whatever their names; that one sets size,
+text_crc32, shard and slot.
 """
 
 from __future__ import annotations

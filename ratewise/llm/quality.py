@@ -7,9 +7,9 @@ with the mean sizes per byte of a piece, goes through a logistic curve calibrate
 weighted to the label counts of all training rows.
 
 Fitting uses at most ``sample_rows`` documents a class, chosen by a hash of doc_id: about half of them for
-the dictionaries, whole texts in such pieces, which the driver gets (keep the row bound to what it can
-hold), and the others for the curve, whole texts as in scoring, of which it gets five numbers each. Where
-the pieces are too few to train on, a dictionary is their last ``DICTIONARY_BYTES`` as they are. Scoring
+the dictionaries, whole texts in samples of up to ``SAMPLE`` bytes, which the driver gets (keep the row bound
+to what it can hold), and the others for the curve, whole texts as in scoring, of which it gets five numbers each. Where
+the samples are too few to train on, a dictionary is their last ``DICTIONARY_BYTES`` as they are. Scoring
 reads every whole text and nothing but the text.
 
 Defined results: a null text is the empty string; labels that are null or whose doc_id has no document
@@ -33,6 +33,8 @@ from ratewise.llm.common import map_batches, unused
 SAMPLE_ROWS, DICTIONARY_BYTES, LEVEL, THRESHOLD = 4000, 112640, 3, 0.3
 #: Bytes of a piece: a longer one learns from its own start, and the dictionary no longer matters.
 PIECE = 4096
+#: Bytes of a training sample: longer texts give several.
+SAMPLE = 8192
 
 
 @dataclass
@@ -64,6 +66,10 @@ def _pieces(text: bytes) -> list[bytes]:
     return [text[i:i + step] for i in range(0, max(len(text), 1), step)]
 
 
+def _samples(text: bytes) -> list[bytes]:
+    return [text[i:i + SAMPLE] for i in range(0, len(text), SAMPLE)]
+
+
 class _Features:
     def __init__(self, good: bytes, bad: bytes):
         self.packers = [zstandard.ZstdCompressor(level=LEVEL)]
@@ -115,7 +121,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_RO
     rows = docs.select("doc_id", "text").join(F.broadcast(learn), "doc_id").select(
         "y", F.xxhash64("doc_id").alias("h"), F.coalesce("text", F.lit("")).alias("text"))
     rows = sorted(rows.collect())
-    good, bad = (_dictionary([p for r in rows if r["y"] == y for p in _pieces(r["text"].encode()) if p]) for y in (1, 0))
+    good, bad = (_dictionary([p for r in rows if r["y"] == y for p in _samples(r["text"].encode())]) for y in (1, 0))
     del rows
     # again at most sample_rows ids a class
     held = docs.sparkSession.createDataFrame([(d, y) for y in (0, 1) for _, d in ids[y][1::2]], known.schema)

@@ -36,22 +36,20 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
 def dedup_lines(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """``docs`` with its text cleaned, ``n_lines`` (before) and ``n_removed``."""
-    found = repeated_windows(docs, window).groupBy("doc_id", "mark").agg(F.array_sort(F.collect_set("at")).alias("_a")).select(
-        F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), "_a")
+    found = repeated_windows(docs, window).groupBy("doc_id", "mark").agg(F.array_sort(F.collect_set("at")).alias("a"))
     kept = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
-    d = docs.select(*kept).withColumn("_m", F.xxhash64("text"))
-    d = d.join(found, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_m") == F.col("_mark")), "left")
-    a, none = F.col("_a"), F.array().cast("array<int>")
+    d = docs.select(F.struct(*kept).alias("d"), F.xxhash64("text").alias("m"))  # the input's columns keep to themselves
+    d = d.join(found, F.col("d")["doc_id"].eqNullSafe(F.col("doc_id")) & (F.col("m") == F.col("mark")), "left")
+    a, none = F.col("a"), F.array().cast("array<int>")
     starts = F.filter(a, lambda x, i: (i == 0) | (x - F.get(a, i - 1) > window))
     ends = F.transform(F.filter(a, lambda x, i: (i == F.size(a) - 1) | (F.get(a, i + 1) - x > window)), lambda x: x + window)
-    d = d.withColumn("_l", F.split("text", "\n")).withColumn("_s", F.coalesce(starts, none)).withColumn("_e", F.coalesce(ends, none))
-    gaps = F.arrays_zip(F.concat(F.array(F.lit(0)), F.col("_e")).alias("a"),
-                        F.concat(F.col("_s"), F.array(F.size("_l"))).alias("b"))
-    pieces = F.flatten(F.transform(gaps, lambda g: F.slice("_l", g["a"] + 1, g["b"] - g["a"])))
-    removed = F.aggregate(F.arrays_zip(F.col("_s").alias("s"), F.col("_e").alias("e")), F.lit(0), lambda n, r: n + r["e"] - r["s"])
-    text = F.when(F.size("_s") == 0, F.col("text")).otherwise(F.array_join(pieces, "\n"))
-    return d.withColumns({"text": text, "n_lines": F.greatest(F.size("_l"), F.lit(0)).cast("long"),
-                          "n_removed": removed.cast("long")}).select(*kept, "n_lines", "n_removed")
+    d = d.select("d", F.split(F.col("d")["text"], "\n").alias("l"), F.coalesce(starts, none).alias("s"), F.coalesce(ends, none).alias("e"))
+    gaps = F.arrays_zip(F.concat(F.array(F.lit(0)), F.col("e")).alias("a"), F.concat(F.col("s"), F.array(F.size("l"))).alias("b"))
+    pieces = F.flatten(F.transform(gaps, lambda g: F.slice("l", g["a"] + 1, g["b"] - g["a"])))
+    removed = F.aggregate(F.arrays_zip(F.col("s").alias("s"), F.col("e").alias("e")), F.lit(0), lambda n, r: n + r["e"] - r["s"])
+    text = F.when(F.size("s") == 0, F.col("d")["text"]).otherwise(F.array_join(pieces, "\n"))
+    return d.select(*[text.alias(c) if c == "text" else F.col("d")[c].alias(c) for c in kept],
+                    F.greatest(F.size("l"), F.lit(0)).cast("long").alias("n_lines"), removed.cast("long").alias("n_removed"))
 
 
 ORACLE = r"""

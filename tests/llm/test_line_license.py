@@ -73,3 +73,12 @@ def test_licenses_of_odd_tables(make_docs):
     assert scan_licenses(make_docs([])).count() == 0
     assert scan_licenses(make_docs([(1, "MIT License now")]), known=[]).count() == 0
     assert scan_licenses(make_docs([(None, "Released under the MIT License."), (None, "Released under the MIT License.")])).count() == 2
+
+
+def test_line_dedup_keeps_columns_of_any_name(spark):
+    kind = "doc_id long, text string, _id int, _mark string, _a int, _m int, l string, s int, e int, d int, a int, mark int, n_lines string"
+    text = "one\ntwo\nthree\nfour"
+    docs = spark.createDataFrame([(i, text, 1, "m", 2, 3, "l", 4, 5, 6, 7, 8, "old") for i in (1, 2, None)], kind)
+    got = {r["doc_id"]: r for r in dedup_lines(docs).collect()}
+    assert {i: (r["text"], r["n_lines"], r["n_removed"]) for i, r in got.items()} == {None: (text, 4, 0), 1: ("", 4, 4), 2: ("", 4, 4)}
+    assert all((r["_id"], r["_mark"], r["_a"], r["_m"], r["l"], r["s"], r["e"], r["d"], r["a"], r["mark"]) == (1, "m", 2, 3, "l", 4, 5, 6, 7, 8) for r in got.values())

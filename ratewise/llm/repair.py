@@ -20,10 +20,12 @@ an empty table gives an empty file table; other columns are ignored.
 
 from __future__ import annotations
 
-import array
 import functools
+import operator
+import string
 import struct
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -40,8 +42,11 @@ CACHED_WORDS, ENCODED_CHARS, LONG_WORD = 1_200_000, 2 << 20, 256
 #: The printable bytes that byte-level BPE keeps as they are; the others follow from 256 on.
 _KEPT = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _BYTES = dict(zip([*_KEPT, *(b for b in range(256) if b not in _KEPT)], [*_KEPT, *range(256, 256 + 256 - len(_KEPT))]))
-#: ASCII marks; an apostrophe may start a piece of its own with the letters after it.
-_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+#: ASCII letters, and marks but the apostrophe, which may start a piece of its own with the letters after it.
+_LETTER, _MARK = np.zeros(256, bool), np.zeros(256, bool)
+_LETTER[[ord(c) for c in string.ascii_letters]] = True
+_MARK[[ord(c) for c in string.punctuation if c != "'"]] = True
+_ID = operator.attrgetter("id")
 
 
 def _folded(text: str) -> str:
@@ -57,13 +62,21 @@ def _folded(text: str) -> str:
     return text.lower()
 
 
+def _spread(table: np.ndarray, start: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The runs ``table[start:start + n]`` side by side."""
+    at = np.repeat(start - (np.cumsum(n) - n), n)
+    at += np.arange(len(at))
+    return table[at]
+
+
 class Encoder:
     """Whole texts to ids, with ``end_id`` after each.
 
     ``by_word`` is for tokenizers that compose, lower, drop white space, split off runs of letters and map
     bytes to characters before their BPE: the ids of a text are then those of its parts between ASCII
     white space, which are kept in a bounded cache under their 64-bit hashes (words of over ``LONG_WORD``
-    bytes are encoded each time)."""
+    bytes are encoded each time). The cache is three arrays over sorted hashes and the ids side by side; when
+    it would exceed ``CACHED_WORDS``, the words of the last batch stay."""
 
     def __init__(self, path: str, by_word: bool, end_id: int = END_ID):
         from tokenizers import Tokenizer
@@ -71,89 +84,119 @@ class Encoder:
         self.tokenizer, self.by_word = Tokenizer.from_file(path), by_word
         self.terminals = max(self.tokenizer.get_vocab_size(), end_id + 1)
         self.type = np.uint16 if self.terminals <= 1 << 16 else np.uint32
-        self.end = np.array([end_id], self.type).tobytes()
-        self.cache: dict[int, bytes] = {}
-        self.marks: dict[str, bytes] = {"": b""}
+        self.end = np.array([end_id], self.type)
+        self.cache = np.zeros(0, np.uint64)
+        self.start, self.size, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, self.type)
+        self.marks: dict[bytes, np.ndarray] = {}
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.type)
 
-    def _learn(self, words: list[str]) -> dict[str, bytes]:
-        """Ids of new words. A run of Latin letters is one piece to the pre-tokenizer, and so are the marks
-        that may follow: the run goes straight to the library's model. All else is encoded in one go and
-        told apart by where each id starts."""
-        found, rest, piece = {}, [], self.tokenizer.model.tokenize
-        kind = "H" if self.type == np.uint16 else "I"
-        for w in words:
-            core = w.rstrip(_MARKS)
-            if not core.isalpha():
-                rest.append(w)
-                continue
-            low = core.lower()
-            if not low.isascii():
-                if max(low) > "\u00ff":
-                    rest.append(w)
-                    continue
-                low = low.encode().decode("latin-1").translate(_BYTES)
-            ids = array.array(kind, [t.id for t in piece(low)]).tobytes()
-            found[w] = ids if len(core) == len(w) else ids + self._mark(w[len(core):])
-        if rest:
-            e = self.tokenizer.encode(" ".join(rest), add_special_tokens=False)
-            ids = np.array(e.ids, self.type)
-            cut = np.searchsorted(np.array([o[0] for o in e.offsets], np.int64), np.cumsum([len(w) + 1 for w in rest]))
-            raw, size, lo = ids.tobytes(), ids.itemsize, 0
-            for w, hi in zip(rest, cut.tolist()):
-                found[w] = raw[lo * size:hi * size]
-                lo = hi
-        return found
-
-    def _mark(self, marks: str) -> bytes:
-        if marks not in self.marks:
-            if len(marks) > LONG_WORD:
-                return self._ids(marks).tobytes()
-            self.marks[marks] = self._ids(marks).tobytes()
-        return self.marks[marks]
+    def _mark(self, marks: bytes) -> np.ndarray:
+        ids = self.marks.get(marks)
+        if ids is None:
+            ids = self._ids(marks.decode())
+            if len(marks) <= LONG_WORD:
+                self.marks[marks] = ids
+        return ids
+
+    def _learn(self, buf: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids side by side, ids per word) of the words at ``buf[first:last]``. A run of Latin letters is one
+        piece to the pre-tokenizer, and so are the marks that may follow: the run goes straight to the
+        library's model. All else is encoded in one go and told apart by where each id starts."""
+        n_word = len(first)
+        if not n_word:
+            return np.zeros(0, self.type), np.zeros(0, np.int64)
+        size = last - first
+        b, off = _spread(buf, first, size), np.cumsum(size) - size
+        letter = _LETTER[b]
+        wide = np.flatnonzero((b[:-1] == 0xC3) & (b[1:] != 0x97) & (b[1:] != 0xB7))  # both bytes of a Latin-1 letter
+        letter[wide], letter[wide + 1] = True, True
+        n_letters = np.add.reduceat(letter, off, dtype=np.int64)
+        n_marks = np.add.reduceat(_MARK[b], off, dtype=np.int64)
+        core = np.arange(len(b)) < np.repeat(off + n_letters, size)
+        plain = (n_letters > 0) & (n_letters + n_marks == size) & (np.add.reduceat(letter & core, off, dtype=np.int64) == n_letters)
+        b[(b >= 65) & (b <= 90)] += 32
+        upper = wide + 1
+        b[upper[b[upper] <= 0x9E]] += 32
+        # the letters of all plain words, a space after each
+        take = np.flatnonzero(core & np.repeat(plain, size))
+        n = n_letters[plain]
+        joined = np.full(len(take) + len(n), 32, np.uint8)
+        joined[np.arange(len(take)) + np.repeat(np.arange(len(n)), n)] = b[take]
+        text = joined.tobytes().decode("latin-1")
+        pieces = list(map(self.tokenizer.model.tokenize, (text if text.isascii() else text.translate(_BYTES | {32: 32})).split(" ")[:-1]))
+        n_ids = np.zeros((n_word, 2), np.int64)
+        n_ids[plain, 0] = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        ids = [np.fromiter(map(_ID, chain.from_iterable(pieces)), self.type, int(n_ids.sum()))]
+        start = np.zeros((n_word, 2), np.int64)
+        start[plain, 0] = np.cumsum(n_ids[plain, 0]) - n_ids[plain, 0]
+        # the marks behind them, each kind once
+        at, raw = np.flatnonzero(plain & (n_marks > 0)), b.tobytes()
+        ends = (off + size)[at]
+        kinds: dict[bytes, int] = {}
+        which = np.array([kinds.setdefault(raw[x:y], len(kinds)) for x, y in zip((ends - n_marks[at]).tolist(), ends.tolist())], np.int64)
+        marks = [self._mark(m) for m in kinds]
+        n_kind = np.array([len(m) for m in marks], np.int64)
+        n_ids[at, 1] = n_kind[which]
+        start[at, 1] = len(ids[0]) + (np.cumsum(n_kind) - n_kind)[which]
+        ids += marks
+        rest = np.flatnonzero(~plain)
+        if len(rest):
+            words = [bytes(buf[x:y]).decode("utf-8", "surrogatepass") for x, y in zip(first[rest].tolist(), last[rest].tolist())]
+            e = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
+            at = np.fromiter((o[0] for o in e.offsets), np.int64)
+            cut = np.searchsorted(at, np.cumsum([0] + [len(w) + 1 for w in words]))
+            n_ids[rest, 0] = np.diff(cut)
+            start[rest, 0] = sum(map(len, ids)) + cut[:-1]
+            ids.append(np.array(e.ids, self.type))
+        return _spread(np.concatenate(ids), start.ravel(), n_ids.ravel()), n_ids.sum(axis=1)
 
     def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, ids per text)"""
         if not self.by_word:
-            parts = [np.append(self._ids(t), np.frombuffer(self.end, self.type)) for t in texts]
+            parts = [np.append(self._ids(t), self.end) for t in texts]
             return np.concatenate(parts), np.array([len(p) for p in parts])
         h, first, last, offsets, buf = hash_raw([_folded(t).encode("utf-8", "surrogatepass") for t in texts])
-        h = np.where(last - first > LONG_WORD, np.uint64(0), h)  # looked up by themselves below
-        each, where, which = np.unique(h, return_index=True, return_inverse=True)
-        known, keys = self.cache, each.tolist()
-        found = list(map(known.get, keys))
-        new = [i for i, ids in enumerate(found) if ids is None]
-        words = [bytes(buf[first[j]:last[j]]).decode("utf-8", "surrogatepass") for j in where[new].tolist()]
-        learned = self._learn(words)
-        for i, w in zip(new, words):
-            found[i] = learned[w]
-        if len(known) + len(new) <= CACHED_WORDS:
-            known.update((keys[i], found[i]) for i in new if keys[i])
+        h = np.where(last - first > LONG_WORD, np.uint64(0), h)  # encoded by themselves below
+        order = np.argsort(h)
+        fresh = np.ones(len(h), bool)
+        fresh[1:] = np.diff(h[order]) != 0
+        where = order[fresh]
+        each, which = h[where], np.empty(len(h), np.int64)
+        which[order] = np.cumsum(fresh) - 1
+        at = np.searchsorted(self.cache, each)
+        known = np.zeros(len(each), bool)
+        if len(self.cache):
+            known = self.cache[np.minimum(at, len(self.cache) - 1)] == each
+        new = np.flatnonzero(~known & (each != 0))
+        ids, n = self._learn(buf, first[where[new]], last[where[new]])
+        start, size = np.zeros(len(each), np.int64), np.zeros(len(each), np.int64)
+        start[known], size[known] = self.start[at[known]], self.size[at[known]]
+        start[new], size[new] = len(self.ids) + np.cumsum(n) - n, n
+        table = np.concatenate((self.ids, ids))
+        if len(self.cache) + len(new) <= CACHED_WORDS:
+            self.cache, self.ids = np.insert(self.cache, at[new], each[new]), table
+            self.start, self.size = np.insert(self.start, at[new], start[new]), np.insert(self.size, at[new], n)
+        elif len(each) <= CACHED_WORDS:
+            self.cache, self.size = each[each != 0], size[each != 0]
+            self.ids, self.start = _spread(table, start[each != 0], self.size), np.cumsum(self.size) - self.size
         far = np.flatnonzero(h == 0)
         if len(far):
-            words = [bytes(buf[first[j]:last[j]]).decode("utf-8", "surrogatepass") for j in far.tolist()]
-            learned = self._learn(list(dict.fromkeys(words)))
-            which = which.copy()
-            which[far] = len(found) + np.arange(len(far))
-            found += [learned[w] for w in words]
-        # ids of the distinct words side by side, copied to where the words stand, an end id after each text
-        size = len(self.end)
-        table = np.frombuffer(b"".join(found), self.type)
-        n = np.array([len(x) for x in found], np.int64) // size
-        start = np.cumsum(n) - n
-        n_word = n[which]
+            ids, n = self._learn(buf, first[far], last[far])
+            which[far] = len(each) + np.arange(len(far))
+            start, size = np.concatenate((start, len(table) + np.cumsum(n) - n)), np.concatenate((size, n))
+            table = np.concatenate((table, ids))
+        # the ids of each word where it stands, an end id after each text
+        n_word = size[which]
         ends = np.concatenate(([0], np.cumsum(n_word)))
         per = np.diff(ends[offsets]) + 1
-        at = np.repeat(start[which] - ends[:-1], n_word)
-        at += np.arange(len(at))
-        out = np.empty(len(at) + len(texts), self.type)
+        out = np.empty(int(ends[-1]) + len(texts), self.type)
         stop = np.cumsum(per) - 1
         body = np.ones(len(out), bool)
         body[stop] = False
-        out[stop] = np.frombuffer(self.end, self.type)[0]
-        out[body] = table[at]
+        out[stop] = self.end
+        out[body] = _spread(table, start[which], n_word)
         return out, per
 
 

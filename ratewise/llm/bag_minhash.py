@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratewise.llm.common import components, map_batches, stored, unused
+from ratewise.llm.common import components, map_batches, shuffle_partitions, stored, unused
 from ratewise.llm.wordhash import hash_words, mix64, text_batches
 from ratewise.session import cut_lineage
 
@@ -223,7 +223,7 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD, k: int = SHINGLE
     """(doc_id, copy_of, class_id) per row: the least doc_id with an equal text, and with a text linked
     to it through pairs that reach the threshold."""
     s = stored(signed(docs, k), "signatures")
-    same = cut_lineage(s.where("doc_id is not null").groupBy("mark").agg(F.min("doc_id").alias("id")))
+    same = cut_lineage(s.where("doc_id is not null").groupBy("mark").agg(F.min("doc_id").alias("id"), F.count(F.lit(1)).alias("rows")))
     nodes = s.where("weight > 0").join(same, "mark").where("doc_id = id").dropDuplicates(["mark"]).select("id", "signature")
     nodes = stored(nodes, "nodes")
     size = 4 * ROWS
@@ -244,9 +244,24 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD, k: int = SHINGLE
     texts = texts.withColumnRenamed("doc_id", "id").join(nodes, "id")
     more = cut_lineage(across_components(rest.join(texts, "id"), threshold, k))
     final = comp if more.isEmpty() else components(links.union(more))
-    out = s.select("doc_id", "mark").join(same, "mark", "left").join(final, "id", "left")
-    return out.select("doc_id", F.when(F.col("doc_id").isNotNull(), F.col("id")).alias("copy_of"),
-                      F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "id")).alias("class_id"))
+    labels = same.join(final, "id", "left").select("mark", "rows", F.col("id").alias("copy_of"), F.coalesce("component", "id").alias("class_id"))
+    return labelled(s.select("doc_id", "mark"), labels)
+
+
+def labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """(doc_id, copy_of, class_id) of all rows; null for those without a doc_id.
+
+    Texts with more than a ``1 / (4 x shuffle partitions)``th of all rows are at most 4 x shuffle partitions:
+    their labels are broadcast, and the shuffle join of the others has no hot key."""
+    labels = cut_lineage(labels)
+    share = 4 * shuffle_partitions(rows.sparkSession)
+    total = labels.agg(F.sum("rows")).first()[0] or 0
+    hot = F.broadcast(labels.where(F.col("rows") * share > total).drop("rows"))
+    cold = labels.where(F.col("rows") * share <= total).drop("rows")
+    named, out = rows.where("doc_id is not null"), ["doc_id", "copy_of", "class_id"]
+    none = [F.lit(None).cast(labels.schema[c].dataType).alias(c) for c in out[1:]]
+    return named.join(hot, "mark").select(*out).unionByName(named.join(cold, "mark").select(*out)).unionByName(
+        rows.where("doc_id is null").select("doc_id", *none))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:

@@ -169,3 +169,33 @@ def test_terms_of_unneeded_pairs_are_dropped_before_the_sums(spark):
     plan = plan.split("== Initial Plan ==")[-1]
     assert plan.index("partial_count") < plan.index("LeftSemi"), "the mask stands below the partial aggregate"
     assert similarity.pair_mask(spark.range(3 * similarity.MASK).selectExpr("id as lo", "id as hi")).count() <= similarity.MASK
+
+
+@pytest.mark.parametrize("heavy", [1, 6, 500])
+def test_co_rating_sums_of_repeats_and_null_ids(spark, monkeypatch, heavy):
+    """Every term once, with lists cut into chunks of four item numbers and dealt to three buckets."""
+    monkeypatch.setattr(similarity, "CHUNK", 4)
+    rnd = random.Random(heavy)
+    rows = [(f"u{rnd.randrange(15)}", f"i{rnd.randrange(14):02d}", float(rnd.randint(-2, 2))) for _ in range(160)]
+    rows += [(None, "i01", 1.0), (None, "i02", 1.0), ("u1", None, 1.0)]
+    needed = [(f"i{a:02d}", f"i{b:02d}") for a in range(14) for b in range(a, 14) if rnd.random() < 0.6] + [("i01", None), ("i01", "zz")]
+    want = defaultdict(lambda: [0, 0.0, 0.0, 0.0])
+    for u, i, x in rows:
+        for v, j, y in rows:
+            if None not in (u, i, j) and u == v and (i, j) in needed:
+                w = want[i, j]
+                w[0], w[1], w[2], w[3] = w[0] + 1, w[1] + x * y, w[2] + x * x, w[3] + y * y
+    centred = spark.createDataFrame(rows, "user_id string, business_id string, centred double")
+    degree = centred.groupBy("user_id").count().withColumnRenamed("count", "user_degree")
+    got = similarity.co_rating_stats(centred, spark.createDataFrame(needed, "lo string, hi string"), degree, heavy, 3)
+    assert {(r.lo, r.hi): [r.n_common, r.num, r.den_lo, r.den_hi] for r in got.collect()} == dict(want)
+
+
+def test_terms_are_summed_before_any_shuffle(spark):
+    """No join makes a row per user and pair of ratings, and no aggregate shuffles their sums."""
+    rows, pairs = _random_fixture(4)
+    train, p = _frames(spark, rows, pairs)
+    needed = similarity.needed_pairs(neighbours.knn_candidates(p, train))
+    plan = similarity.pair_similarity(train, needed, 2)._jdf.queryExecution().executedPlan().toString()
+    plan = plan.split("== Initial Plan ==")[-1]
+    assert "MapInArrow" in plan and "sum(" not in plan

@@ -2,11 +2,9 @@
 
 1. Words (runs of letters and digits, lower case) are hashed to ``TERMS`` terms; passages are 64 words.
 2. One pass counts in how many passages each term occurs, over all documents and items. The TF-IDF matrix A
-   of the passages of about ``FIT_DOCS`` documents (all, where there are fewer; chosen by a hash of the text)
-   and of all items is multiplied into a random test matrix, G = A'A W, summed over tasks by Spark: the space
-   is an index, fitted on a bounded sample and searched for every row. From (W, G) the driver takes the
-   leading right singular vectors and values of A (randomised SVD, Nystroem form): matrices whose size is
-   a parameter, however many documents there are.
+   of all these passages is multiplied into a random test matrix in a second, G = A'A W, summed over tasks by
+   Spark. From (W, G) the driver takes the leading right singular vectors and values of A (randomised SVD,
+   Nystroem form): matrices whose size is a parameter, however many documents there are.
 3. A third pass slides windows of about each benchmark item's length over every text, projects them to the
    scaled latent space by running sums, and takes those whose cosine with an item reaches ``COSINE``.
 4. Candidates are verified on the words themselves: the longest common subsequence with the item, over the
@@ -39,7 +37,6 @@ from ratewise.session import cut_lineage
 TERMS, RANK, OVERSAMPLE, PASSAGE = 1 << 14, 32, 8, 64
 COSINE, LCS, LCS_PARAPHRASE, ANSWER, LEAST_WORDS = 0.25, 0.8, 0.55, 0.75, 5
 ITEM_BLOCK, PIECE, SUMMED, GRAIN = 2000, 1 << 15, 1 << 20, 3
-FIT_DOCS = 20_000
 
 
 def terms_of(words: np.ndarray) -> np.ndarray:
@@ -117,14 +114,17 @@ def _add(total: np.ndarray, held: list):
     total[t[at]] += np.add.reduceat(sums, first, axis=0)
 
 
-def latent_space(docs: DataFrame, items: DataFrame, fit_docs: int = FIT_DOCS, seed: int = 7) -> np.ndarray | None:
+def latent_space(docs: DataFrame, items: DataFrame, fit_docs: int | None = None, seed: int = 7) -> np.ndarray | None:
     """(TERMS, RANK): each term's IDF times its latent coordinates, scaled by the singular values. The items
-    are passages as well, so that their words have coordinates in any corpus."""
+    are passages as well, so that their words have coordinates in any corpus. ``fit_docs`` fits the space on
+    about so many documents, chosen by a hash of the text; by default on all."""
     df, n = passage_counts(docs.select("text").union(items.select("text")))
     if not n:
         return None
-    every = -(-docs.count() // fit_docs)
-    sample = docs.select("text").where(F.pmod(F.xxhash64(F.lit(seed), "text"), F.lit(max(every, 1))) == 0)
+    sample = docs.select("text")
+    if fit_docs:
+        every = -(-docs.count() // fit_docs)
+        sample = sample.where(F.pmod(F.xxhash64(F.lit(seed), "text"), F.lit(max(every, 1))) == 0)
     fitted = sample.union(items.select("text"))
     idf = (np.log((n + 1) / (df + 1)) + 1).astype(np.float32)
     width = RANK + OVERSAMPLE

@@ -154,3 +154,10 @@ def test_latent_space_spans_the_leading_directions(make_docs):
 def test_last_sentence():
     assert last_sentence("A b. C d!\nE f? g h.") .strip() == "g h"
     assert last_sentence("") == "" and last_sentence("...") == ""
+
+
+def test_latent_space_is_fitted_on_all_documents(spark):
+    docs = spark.range(41_000).selectExpr("id as doc_id", "concat('t', id % 6, 'x', id % 37, ' t', id % 6, 'y', id % 41, ' z', id % 11) as text")
+    items = spark.createDataFrame([(0, "t1x1 t1y1 z5")], ITEMS)
+    got, whole, some = latent_space(docs, items), latent_space(docs, items, 10 ** 9), latent_space(docs, items, 20_000)
+    assert np.allclose(np.abs(got), np.abs(whole), atol=1e-4) and not (got.shape == some.shape and np.allclose(np.abs(got), np.abs(some), atol=1e-4))

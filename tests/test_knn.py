@@ -4,6 +4,7 @@ from collections import defaultdict
 from math import sqrt
 
 import pytest
+from pyspark.sql import functions as F
 
 from ratewise.operators import neighbours, similarity
 
@@ -199,3 +200,19 @@ def test_terms_are_summed_before_any_shuffle(spark):
     plan = similarity.pair_similarity(train, needed, 2)._jdf.queryExecution().executedPlan().toString()
     plan = plan.split("== Initial Plan ==")[-1]
     assert "MapInArrow" in plan and "sum(" not in plan
+
+
+@pytest.mark.parametrize("heavy", [0, 500])
+def test_co_rating_sums_leave_out_null_ratings(spark, heavy):
+    """As the sums over a self-join: a NULL rating counts as common, NaN stays NaN, a sum of NULLs is NULL."""
+    rnd = random.Random(8)
+    value = {0: None, 1: float("nan")}
+    rows = [(f"u{u}", f"i{i}", 4.0 if i == 7 and u % 2 else None if i == 7 else value.get(rnd.randrange(9), float(rnd.randint(-2, 2))))
+            for u in range(12) for i in range(9) if rnd.random() < 0.7] + [("v", "i0", None), ("v", "i8", None), ("w", "only", None), ("w", "i0", 1.0)]
+    centred = spark.createDataFrame(rows, "user_id string, business_id string, centred double")
+    degree = centred.groupBy("user_id").count().withColumnRenamed("count", "user_degree")
+    a, b = centred.toDF("user_id", "lo", "x"), centred.toDF("user_id", "hi", "y")
+    want = a.join(b, "user_id").where("lo <= hi").groupBy("lo", "hi").agg(*[F.expr(e) for e in (
+        "count(1)", "sum(x * y)", "sum(x * x)", "sum(y * y)")])
+    got = similarity.co_rating_stats(centred, want.select("lo", "hi"), degree, heavy)
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, map(tuple, want.collect())))

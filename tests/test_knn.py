@@ -216,3 +216,41 @@ def test_co_rating_sums_leave_out_null_ratings(spark, heavy):
         "count(1)", "sum(x * y)", "sum(x * x)", "sum(y * y)")])
     got = similarity.co_rating_stats(centred, want.select("lo", "hi"), degree, heavy)
     assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, map(tuple, want.collect())))
+
+
+@pytest.mark.parametrize("length", [2, 4096])
+def test_top_k_gathers_candidates_before_the_shuffle(spark, monkeypatch, length):
+    """As the join of single candidates on the unordered pair, with NULL ids and NaN similarities; no join on pairs."""
+    monkeypatch.setattr(neighbours, "LIST", length)
+    rnd = random.Random(3)
+    ids = ["i0", "i1", "i2", "i3", "i4", "i5", "i6", None]
+    cand = spark.createDataFrame([(f"u{u}", i, j, float(rnd.randint(1, 5))) for u in range(6) for i in ids for j in ids if rnd.random() < 0.7],
+                                 "user_id string, business_id string, neighbour_id string, neighbour_stars double")
+    sims = spark.createDataFrame([(f"i{a}", f"i{b}", rnd.choice([0.5, 0.25, 0.75, -1.0, 0.0, float("nan")])) for a in range(7) for b in range(a, 7)],
+                                 "lo string, hi string, similarity double")
+    top = neighbours.knn_top_k(cand, sims, 3)
+    joined = cand.join(sims.filter("similarity > 0"), similarity.on_pair())
+    joined.createOrReplaceTempView("scored_candidates")
+    want = spark.sql("select user_id, business_id, rank, neighbour_id, similarity, neighbour_stars from (select *, row_number() over "
+                     "(partition by user_id, business_id order by similarity desc, neighbour_id) as rank from scored_candidates) where rank <= 3")
+    assert want.count() > 50 and sorted(map(str, top.collect())) == sorted(map(str, want.collect()))
+    assert "least(" not in top._jdf.queryExecution().executedPlan().toString()
+
+
+def test_lists_are_shuffled_packed(spark):
+    """A light user's list goes to its buckets in less than 4 bytes a rating, not 12 and more."""
+    rnd = random.Random(1)
+    rows = [(f"u{u}", i, float(rnd.randint(1, 5))) for u in range(2000) for i in rnd.sample(range(600), 20)]
+    packed = similarity._light_rows(spark.createDataFrame(rows, "user_id string, item int, centred double").coalesce(1), 8)
+    got = packed.selectExpr("kind", "bucket", "length(data) as n").collect()
+    sent = sum(len(sorted(items)[at:]) for items in _by_user(rows) for at in {
+        next(k for k, i in enumerate(sorted(items)) if i % 8 == p) for p in {i % 8 for i in items}})
+    assert {(r.kind, r.bucket) for r in got} == {(1, p) for p in range(8)}
+    assert sum(r.n for r in got) < 4 * sent
+
+
+def _by_user(rows):
+    lists = defaultdict(list)
+    for u, i, _ in rows:
+        lists[u].append(i)
+    return lists.values()

@@ -254,3 +254,25 @@ def _by_user(rows):
     for u, i, _ in rows:
         lists[u].append(i)
     return lists.values()
+
+
+def test_candidates_are_shuffled_packed_and_unsorted(spark):
+    """The candidates of a pair go to its item in less than 3 bytes each, and no window sorts their rows."""
+    rnd = random.Random(2)
+    rows = [(f"u{u}", 2 * a, 2 * b, float(rnd.randint(1, 5))) for u in range(1500) for a in rnd.sample(range(600), 2) for b in rnd.sample(range(600), 20)]
+    frame = spark.createDataFrame(rows, "user_id string, a long, b long, neighbour_stars double").coalesce(1)
+    got = frame.mapInArrow(neighbours._pack_lists(8, neighbours.LIST), similarity.PACKED).selectExpr("kind", "bucket", "length(data) as n").collect()
+    assert {(r.kind, r.bucket) for r in got} == {(1, p) for p in range(8)}
+    assert sum(r.n for r in got) < 3 * len(rows)
+    train, p = _frames(spark, *_random_fixture(3))
+    cand = neighbours.knn_candidates(p, train)
+    plan = neighbours.knn_top_k(cand, similarity.pair_similarity(train, cand, 2), 3)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window [") == 1 and "collect_list" not in plan
+
+
+def test_needed_keys_are_distinct(spark):
+    rnd = random.Random(4)
+    keys = [rnd.randrange(50) << 32 | rnd.randrange(9) for _ in range(2000)] + [7 << 32 | 2 ** 31 - 1] * 2
+    got = similarity._distinct_keys(spark.createDataFrame([(k,) for k in keys], "key long")).collect()
+    assert sorted(r.a << 32 | r.b for r in got) == sorted(set(keys))
+    assert similarity._distinct_keys(spark.createDataFrame([], "key long")).count() == 0

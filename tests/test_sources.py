@@ -93,3 +93,14 @@ def test_loose_and_standard_headers(spark):
 
     assert header("loose") == ["user_id, business_id, prediction", "u1,b1,3.25"]
     assert header("std") == ["user_id,business_id,prediction", "u1,b1,3.25"]
+
+
+def test_compact_rating_tables_are_the_same_rows(spark):
+    from tests.conftest import SF_SMALL
+    from ratewise.sources.standin import StandIn
+
+    plain, compact = StandIn(spark, SF_SMALL), StandIn(spark, SF_SMALL, compact=True)
+    for name in ("train", "test"):
+        a, b = getattr(plain, name), getattr(compact, name)
+        assert a.schema == b.schema and a.exceptAll(b).count() == b.exceptAll(a).count() == 0 and b.count() > 0
+        assert "ratewise-" in b.inputFiles()[0] and not a.inputFiles()

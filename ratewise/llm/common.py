@@ -33,6 +33,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 ARROW_ROWS = 1000
 
 
+def few_files(spark: SparkSession) -> int:
+    """How many files a narrow table is checkpointed in: an eighth of the shuffle partitions, which wide rows
+    set, but two a core. Hadoop's local file system starts a process for each file that it makes."""
+    return max(2 * spark.sparkContext.defaultParallelism, -(-shuffle_partitions(spark) // 8))
+
+
 def map_batches(df: DataFrame, run, schema) -> DataFrame:
     """``df.mapInArrow`` in batches of ``ARROW_ROWS`` rows, so that a worker holds little at a time.
     The batch size is a setting of the session."""
@@ -57,18 +63,20 @@ def let(value: Column, body) -> Column:
 
 
 def numbered(df: DataFrame, group: list[str], order: list[str], value: str | None = None,
-             partitions: int | None = None) -> DataFrame:
+             partitions: int | None = None, files: int | None = None) -> DataFrame:
     """``df`` with ``rank`` (0-based row number within ``group`` by ``order``) and, if ``value`` is
     named, ``before`` (the sum of ``value`` over the earlier rows of the group).
 
     No group is gathered in one task: rows are range-partitioned by (group, order) and sorted, so a
     large group spans many partitions; the offsets come from one row per (partition, group). The
-    ordered rows are checkpointed, since a second evaluation could draw other range bounds. Group
-    columns must not be null. Empty in, empty out. ``df`` should be narrow."""
+    ordered rows are checkpointed, since a second evaluation could draw other range bounds, in at most
+    ``files`` files if that is given. The result is a function of that checkpoint. Group columns must not
+    be null. Empty in, empty out. ``df`` should be narrow."""
     keys = group + order
     n = partitions or shuffle_partitions(df.sparkSession)
     r = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-    r = cut_lineage(r.withColumn("_at", F.monotonically_increasing_id()))
+    r = r.withColumn("_at", F.monotonically_increasing_id())
+    r = cut_lineage(r.coalesce(files) if files else r)
     r = r.withColumn("_part", F.shiftright("_at", 33))
     v = F.col(value) if value else F.lit(0)
     local = Window.partitionBy("_part", *group).orderBy("_at")

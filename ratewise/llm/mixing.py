@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ratewise.llm.common import NOT_SPACE, numbered, stored
+from ratewise.llm.common import NOT_SPACE, few_files, numbered, stored
 from ratewise.session import cut_lineage
 
 #: Fixed values of the mix: weights by source order (repeating), size of the mix, most passes.
@@ -135,7 +135,11 @@ ORDER = ["key", "doc_id", "mark", "block", "row"]
 
 def _dealt(docs: DataFrame, block_words: int | None, weights, share: float, cap: float, shards: int, seed: int):
     """(rows, blocks, sources): every input row, all numbered blocks with their copies, and per source its
-    number of blocks, its quota and the cuts that the tree gives its draws."""
+    number of blocks, its quota and the cuts that the tree gives its draws.
+
+    Blocks are checkpointed once, numbered; what follows from them and from the tables of sources is computed
+    again where it is used."""
+    files = few_files(docs.sparkSession)
     sized = cut_lineage(docs.select("doc_id", "source", n_words("text").alias("size"), row_mark(docs).alias("mark"))
                         .withColumn("row", F.monotonically_increasing_id()))
     targets = cut_lineage(source_targets(sized, weights, share, cap))
@@ -145,16 +149,17 @@ def _dealt(docs: DataFrame, block_words: int | None, weights, share: float, cap:
         "row", "doc_id", "mark", "source_no", "source_size", "target", "size",
         F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("size") - 1) / per).cast("long"))).alias("block"))
     b = b.withColumn("words", F.least(per, F.col("size") - F.col("block") * per).cast("long")).withColumn("key", block_key(seed))
-    b = numbered(b.drop("size"), ["source_no"], ORDER, "words")
+    b = numbered(b.drop("size"), ["source_no"], ORDER, "words", files=files)
     passes = F.floor(F.col("target") / F.col("source_size")).cast("int")
     rest = F.col("target") - passes * F.col("source_size")
     b = b.withColumn("passes", passes).withColumn("copies", passes + F.when(
         F.col("before") + F.col("words") / 2 <= rest, 1).otherwise(0))
-    b = cut_lineage(b)
     quota = b.groupBy("source_no").agg(F.sum("copies").cast("long").alias("quota"), F.count(F.lit(1)).alias("blocks"),
                                        F.max("passes").alias("passes"))
+    quota = cut_lineage(quota.coalesce(files))
     cuts = split_quotas(quota.select("source_no", "quota"), shards, seed)
-    return rows, b, cut_lineage(quota.join(cuts, "source_no").join(targets.select("source_no", "source"), "source_no"))
+    sources = quota.join(cuts, "source_no").join(targets.select("source_no", "source"), "source_no")
+    return rows, b, cut_lineage(sources.coalesce(files))
 
 
 def mix_blocks(docs: DataFrame, block_words: int | None = BLOCK_WORDS, weights=WEIGHTS, share: float = SHARE,
@@ -214,7 +219,7 @@ def mix_documents(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: f
     A document finds its copies and shards by comparing its place in its source's permutation with the
     places where the tree cuts it, so its text moves once, straight to its place."""
     _, blocks, sources = _dealt(docs, None, weights, share, cap, shards, seed)
-    cuts = cut_lineage(_cut_keys(blocks, sources))
+    cuts = cut_lineage(_cut_keys(blocks, sources).coalesce(few_files(docs.sparkSession)))
     if cuts.count() <= BROADCAST_SOURCES:
         cuts = F.broadcast(cuts)
     d = docs.select(F.struct(*docs.columns).alias("d"), F.col("doc_id"), F.col("source").alias("of"), row_mark(docs).alias("mark"),

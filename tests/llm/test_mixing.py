@@ -106,6 +106,33 @@ def test_rows_that_share_an_id_and_clashing_columns(spark):
     assert sorted(map(str, twice)) == sorted(2 * [str(r) for r in docs.where("text is not null").collect()])
 
 
+def test_narrow_checkpoints_have_few_files(spark, sf_docs, monkeypatch):
+    """However many partitions a shuffle has, steps of a mix leave few files (some 3 x 64 without ``few_files``)."""
+    from ratewise.llm import common, mixing
+
+    files, cut = [], common.cut_lineage
+    counted = lambda df: files.append((d := cut(df)).rdd.getNumPartitions()) or d
+    monkeypatch.setattr(common, "cut_lineage", counted)
+    monkeypatch.setattr(mixing, "cut_lineage", counted)
+    want = sorted(map(str, mix_digest(sf_docs).collect()))
+    conf = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    was = {k: spark.conf.get(k) for k in conf}
+    monkeypatch.setattr(mixing, "stored", lambda df, name: df)
+    files.clear()
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        assert common.few_files(spark) == 8
+        assert sorted(map(str, mix_digest(sf_docs).collect())) == want
+        assert sum(files) <= 40
+        files.clear()
+        mix_documents(sf_docs)
+        assert sum(files) <= 48
+    finally:
+        for k, v in was.items():
+            spark.conf.set(k, v)
+
+
 def test_native_plan(sf_docs):
     for df in (mix_digest(sf_docs), mix_documents(sf_docs)):
         plan = df._jdf.queryExecution().toString()

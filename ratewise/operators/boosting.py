@@ -9,17 +9,19 @@ Plan
 * Cut points come from at most ``EDGE_ROWS`` rows, those with the least hash of their features: midpoints of
   the distinct values, or quantiles where a feature has more than ``max_bins`` of them. Missing values (NULL, NaN) have a
   bin of their own.
-* One pass writes the rows as blocks (one byte a row and feature, feature by feature, and the labels)
-  to a table under the shared scratch folder. The passes below read it, cached.
+* Features come in groups (those of a user, those of an item): a block stores each group's distinct combinations
+  of bins once, and of a row the numbers of its combinations. Rows are dealt to blocks by the first group, so that
+  the rows of a combination are together. Blocks are cached; the passes read them there.
 * A level of a tree is one pass: tasks find the node of each row and sum its residual and count by
-  (node, drawn feature, bin). Only the smaller child of each split is summed; its sibling is the parent
-  less that. Partial histograms are added up by the executors, in pieces, unless all of them together
-  are known to be within ``DRIVER_BYTES``; the driver then holds nodes x features x bins sums, whatever
-  the number of rows, and picks the splits. A table of one block needs no exchange between its levels,
-  so the task that has it grows the tree.
-* Predictions of a block are a function of the trees so far. A Python worker keeps those of its last
-  blocks and adds the trees that came since; a worker that has none (a lost executor, a moved block)
-  computes them from the trees, so no state has to be stored between passes.
+  (node, drawn feature, bin): first by (node, combination), then what there is of those by bin. Only the smaller
+  child of each split is summed; its sibling is the parent less that. Partial histograms are added up by the
+  executors, in pieces, unless all of them together are known to be within ``DRIVER_BYTES``; the driver then holds
+  nodes x features x bins sums, whatever the number of rows, and picks the splits. A table of one block (up to
+  ``ALONE_ROWS``) needs no exchange between its levels, so the task that has it grows ``ALONE_TREES`` at once.
+* Predictions of a block and the nodes of its rows are a function of the trees so far. A task leaves them in a file
+  of its executor's own folder, beside the rows of the block, where the Python workers of that executor find them.
+  Where they are missing (a lost executor, a moved block) a pass goes over the cached blocks and computes them from the
+  trees, so none of it has to be kept.
 
 Residuals are summed as integers (units of 2^-20), so sums are exact and the model depends on rows and
 settings alone: not on partitions, cores, or the order in which tasks end.
@@ -27,7 +29,9 @@ settings alone: not on partitions, cores, or the order in which tasks end.
 
 from __future__ import annotations
 
-from collections import OrderedDict
+import os
+import pickle
+import shutil
 from dataclasses import dataclass, field
 from itertools import groupby
 from uuid import uuid4
@@ -40,13 +44,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
-from ratewise.session import scratch_path
-
 EDGE_ROWS = 1 << 15
-BLOCK_ROWS = 1 << 17
+#: Rows of a block at most, and of a table that is one block; trees that a task grows of the latter.
+BLOCK_ROWS, ALONE_ROWS, ALONE_TREES = 1 << 20, 1 << 22, 10
 DRIVER_BYTES = 64 << 20
 PIECE = 1 << 16  # histogram cells summed under one key
-KEPT_BYTES = 256 << 20  # predictions and nodes that a worker keeps
+#: Rows that a task moves down a tree at once; rows packed at once; combinations of the columns that are summed together.
+STEP_ROWS, PACK_ROWS, PART = 1 << 15, 1 << 17, 256
 UNIT = float(1 << 20)
 #: A split must gain more than this.
 LEAST_GAIN = 1e-6
@@ -80,28 +84,77 @@ class Tree:
         n = (2 << depth) - 1
         return cls(np.full(n, -1, np.int16), np.zeros(n, np.uint8), np.zeros(n, bool), np.zeros(n))
 
-    def step(self, bins: np.ndarray, node: np.ndarray, missing: np.ndarray) -> np.ndarray:
-        """The node of each row one level further down; ``missing``: each feature's bin for missing values."""
-        f = self.feature[node]
-        b = bins[np.maximum(f, 0), np.arange(bins.shape[1])]
-        left = np.where(b == missing[f], self.missing_left[node], b <= self.cut[node])
-        return np.where(f < 0, node, 2 * node + 2 - left)
-
-    def leaves(self, bins: np.ndarray, missing: np.ndarray) -> np.ndarray:
-        node = np.zeros(bins.shape[1], np.int64)
-        while (self.feature[node] >= 0).any():
-            node = self.step(bins, node, missing)
+    @property
+    def levels(self) -> int:
+        """How many times a row moves down at most."""
+        return int(np.flatnonzero(self.feature >= 0).max(initial=-1) + 1).bit_length()
+
+    def leaves(self, bins: Grouped, missing: np.ndarray) -> np.ndarray:
+        node = np.zeros(bins.n, np.int32)
+        for _ in range(self.levels):
+            node = bins.step(self, node, missing)
         return node
 
 
+class Grouped:
+    """Binned rows. ``columns`` are the features of each group, ``tables`` its distinct combinations (feature,
+    combination) and ``codes`` which of them each row has. ``parts``, of each group: (features, table, combination
+    of these features that each of the group's has), for features that have few combinations together."""
+
+    def __init__(self, columns: list[np.ndarray], tables: list[np.ndarray], codes: list[np.ndarray], parts: list | None = None):
+        self.columns, self.tables, self.codes, self.n = columns, tables, codes, len(codes[0])
+        self.parts = parts or [[(c[k:k + 1], t[k:k + 1], None) for k in range(len(c))] for c, t in zip(columns, tables)]
+        self.flat = np.concatenate([t.reshape(-1) for t in tables])
+        self.base, self.group = (np.zeros(sum(map(len, columns)), np.int64) for _ in range(2))
+        start = 0
+        for g, (c, t) in enumerate(zip(columns, tables)):
+            self.base[c], self.group[c] = start + np.arange(len(c)) * t.shape[1], g
+            start += t.size
+
+    def __reduce__(self):
+        return Grouped, (self.columns, self.tables, self.codes, self.parts)
+
+    @classmethod
+    def dense(cls, bins: np.ndarray) -> Grouped:
+        """(feature, row) bytes as they are."""
+        return cls([np.arange(len(bins))], [bins], [np.arange(bins.shape[1])])
+
+    def step(self, tree: Tree, node: np.ndarray, missing: np.ndarray) -> np.ndarray:
+        """The node of each row one level further down; ``missing``: each feature's bin for missing values."""
+        f, split = tree.feature, tree.feature >= 0
+        # bytes wrap: where missing values go left, theirs (the last) becomes 0 and the others follow
+        shift = np.where(split & tree.missing_left, 256 - missing[f].astype(np.int64), 0)
+        cut, first = np.where(split, tree.cut + shift, 255).astype(np.uint8), np.arange(len(f)) + 1
+        first[split] += first[split]
+        base, group, shift = self.base[f], self.group[f], shift.astype(np.uint8)
+        out, shifted, several = np.empty_like(node), shift.any(), len(self.codes) > 1
+        for s in range(0, self.n, STEP_ROWS):
+            rows = slice(s, s + STEP_ROWS)
+            at = node[rows].astype(np.intp)
+            code = self.codes[0][rows]
+            if several:
+                of = group.take(at)
+                for g in range(1, len(self.codes)):
+                    code = np.where(of == g, self.codes[g][rows], code)
+            b = self.flat.take(base.take(at) + code)
+            if shifted:
+                b += shift.take(at)
+            out[rows] = first.take(at) - (b <= cut.take(at))
+        return out
+
+
 @dataclass
 class Block:
     """Rows of the binned table and what a worker knows of them."""
     key: str
-    bins: np.ndarray
+    bins: Grouped
     label: np.ndarray
     state: dict = field(default_factory=dict)
 
+    def __post_init__(self):
+        if isinstance(self.bins, np.ndarray):
+            self.bins = Grouped.dense(self.bins)
+
 
 # ---- split finding ------------------------------------------------------------------------
 def _shrunk(g, s: Settings):
@@ -161,20 +214,45 @@ def best_splits(hist: np.ndarray, cells: Cells, s: Settings):
     return gain, cells.columns[feature], cut, side, g_left, h_left
 
 
-def histogram(bins: np.ndarray, residual: np.ndarray, slot: np.ndarray, slots: int, cells: Cells) -> np.ndarray:
+def histogram(bins: Grouped, residual: np.ndarray, slot: np.ndarray, slots: int, cells: Cells) -> np.ndarray:
     """(slot, cell, (residual, rows)) sums of the rows whose slot is not -1."""
+    if residual.dtype != np.int32 and np.abs(residual).max(initial=0.0) * len(residual) >= 2 ** 53:  # sums would not be exact: those of the upper and of the lower bits are
+        high = np.floor(residual / UNIT)
+        out = histogram(bins, residual - high * UNIT, slot, slots, cells)
+        out[..., 0] += histogram(bins, high, slot, slots, cells)[..., 0] * int(UNIT)
+        return out
+    out, start = np.empty((slots, cells.n, 2), np.int64), dict(zip(cells.columns.tolist(), zip(cells.starts.tolist(), cells.sizes.tolist())))
     rows = np.flatnonzero(slot >= 0)
     whole = len(rows) == len(slot)
-    slot, g = (slot, residual.astype(float)) if whole else (slot[rows], residual[rows].astype(float))
-    out = np.empty((slots, cells.n, 2), np.int64)
-    for c, size, start in zip(cells.columns, cells.sizes, cells.starts):
-        at = slot * size + (bins[c] if whole else bins[c][rows])
-        # sums of at most 2^17 integers below 2^33 are exact as doubles
-        out[:, start:start + size, 0] = np.bincount(at, g, slots * size).reshape(slots, size)
-        out[:, start:start + size, 1] = np.bincount(at, minlength=slots * size).reshape(slots, size)
+    slot, residual = (slot, residual) if whole else (slot.take(rows), residual.take(rows))
+    slot, residual = slot.astype(np.intp), residual.astype(float)
+    for table, code, parts in zip(bins.tables, bins.codes, bins.parts):
+        parts = [(c, t, of, drawn) for c, t, of in parts if (drawn := [k for k, f in enumerate(c.tolist()) if f in start])]
+        if not parts:
+            continue
+        sums = slot, (code if whole else code.take(rows)).astype(np.intp), residual, None
+        if slots * table.shape[1] <= 4 * len(rows):
+            sums = _by_code(*sums, slots, table.shape[1])
+        for columns, t, of, drawn in parts:
+            s, c, g, h = sums
+            if of is not None:
+                s, c, g, h = _by_code(s, of.take(c), g, h, slots, t.shape[1])
+            for k in drawn:
+                begin, size = start[int(columns[k])]
+                at = s * size + t[k].take(c)
+                out[:, begin:begin + size, 0] = np.bincount(at, g, slots * size).reshape(slots, size)
+                out[:, begin:begin + size, 1] = np.bincount(at, h, slots * size).reshape(slots, size)
     return out
 
 
+def _by_code(slot, code, g, h, slots: int, size: int):
+    """(slot, code, residual, rows) summed by slot and code, those with rows."""
+    key = slot * size + code
+    h = np.bincount(key, h, slots * size)
+    some = np.flatnonzero(h)
+    return some // size, some % size, np.bincount(key, g, slots * size)[some], h[some]
+
+
 class Growth:
     """One tree, grown level by level from the histograms that ``wanted`` asks for."""
 
@@ -214,58 +292,147 @@ class Growth:
 
 
 # ---- tasks --------------------------------------------------------------------------------
-_KEPT: OrderedDict = OrderedDict()
+def _folder(key: str) -> str | None:
+    """Where the workers of this executor keep what they know of the blocks of a fit; Spark deletes it with the executor."""
+    local = os.environ.get("SPARK_LOCAL_DIRS", "").split(",")[0]
+    return os.path.join(local, "python", f"boosting-{key.split('-')[0]}") if local else None
+
+
+def _put(path: str, write) -> None:
+    """A whole file in the place of the former, if any: two tasks may have the same block."""
+    new = f"{path}.{uuid4().hex}"
+    with open(new, "wb") as f:
+        write(f)
+    os.replace(new, path)
+
+
+def _shelve(block: Block) -> None:
+    """Leave the rows of the block to the tasks of this executor."""
+    folder, bins = _folder(block.key), block.bins
+    if not folder:
+        return
+    at = os.path.join(folder, block.key)
+    try:
+        os.makedirs(folder, exist_ok=True)
+        for name, rows in [("label", block.label), *((f"code{g}", c) for g, c in enumerate(bins.codes))]:
+            _put(f"{at}-{name}.npy", lambda f, rows=rows: np.save(f, rows))
+        _put(f"{at}-bins", lambda f: pickle.dump((bins.columns, bins.tables, bins.parts), f))
+    except OSError:  # a full disk: the passes read the cached blocks
+        pass
+
+
+def _shelved(key: str) -> Block:
+    """The block that :func:`_shelve` left on this executor; OSError where there is none."""
+    at = os.path.join(_folder(key) or "", key)
+    with open(f"{at}-bins", "rb") as f:
+        columns, tables, parts = pickle.load(f)
+    codes = [np.load(f"{at}-code{g}.npy", "r") for g in range(len(columns))]
+    return Block(key, Grouped(columns, tables, codes, parts), np.load(f"{at}-label.npy", "r"))
 
 
 def _known(block: Block) -> Block:
-    """The block with what this worker kept of it."""
-    block.state = _KEPT.pop(block.key, {})
-    _KEPT[block.key] = block.state
-    while len(_KEPT) > 1 and sum(16 * len(s.get("at", ())) for s in _KEPT.values()) > KEPT_BYTES:
-        _KEPT.popitem(last=False)
+    """The block with what :func:`_keep` left of it on this executor."""
+    at = os.path.join(_folder(block.key) or "", block.key)
+    try:
+        with open(f"{at}-of") as f:
+            trees, level = map(int, f.read().split())
+        block.state = dict(trees=trees, level=level, at=np.load(f"{at}-at{trees}.npy", "r"), residual=np.load(f"{at}-residual{trees}.npy", "r"),
+                           node=np.load(f"{at}-node{trees}.{level}.npy", "r") if level else np.zeros(len(block.label), np.int16))
+    except (OSError, ValueError, EOFError):
+        block.state = {}
+    block.state["kept"] = block.state.get("trees", -1), block.state.get("level", -1)
     return block
 
 
+def _keep(block: Block) -> None:
+    """Leave what is known of the block to the next task that has it."""
+    folder, st = _folder(block.key), block.state
+    (trees, level), at = st["kept"], os.path.join(folder or "", block.key)
+    if not folder or (trees, level) == (st["trees"], st["level"]):
+        return
+    try:
+        os.makedirs(folder, exist_ok=True)
+        if st["level"]:
+            _put(f"{at}-node{st['trees']}.{st['level']}.npy", lambda f: np.save(f, st["node"]))
+        if trees != st["trees"]:
+            _put(f"{at}-at{st['trees']}.npy", lambda f: np.save(f, st["at"]))
+            _put(f"{at}-residual{st['trees']}.npy", lambda f: np.save(f, st["residual"]))
+        _put(f"{at}-of", lambda f: f.write(f"{st['trees']} {st['level']}".encode()))
+        for old in [f"node{trees}.{level}"] * (level > 0) + [f"at{trees}", f"residual{trees}"] * (0 <= trees != st["trees"]):
+            os.unlink(f"{at}-{old}.npy")
+    except OSError:  # a full disk: the next task computes it
+        pass
+
+
 def _advance(block: Block, trees: list, s: Settings, missing: np.ndarray, growth_tree: Tree | None, level: int):
     """(residual in units, node of each row in the tree that grows) after ``trees``."""
-    st = block.state
+    st, bins = block.state, block.bins
+    kind = np.int16 if s.depth < 14 else np.int32
     if "at" not in st or st["trees"] > len(trees):
-        st.update(trees=0, at=np.full(len(block.label), s.base), level=-1)
-    for t in range(st["trees"], len(trees)):
-        tree = trees[t]
-        st["at"] = st["at"] + tree.value[tree.leaves(block.bins, missing)]
-        st["level"] = -1
-    st["trees"] = len(trees)
-    if st["level"] < 0:
-        st["residual"] = np.rint((st["at"] - block.label) * UNIT).astype(np.int64)
-        st["level"], st["node"] = 0, np.zeros(len(block.label), np.int64)
+        st.update(trees=0, at=np.full(bins.n, s.base), level=0, node=np.zeros(bins.n, kind))
+        st.pop("residual", None)
+    while st["trees"] < len(trees):
+        tree = trees[st["trees"]]
+        for _ in range(st["level"], tree.levels):
+            st["node"] = bins.step(tree, st["node"], missing)
+        st["at"] = _plus(st["at"], tree.value, st["node"])
+        st.update(trees=st["trees"] + 1, level=0, node=np.zeros(bins.n, kind))
+        st.pop("residual", None)
     if level < st["level"]:
-        st["level"], st["node"] = 0, np.zeros(len(block.label), np.int64)
+        st.update(level=0, node=np.zeros(bins.n, kind))
     while st["level"] < level:
-        st["node"] = growth_tree.step(block.bins, st["node"], missing)
+        st["node"] = bins.step(growth_tree, st["node"], missing)
         st["level"] += 1
+    if "residual" not in st:
+        st["residual"] = _residual(st["at"], block.label)
     return st["residual"], st["node"]
 
 
+def _plus(at: np.ndarray, value: np.ndarray, node: np.ndarray) -> np.ndarray:
+    out = np.empty(len(at))
+    for s in range(0, len(at), STEP_ROWS):
+        rows = slice(s, s + STEP_ROWS)
+        np.add(at[rows], value.take(node[rows]), out=out[rows])
+    return out
+
+
+def _residual(at: np.ndarray, label: np.ndarray) -> np.ndarray:
+    """Integers, in four bytes where all of them fit."""
+    out = np.empty(len(at))
+    for s in range(0, len(at), STEP_ROWS):
+        rows = slice(s, s + STEP_ROWS)
+        np.rint((at[rows] - label[rows]) * UNIT, out=out[rows])
+    return out.astype(np.int32) if np.abs(out).max(initial=0.0) < 2 ** 31 else out
+
+
 def _squares(residual: np.ndarray) -> int:
-    return int(np.rint((residual / UNIT) ** 2 * UNIT).astype(np.int64).sum())
+    return sum(int(np.rint((residual[s:s + STEP_ROWS] / UNIT) ** 2 * UNIT).astype(np.int64).sum()) for s in range(0, len(residual), STEP_ROWS))
 
 
 def _sums(block: Block, residual, node, growth: Growth) -> np.ndarray:
-    slot = np.full((2 << growth.s.depth) - 1, -1, np.int64)
+    slot = np.full((2 << growth.s.depth) - 1, -1, np.int16 if growth.s.depth < 16 else np.int32)
     slot[growth.wanted] = np.arange(len(growth.wanted))
-    return histogram(block.bins, residual, slot[node], len(growth.wanted), growth.cells)
+    return histogram(block.bins, residual, slot.take(node), len(growth.wanted), growth.cells)
 
 
-def _grow_alone(block: Block, trees: list, growth: Growth):
-    """(sum of squares, tree) for a table that is one block."""
-    residual, node = _advance(block, trees, growth.s, growth.missing, None, 0)
-    squares = _squares(residual)
-    while len(growth.wanted):
-        if growth.level:
-            node = growth.tree.step(block.bins, node, growth.missing)
-        growth.take(_sums(block, residual, node, growth))
-    return squares, growth.tree
+def _drawn(s: Settings, tree: int, features: int) -> np.ndarray:
+    """The columns that a tree may use."""
+    draw = np.random.default_rng([s.seed, tree])
+    return np.sort(draw.choice(features, max(1, int(s.columns * features)), replace=False))
+
+
+def _grow_alone(block: Block, trees: list, s: Settings, missing: np.ndarray) -> list:
+    """(sum of squares before it, tree) of the next trees of a table that is one block."""
+    trees, found = [trees[t] for t in range(len(trees))], []
+    while len(trees) < s.trees and len(found) < ALONE_TREES:
+        growth = Growth(_drawn(s, len(trees), len(missing)), missing, s)
+        squares = _squares(_advance(block, trees, s, missing, None, 0)[0])
+        while len(growth.wanted):
+            growth.take(_sums(block, *_advance(block, trees, s, missing, growth.tree, growth.level), growth))
+        trees.append(growth.tree)
+        found.append((squares, growth.tree))
+    _keep(block)
+    return found
 
 
 class _Trees:
@@ -285,6 +452,9 @@ class _Trees:
     def handle(self):
         return _Handle(list(self.groups), list(self.recent))
 
+    def last(self):
+        return _Last(len(self.all), self.all[-1] if self.all else None)
+
     def release(self) -> None:
         for g in self.groups:
             g.unpersist()
@@ -304,6 +474,21 @@ class _Handle:
         return self.groups[g].value[k] if g < len(self.groups) else self.recent[k]
 
 
+@dataclass
+class _Last:
+    """The last of so many trees: all that a task needs which finds what is known after the others."""
+    trees: int
+    tree: Tree | None
+
+    def __len__(self):
+        return self.trees
+
+    def __getitem__(self, t):
+        if t != self.trees - 1:
+            raise FileNotFoundError("what was known of a block")
+        return self.tree
+
+
 # ---- binning ------------------------------------------------------------------------------
 def feature_array(df: DataFrame, feature_cols: list[str]) -> Column:
     """All features of a row as one array of doubles; vector columns take one place an element."""
@@ -349,28 +534,92 @@ def to_bins(x: np.ndarray, cuts: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def _binned(rows: DataFrame, cuts: list[np.ndarray], block_rows: int) -> DataFrame:
-    """(block, label, bins): the rows as a stored table of blocks."""
+def _coded(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct rows, which of them each row is) of a matrix of bytes."""
+    rows = np.ascontiguousarray(rows)
+    if not rows.size:
+        return rows[:1], np.zeros(len(rows), np.int32)
+    d = pa.Array.from_buffers(pa.binary(rows.shape[1]), len(rows), [None, pa.py_buffer(rows)]).dictionary_encode()
+    flat = np.frombuffer(d.dictionary.buffers()[1], np.uint8)[:len(d.dictionary) * rows.shape[1]]
+    return flat.reshape(-1, rows.shape[1]), d.indices.to_numpy()
+
+
+def _parts(columns: np.ndarray, table: np.ndarray) -> list:
+    """The columns of a group in parts with at most ``PART`` combinations, those with few values first."""
+    parts, open_, combined = [], [], None
+    for k in np.argsort(table.max(1, initial=0), kind="stable").tolist():
+        if combined is not None:
+            both, of = np.unique(combined * 256 + table[k], return_inverse=True)
+            if len(both) <= PART:
+                open_, combined = [*open_, k], of
+                continue
+            parts.append((open_, combined))
+        open_, combined = [k], np.unique(table[k], return_inverse=True)[1]
+    out = []
+    for ks, of in [*parts, (open_, combined)]:
+        if len(ks) == 1:
+            out.append((columns[ks], table[ks], None))
+        else:
+            first = np.zeros(int(of.max(initial=0)) + 1, np.int64)
+            first[of] = np.arange(len(of))
+            out.append((columns[ks], table[ks][:, first], of))
+    return out
+
+
+def _hashes(rows: np.ndarray) -> np.ndarray:
+    """A number for each row of a matrix of bytes, the same for equal rows."""
+    h = np.full(len(rows), 1469598103934665603, np.uint64)
+    for c in rows.T:
+        h = (h ^ c) * np.uint64(1099511628211)
+        h ^= h >> np.uint64(29)
+    return h
+
+
+def _blocks(rows: DataFrame, cuts: list[np.ndarray], groups: list[np.ndarray], parts: int, bounds: np.ndarray, uid: str):
+    """RDD of blocks, ``len(bounds) + 1`` of them in ``parts`` partitions. A row goes to the block that the
+    hash of its first group has among ``bounds``; bounds that are the same share the rows with that hash."""
     def pack(x, y):
-        return pa.record_batch({"label": [y.tobytes()], "bins": [to_bins(x, cuts).tobytes()]})
+        first = _hashes(x[groups[0]].T)
+        low, high = np.searchsorted(bounds, first, "left"), np.searchsorted(bounds, first, "right")
+        block = low + np.arange(len(y)) % (high - low + 1)
+        for p in np.unique(block).tolist():
+            mine = np.flatnonzero(block == p)
+            found = [_coded(x[c][:, mine].T) for c in groups]
+            yield pa.record_batch({"part": pa.array([p % parts], pa.int32()), "block": pa.array([p], pa.int32()), "label": [y[mine].tobytes()],
+                                   "tables": [[t.tobytes() for t, _ in found]], "codes": [[c.astype(np.int32).tobytes() for _, c in found]]})
 
     def run(batches):
         xs, ys, n = [], [], 0
         for b in batches:
-            xs.append(_matrix(pa.chunked_array([b.column("x")])))
+            xs.append(to_bins(_matrix(pa.chunked_array([b.column("x")])), cuts))
             ys.append(b.column("y").to_numpy(zero_copy_only=False))
             n += len(ys[-1])
-            while n >= block_rows:
-                x, y = np.concatenate(xs), np.concatenate(ys)
-                yield pack(x[:block_rows], y[:block_rows])
-                xs, ys, n = [x[block_rows:]], [y[block_rows:]], n - block_rows
+            if n >= PACK_ROWS:
+                yield from pack(np.concatenate(xs, 1), np.concatenate(ys))
+                xs, ys, n = [], [], 0
         if n:
-            yield pack(np.concatenate(xs), np.concatenate(ys))
-
-    path = scratch_path(rows.sparkSession, "binned")
-    blocks = rows.mapInArrow(run, "label binary, bins binary")
-    blocks.withColumn("block", F.monotonically_increasing_id()).write.parquet(path)
-    return rows.sparkSession.read.parquet(path)
+            yield from pack(np.concatenate(xs, 1), np.concatenate(ys))
+
+    def opened(packs):
+        for k, mine in groupby(packs, lambda p: p["block"]):
+            mine, tables, codes, combined = list(mine), [], [], []
+            for g, columns in enumerate(groups):
+                each = [np.frombuffer(p["tables"][g], np.uint8).reshape(-1, len(columns)) for p in mine]
+                table, at = _coded(np.concatenate(each))
+                start = np.cumsum([0, *map(len, each)])
+                at = at.astype(np.uint16 if len(table) <= 1 << 16 else np.int32)
+                codes.append(np.concatenate([at[s:e].take(np.frombuffer(p["codes"][g], np.int32)) for s, e, p in zip(start, start[1:], mine)]))
+                tables.append(np.ascontiguousarray(table.T))
+                combined.append(_parts(columns, tables[-1]))
+            order = np.argsort(codes[0], kind="stable")  # rows of a combination side by side
+            codes = [c[order] for c in codes]
+            label = np.concatenate([np.frombuffer(p["label"]) for p in mine])[order]
+            with np.errstate(over="ignore"):
+                short = label.astype(np.float32)
+            yield Block(f"{uid}-{k}", Grouped(groups, tables, codes, combined), short if (short == label).all() else label)
+
+    packed = rows.mapInArrow(run, "part int, block int, label binary, tables array<binary>, codes array<binary>")
+    return packed.repartitionById(parts, "part").sortWithinPartitions("block").rdd.mapPartitions(opened).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 # ---- model --------------------------------------------------------------------------------
@@ -388,7 +637,7 @@ class BoostedTrees:
         return len(self.trees)
 
     def score(self, x: np.ndarray) -> np.ndarray:
-        bins, missing = to_bins(x, self.cuts), missing_bins(self.cuts)
+        bins, missing = Grouped.dense(to_bins(x, self.cuts)), missing_bins(self.cuts)
         out = np.full(len(x), self.settings.base)
         for t in self.trees:
             out += t.value[t.leaves(bins, missing)]
@@ -404,11 +653,15 @@ class BoostedTrees:
 
 
 def fit(rows: DataFrame, feature_cols: list[str], label_col: str, settings: Settings,
-        block_rows: int = BLOCK_ROWS) -> BoostedTrees:
-    """Boosted trees over ``rows``; a NULL label drops the row. Without rows the model has no tree."""
+        block_rows: int | None = None, groups: list[list[str]] | None = None) -> BoostedTrees:
+    """Boosted trees over ``rows``; a NULL label drops the row. Without rows the model has no tree.
+
+    ``groups`` of feature columns whose values repeat together from row to row (those of a user, those of an item)
+    make the passes cheaper; the model is the same with any. Columns in none are one more group."""
     s, sc = settings, rows.sparkSession.sparkContext
-    if not 2 <= s.max_bins <= 254 or block_rows > BLOCK_ROWS:
-        raise ValueError("max_bins must be 2 to 254, block_rows at most 2^17")
+    if not 2 <= s.max_bins <= 254 or (block_rows or 1) > ALONE_ROWS:
+        raise ValueError("max_bins must be 2 to 254, block_rows at most 2^22")
+    widths = _widths(rows, feature_cols)
     rows = rows.select(feature_array(rows, feature_cols).alias("x"), F.col(label_col).cast("double").alias("y")).where("y is not null")
     n = rows.count()
     if not n:
@@ -416,84 +669,143 @@ def fit(rows: DataFrame, feature_cols: list[str], label_col: str, settings: Sett
     some = rows.select("x", F.xxhash64("x").alias("h"))
     if n > 2 * EDGE_ROWS:  # spares the sort most rows; the limit below is the bound
         some = some.where(F.pmod("h", F.lit(1 << 30)) < int(1.5 * EDGE_ROWS / n * (1 << 30)))
-    sample = some.orderBy(F.pmod("h", F.lit(1 << 30)), "x").limit(EDGE_ROWS).select("x").toArrow()
-    cuts = cut_points(_matrix(sample.column("x")), s.max_bins)
-    if n > block_rows:  # a block a core at least; the model is the same however rows are dealt
-        block_rows = min(block_rows, -(-n // sc.defaultParallelism))
-    table = _binned(rows.coalesce(-(-n // block_rows)), cuts, block_rows)
-    uid, missing = uuid4().hex, missing_bins(cuts)
-
-    def opened(r):
-        label = np.frombuffer(r["label"])
-        return Block(f"{uid}-{r['block']}", np.frombuffer(r["bins"], np.uint8).reshape(-1, len(label)), label)
-
-    blocks = table.rdd.map(opened).persist(StorageLevel.MEMORY_AND_DISK)
-    n_blocks, parts = blocks.count(), blocks.getNumPartitions()
+    sample = _matrix(some.orderBy(F.pmod("h", F.lit(1 << 30)), "x").limit(EDGE_ROWS).select("x").toArrow().column("x"))
+    cuts = cut_points(sample, s.max_bins)
+    uid, missing, of = uuid4().hex, missing_bins(cuts), _groups(feature_cols, widths, len(cuts), groups or [])
+    cores, n_blocks = sc.defaultParallelism, 1
+    if n > (block_rows or ALONE_ROWS):  # a block a core at least; the model is the same however rows are dealt
+        n_blocks = cores * -(-n // (cores * min(block_rows or BLOCK_ROWS, -(-n // cores))))
+    parts = min(n_blocks, cores)
+    drawn = np.sort(_hashes(to_bins(sample, cuts)[of[0]].T))
+    blocks = _blocks(rows, cuts, of, parts, drawn[np.arange(1, n_blocks) * len(drawn) // n_blocks], uid)
     trees, errors = _Trees(sc), []
+    passes = _Passes(blocks, parts) if n_blocks > 1 else None
     try:
         while len(trees.all) < s.trees:
-            draw = np.random.default_rng([s.seed, len(trees.all)])
-            columns = np.sort(draw.choice(len(cuts), max(1, int(s.columns * len(cuts))), replace=False))
-            squares, tree = (_one_block_tree if n_blocks == 1 else _tree)(blocks, parts, trees.handle(), Growth(columns, missing, s))
-            if trees.all:
-                errors.append(float(np.sqrt(squares / UNIT / n)))
-                if s.stop_rounds and len(errors) - 1 - int(np.argmin(errors)) >= s.stop_rounds:
-                    break
-            trees.add(tree)
+            if passes is None:
+                handle = trees.handle()
+                grown = blocks.map(lambda b, h=handle: _grow_alone(_known(b), h, s, missing)).collect()[0]
+            else:
+                grown = [_tree(passes, trees, Growth(_drawn(s, len(trees.all), len(cuts)), missing, s))]
+            for squares, tree in grown:
+                if trees.all:
+                    errors.append(float(np.sqrt(squares / UNIT / n)))
+                    if s.stop_rounds and len(errors) - 1 - int(np.argmin(errors)) >= s.stop_rounds:
+                        break
+                trees.add(tree)
+            else:
+                continue
+            break
         else:
             errors.append(_error(blocks, trees.handle(), missing, s, n))
+        blocks.foreachPartition(lambda it, key=uid: shutil.rmtree(_folder(key) or "", ignore_errors=True) or sum(1 for _ in it))
     finally:
+        if passes:
+            passes.release()
         blocks.unpersist()
         trees.release()
     keep = int(np.argmin(errors)) + 1 if s.stop_rounds and errors else len(trees.all)
     return BoostedTrees(feature_cols, cuts, trees.all[:keep], s, errors)
 
 
+def _widths(rows: DataFrame, feature_cols: list[str]) -> list[int | None]:
+    """Places that each column takes among the features; None for a vector column, which only its rows tell."""
+    kinds = dict(rows.dtypes)
+    return [None if kinds[c] == "vector" else 1 for c in feature_cols]
+
+
+def _groups(feature_cols: list[str], widths: list[int | None], features: int, groups: list[list[str]]) -> list[np.ndarray]:
+    """The places of the features of each group. Several vector columns in a table cannot be told apart; then all is one group."""
+    if widths.count(None) > 1:
+        return [np.arange(features)]
+    rest = features - sum(w for w in widths if w)
+    start = np.cumsum([0, *(rest if w is None else w for w in widths)])
+    at = {c: np.arange(b, e) for c, b, e in zip(feature_cols, start, start[1:])}
+    left = [c for c in feature_cols if not any(c in g for g in groups)]
+    found = [np.concatenate([at[c] for c in g if c in at] or [np.zeros(0, np.int64)]) for g in [*groups, left]]
+    return [f for f in found if len(f)]
+
+
 def _error(blocks, handle, missing: np.ndarray, s: Settings, n: int) -> float:
     total = sum(blocks.map(lambda b: _squares(_advance(_known(b), handle, s, missing, None, 0)[0])).collect())
     return float(np.sqrt(total / UNIT / n))
 
 
-def _one_block_tree(blocks, parts, handle, growth: Growth):
-    return blocks.map(lambda b: _grow_alone(_known(b), handle, growth)).collect()[0]
-
-
-def _tree(blocks, parts, handle, growth: Growth):
+def _tree(blocks: _Passes, trees: _Trees, growth: Growth):
     """(sum of squares before the tree, tree), one pass a level."""
     total = 0
     while len(growth.wanted):
-        squares, hist = _level(blocks, parts, handle, growth)
+        squares, hist = _level(blocks, trees, growth)
         total = total or squares
         growth.take(hist)
     return total, growth.tree
 
 
-def _level(blocks, parts, handle, growth: Growth):
+class _Passes:
+    """The cached blocks and, cached where they are, their keys. A pass over the keys finds the rows of the blocks and
+    what is known of them in the executor's folder, and so moves neither; where that fails (a lost executor, a task
+    elsewhere) it goes over the blocks, which are shelved anew where they are."""
+
+    def __init__(self, blocks, parts: int):
+        self.blocks, self.parts, self.keys = blocks, parts, None
+        self.shelve()
+
+    def shelve(self) -> None:
+        if self.keys is not None:
+            self.keys.unpersist()
+        self.keys = self.blocks.map(lambda b: _shelve(b) or b.key).persist(StorageLevel.MEMORY_AND_DISK)
+        self.keys.count()
+
+    def release(self) -> None:
+        self.keys.unpersist()
+
+
+def _level(blocks: _Passes, trees: _Trees, growth: Growth):
     shape = (len(growth.wanted), growth.cells.n, 2)
     cells = int(np.prod(shape))
     view = _View(growth)
 
-    def partial(it):
+    def partial(it, handle):
         squares, hist = 0, np.zeros(shape, np.int64)
         for b in it:
-            residual, node = _advance(_known(b), handle, view.s, view.missing, view.tree, view.level)
+            b = _known(_shelved(b) if isinstance(b, str) else b)
+            if isinstance(handle, _Last) and len(handle) and "at" not in b.state:
+                raise FileNotFoundError("what was known of a block")
+            residual, node = _advance(b, handle, view.s, view.missing, view.tree, view.level)
+            _keep(b)
             squares += 0 if view.level else _squares(residual)
             hist += _sums(b, residual, node, view)
-        yield squares, hist
-
-    found = blocks.mapPartitions(partial)
-    if 8 * cells * parts <= DRIVER_BYTES:
-        each = found.collect()
-        return sum(q for q, _ in each), sum(h for _, h in each)
-    pieces = -(-cells // PIECE)
-
-    def cut(it):
-        for squares, hist in it:
-            yield -1, squares
-            yield from enumerate(np.array_split(hist.reshape(-1), pieces))
-
-    sums = dict(found.mapPartitions(cut).reduceByKey(lambda a, b: a + b, min(pieces + 1, parts)).collect())
-    return sums[-1], np.concatenate([sums[k] for k in range(pieces)]).reshape(shape)
+        return squares, hist
+
+    def short(it, handle=trees.last()):
+        it = list(it)
+        try:
+            yield partial(it, handle)
+        except OSError:
+            yield None
+
+    for found in (blocks.keys.mapPartitions(short), None):
+        if found is None:
+            blocks.shelve()
+            found = blocks.blocks.mapPartitions(lambda it, handle=trees.handle(): [partial(it, handle)])
+        if 8 * cells * blocks.parts <= DRIVER_BYTES:
+            each = found.collect()
+            if None not in [e and 1 for e in each]:
+                return sum(q for q, _ in each), sum(h for _, h in each)
+            continue
+        pieces = -(-cells // PIECE)
+
+        def cut(it):
+            for e in it:
+                if e is None:
+                    yield -2, 1
+                else:
+                    yield -1, e[0]
+                    yield from enumerate(np.array_split(e[1].reshape(-1), pieces))
+
+        sums = dict(found.mapPartitions(cut).reduceByKey(lambda a, b: a + b, min(pieces + 1, blocks.parts)).collect())
+        if -2 not in sums:
+            return sums[-1], np.concatenate([sums[k] for k in range(pieces)]).reshape(shape)
 
 
 class _View:

@@ -19,9 +19,10 @@ HYBRID = boosting.Settings(trees=100, depth=10, rate=0.2, min_rows=1, columns=1.
 
 
 def fit_trees(train_rows: DataFrame, feature_cols: list[str], label_col: str = "label",
-              settings: boosting.Settings = FEATURE_MODEL, **changes) -> boosting.BoostedTrees:
-    """Boosted trees with ``settings``, some of them changed by name."""
-    return boosting.fit(train_rows, feature_cols, label_col, replace(settings, **changes))
+              settings: boosting.Settings = FEATURE_MODEL, groups: list[list[str]] | None = None,
+              **changes) -> boosting.BoostedTrees:
+    """Boosted trees with ``settings``, some of them changed by name; ``groups`` as in :func:`boosting.fit`."""
+    return boosting.fit(train_rows, feature_cols, label_col, replace(settings, **changes), groups=groups)
 
 
 def predict(model: boosting.BoostedTrees, rows: DataFrame, keep: list[str]) -> DataFrame:

@@ -86,7 +86,10 @@ def feature_model_predict(train: DataFrame, pairs: DataFrame, business: DataFram
     wide = cut_lineage(wide_rows(train, asked.distinct(), ufeat, bfeat, strict, reference_names))
     state = "state" if reference_names else "business_state"
     wide = FE.state_one_hot(wide, state, bfeat.select(F.col("business_state").alias(state)))
-    model = models.fit_trees(wide.filter("is_train = 1"), feature_columns(wide), "label", **(params or {}))
+    columns, of_user = feature_columns(wide), {c.removeprefix("user_") if reference_names else c for c in ufeat.columns}
+    if reference_names:
+        of_user -= {c.removeprefix("business_") for c in bfeat.columns}
+    model = models.fit_trees(wide.filter("is_train = 1"), columns, "label", groups=[[c for c in columns if c in of_user]], **(params or {}))
     pred = models.predict(model, wide.filter("is_train = 0"), ["user_id", "business_id"])
     # one prediction a distinct pair, a row for every time it was listed
     return asked.join(pred, ["user_id", "business_id"]).select(

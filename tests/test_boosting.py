@@ -167,3 +167,66 @@ def test_beats_the_mean_on_a_planted_signal(spark):
     rmse = model.transform(df).select(F.sqrt(F.avg(F.pow(F.col("prediction") - F.col("label"), 2)))).first()[0]
     assert rmse < 0.5 * df.select(F.stddev_pop("label")).first()[0]
     assert rmse == pytest.approx(model.rmse[model.n_trees - 1], abs=1e-5)
+
+
+def test_a_table_of_one_block_takes_a_job_for_several_trees(spark):
+    """More rows than a block once had; a job a level would be 24 jobs."""
+    df = spark.range(140_000).select("id", *[(F.pmod(F.xxhash64("id", F.lit(k)), F.lit(50)) / 7.0).alias(f"f{k}") for k in range(2)])
+    df = df.withColumn("label", F.col("f0") - F.col("f1") * F.col("f0"))
+    sc = spark.sparkContext
+    sc.setJobGroup("alone", "fit")
+    try:
+        model = boosting.fit(df, ["f0", "f1"], "label", Settings(trees=6, depth=4))
+        jobs = len(sc.statusTracker().getJobIdsForGroup("alone"))
+    finally:
+        sc._jsc.clearJobGroup()
+    assert model.n_trees == 6 and model.rmse[-1] < model.rmse[0] and jobs < 12
+
+
+def test_groups_of_features_do_not_change_the_model(spark):
+    rng = random.Random(11)
+    users, items = ([[rng.choice([None, 1.0, 2.0, 3.0]), rng.random(), float(rng.randint(0, 1))] for _ in range(n)] for n in (60, 25))
+    x = [[*rng.choice(users), *rng.choice(items)] for _ in range(2500)]
+    df, names = _frame(spark, x, [float(rng.randint(1, 5)) for _ in x])
+    s = Settings(trees=13, depth=5, columns=0.7, l1=0.5, l2=0.5, min_rows=4)
+    want = _predictions(boosting.fit(df, names, "label", s), df)
+    assert want == _predictions(boosting.fit(df, names, "label", s, groups=[names[:3]]), df)
+    assert want == _predictions(boosting.fit(df, names, "label", s, block_rows=400, groups=[names[:3], names[3:]]), df)
+
+
+def test_level_passes_move_no_rows_and_survive_lost_files(spark, monkeypatch):
+    """Tasks find the rows in the executor's folder; when it is gone they get them, and all trees, again."""
+    import glob
+    import os
+    import shutil
+
+    rng = random.Random(7)
+    x = [[rng.random(), rng.choice([None, 1.0, 2.0])] for _ in range(1200)]
+    df, names = _frame(spark, x, [r[0] * 3 + (r[1] or 0) for r in x])
+    s = Settings(trees=14, depth=3)
+    want = _predictions(boosting.fit(df, names, "label", s), df)
+    calls, shelve, level = [], boosting._Passes.shelve, boosting._level
+    monkeypatch.setattr(boosting._Passes, "shelve", lambda self: calls.append(1) or shelve(self))
+    assert want == _predictions(boosting.fit(df, names, "label", s, block_rows=300), df) and len(calls) == 1
+    local = spark.sparkContext.parallelize([0], 1).map(lambda _: os.environ["SPARK_LOCAL_DIRS"].split(",")[0]).first()
+    assert not glob.glob(f"{local}/python/boosting-*")  # a fit leaves none
+    passes = []
+
+    def lost(*a):
+        passes.append(1)
+        if len(passes) in (5, 38):
+            found = glob.glob(f"{local}/python/boosting-*")
+            assert found
+            for f in found:
+                shutil.rmtree(f)
+        return level(*a)
+
+    monkeypatch.setattr(boosting, "_level", lost)
+    assert want == _predictions(boosting.fit(df, names, "label", s, block_rows=300), df) and len(calls) == 4
+
+
+def test_sums_beyond_the_integers_that_doubles_hold():
+    bins = boosting.Grouped.dense(np.zeros((1, 3), np.uint8))
+    residual = np.array([2.0 ** 53, 1.0, 1.0])
+    out = boosting.histogram(bins, residual, np.zeros(3, np.int16), 1, boosting.Cells(np.array([0]), np.array([1], np.uint8)))
+    assert out[0, 0].tolist() == [2 ** 53 + 2, 3]

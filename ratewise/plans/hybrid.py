@@ -57,7 +57,7 @@ def model_predictions(train: DataFrame, pairs: DataFrame, user: DataFrame, busin
                       params: dict | None = None, strict: bool = False) -> DataFrame:
     """(user_id, business_id, model_prediction) guarded, one row per distinct pair."""
     wide = feature_rows(train, pairs, user, business, strict)
-    model = models.fit_trees(wide.filter("is_train = 1"), FEATURES, "label", models.HYBRID, **(params or {}))
+    model = models.fit_trees(wide.filter("is_train = 1"), FEATURES, "label", models.HYBRID, [FEATURES[:2], FEATURES[2:]], **(params or {}))
     pred = models.predict(model, wide.filter("is_train = 0"), ["user_id", "business_id"])
     return pred.select("user_id", "business_id", S.guard_prediction("prediction").alias("model_prediction"))
 

@@ -276,3 +276,26 @@ def test_needed_keys_are_distinct(spark):
     got = similarity._distinct_keys(spark.createDataFrame([(k,) for k in keys], "key long")).collect()
     assert sorted(r.a << 32 | r.b for r in got) == sorted(set(keys))
     assert similarity._distinct_keys(spark.createDataFrame([], "key long")).count() == 0
+
+
+def test_a_heavy_users_rating_costs_the_fewer_of_ratings_and_partners():
+    """500 needed partners of an item and a list of four ratings: four look-ups, not 500, and the other way round."""
+    import numpy as np
+    import pyarrow as pa
+
+    from ratewise.operators import similarity as sim
+
+    def lists(item, n):
+        return pa.record_batch({"items": pa.array([np.diff(item, prepend=0)]), "centred": pa.array([[float(i % 5) for i in item]])})
+
+    few = sim._Sums(np.array([0 << 32 | h for h in range(500)]))
+    few.heavy_lists(lists([0, 3, 499, 700], 1000), 0, 1000)
+    assert few.lookups == 4 and np.flatnonzero(few.n).tolist() == [0, 3, 499]
+    many = sim._Sums(np.array([0 << 32 | 3, 0 << 32 | 900]))
+    many.heavy_lists(lists(list(range(500)), 1000), 0, 1000)
+    assert many.lookups == 1 and many.n.tolist() == [1, 0]  # the partner behind the list's end is not sought
+    assert [x[0] for x in many.sums] == [0.0, 0.0, 9.0]
+    chunk = sim._Sums(np.array([0 << 32 | h for h in range(500)]))
+    chunk.heavy(pa.record_batch({"items": pa.array([[3, 499]], pa.list_(pa.int32())), "centred": pa.array([[3.0, 4.0]]),
+                                 "of": pa.array([[0]], pa.list_(pa.int32())), "of_centred": pa.array([[1.0]])}))
+    assert chunk.lookups == 2 and np.flatnonzero(chunk.n).tolist() == [3, 499] and chunk.sums[0][3] == 3.0
